@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +26,26 @@ def build_session(app_name: str = "wordmill", master: str | None = None, **setti
     chosen = SETTINGS | {k.replace("__", "."): v for k, v in settings.items()}
     for key, value in chosen.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (like ``--py-files``)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="wordmill-package-"), "wordmill.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(root.rglob("*.py")):
+            out.write(source, str(source.relative_to(root.parent)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
