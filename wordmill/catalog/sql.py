@@ -47,11 +47,11 @@ def _cleaned(marked: str) -> str:
 
 
 def _tokens(cleaned: str) -> str:
-    return f"list_filter(string_split({cleaned}, ' '), t -> t <> '')"
+    return f"list_filter(string_split({cleaned}, ' '), lambda t: t <> '')"
 
 
 def _kept(cleaned: str) -> str:
-    return f"list_filter({_tokens(cleaned)}, t -> t NOT IN ({_STOP}))"
+    return f"list_filter({_tokens(cleaned)}, lambda t: t NOT IN ({_STOP}))"
 
 
 def _clean_of(text: str) -> str:
@@ -97,7 +97,7 @@ def _format(entities: str) -> str:
         f"ELSE CAST({number} AS VARCHAR) END"
     )
     parts = f"string_split(array_to_string({entities}, '; '), ';')"
-    return f"array_to_string(list_transform({parts}, p -> {part}), '; ')"
+    return f"array_to_string(list_transform({parts}, lambda p: {part}), '; ')"
 
 
 def _formatted(marked: str) -> str:
@@ -200,7 +200,7 @@ ORACLE: dict[str, str] = {
     ),
     "split_tokens": (
         f"SELECT doc_id, len(string_split(c, ' '))::INT AS n_blank, "
-        "len(list_filter(regexp_split_to_array(c, '\\s+'), t -> t <> ''))::INT AS n_whitespace, "
+        "len(list_filter(regexp_split_to_array(c, '\\s+'), lambda t: t <> ''))::INT AS n_whitespace, "
         "coalesce(array_to_string(regexp_extract_all(lower(c), '\\b\\w\\w+\\b'), ' '), '') AS words "
         f"FROM (SELECT doc_id, {_clean_of('text')} AS c FROM documents)"
     ),

@@ -10,9 +10,6 @@ from pyspark.sql import functions as F
 from wordmill.functions.constants import STOPWORDS
 from wordmill.functions.entities import entity_list, mark_entities, placeholder_text
 
-_NO_TOKENS = "array<string>"
-
-
 def tokens_of_marked(marked: Column) -> Column:
     """Tokens of a marked text: what remains between characters that are no letter, ``<``, ``>``."""
     return F.regexp_extract_all(placeholder_text(marked), F.lit("[a-zA-Z<>]++"), F.lit(0))
@@ -116,18 +113,28 @@ def term_counts(tokens: Column) -> Column:
     Sorting the tokens puts equal ones side by side, so counts are distances between run starts;
     no row leaves its partition.
     """
-    ordered = F.array_sort(tokens)
+    return _with_value(F.sort_array(tokens), lambda ordered: _runs(ordered))
+
+
+def _runs(ordered: Column) -> Column:
     starts = F.filter(
         F.transform(
-            ordered,
-            lambda t, i: F.when((i == 0) | (F.get(ordered, i - 1) != t), i),
+            ordered, lambda t, i: F.when((i == 0) | (F.get(ordered, i - 1) != t), i)
         ),
         lambda i: i.isNotNull(),
     )
-    return F.transform(
+    return _with_value(
         starts,
-        lambda start, k: F.struct(
-            F.get(ordered, start).alias("token"),
-            (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - start).cast("bigint").alias("tf"),
+        lambda begun: F.transform(
+            begun,
+            lambda start, k: F.struct(
+                F.get(ordered, start).alias("token"),
+                (F.coalesce(F.get(begun, k + 1), F.size(ordered)) - start).cast("bigint").alias("tf"),
+            ),
         ),
     )
+
+
+def _with_value(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas inside refer to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
