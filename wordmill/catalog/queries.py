@@ -448,7 +448,7 @@ def _stemmed_news(spark, sf_dir) -> DataFrame:
 
 def logreg_cv(spark, sf_dir):
     docs = _stemmed_news(spark, sf_dir)
-    outcome = training.train_logistic(docs, {"train": docs}, ["id"], "tokens", max_iter=100)
+    outcome = training.train_logistic(docs, {"train": docs}, ["id"], "tokens")
     return outcome.tuning.scores
 
 

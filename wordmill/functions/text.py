@@ -94,7 +94,7 @@ def _integral_digits(magnitude: Column) -> Column:
     """All digits of an integral double below 2**126, exactly."""
     high = F.floor(magnitude / float(2**63))
     low = magnitude - high.cast("double") * float(2**63)
-    whole = high.cast("decimal(19,0)") * F.lit(Decimal(2**63)) + low.cast("decimal(19,0)")
+    whole = high.cast("decimal(19,0)") * F.lit(Decimal(2**63)) + low.cast("bigint").cast("decimal(19,0)")
     return F.when(magnitude < float(2**63), magnitude.cast("bigint").cast("string")).otherwise(
         whole.cast("string")
     )

@@ -54,7 +54,7 @@ def _f1(label: str = "label") -> MulticlassClassificationEvaluator:
 
 def fit_logistic(
     train: DataFrame, c: float = 1.0, balanced: bool = True, max_iter: int = 10_000,
-    tolerance: float = 1e-6,
+    tolerance: float = 1e-4,
 ) -> Model:
     """L2 logistic regression minimising sum of weighted losses + |w|^2 / (2 C)."""
     if balanced:
@@ -84,7 +84,7 @@ class Tuned:
 
 def tune_logistic(
     train: DataFrame, keys: list[str], cs: list[float] | None = None, k: int = 5, seed: int = 42,
-    max_iter: int = 10_000, parallelism: int = 4,
+    max_iter: int = 10_000, parallelism: int = 4, tolerance: float = 1e-4,
 ) -> Tuned:
     """Grid over C by stratified shuffled cross-validation on F1, then a refit on all of ``train``.
 
@@ -93,12 +93,12 @@ def tune_logistic(
     cs = cs or LOGISTIC_C
     folded = stratified_folds(with_balanced_weights(train), keys, "label", k, seed)
     n_fit = train.count() * (k - 1) / k  # rows a fold is fitted on; balanced weights add up to it
-    lr = _logistic(True, max_iter, 1e-6)
+    lr = _logistic(True, max_iter, tolerance)
     grid = ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n_fit) for c in cs]).build()
     means = _cross_validate(lr, grid, folded, parallelism)
     best = max(range(len(cs)), key=lambda i: means[i])
     settings = [{"C": c} for c in cs]
-    model = fit_logistic(train, cs[best], max_iter=max_iter)
+    model = fit_logistic(train, cs[best], max_iter=max_iter, tolerance=tolerance)
     return Tuned(model, settings[best], _score_table(train, settings, means))
 
 

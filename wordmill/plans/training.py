@@ -13,6 +13,7 @@ from wordmill.functions.text import split_on_word_pattern
 from wordmill.operators import evaluate, features, models
 
 STEMS = "content-tokens_stemmed"
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -42,7 +43,7 @@ def train_logistic(
     bow = features.fit_binary_bow(train, column, vocabulary)
     ready = bow.transform(train).select(*keys, "label", "features").cache()
     try:
-        tuned = models.tune_logistic(ready, keys, **tuning)
+        tuned = models.tune_logistic(_packed(ready), keys, **tuning)
         return _outcome(bow, tuned.model, held_out, tuned)
     finally:
         ready.unpersist()
@@ -56,10 +57,11 @@ def train_forest(
     bow = features.fit_binary_bow(train, column, vocabulary)
     ready = bow.transform(train).select(*keys, "label", "features").cache()
     try:
+        packed = _packed(ready)
         if trial:
-            models.fit_forest(ready)  # an unusable input fails here, before the grid
+            models.fit_forest(packed)  # an unusable input fails here, before the grid
         more = bow.transform(valid).select(*keys, "label", "features")
-        tuned = models.tune_forest(ready, keys, valid=more, **tuning)
+        tuned = models.tune_forest(packed, keys, valid=more, **tuning)
         return _outcome(bow, tuned.model, held_out, tuned)
     finally:
         ready.unpersist()
@@ -81,10 +83,24 @@ def train_top_words(
     terms = features.vocabulary_terms(features.top_word_vocabulary(train, text, vocabulary))
     split = lambda df: df.withColumn("_words", split_on_word_pattern(F.col(f"`{text}`")))
     counts = features.count_vectors(terms, train, "_words")
-    model = models.fit_plain_logistic(counts.transform(split(train)).select("label", "features"))
+    ready = counts.transform(split(train)).select("label", "features").cache()
+    try:
+        model = models.fit_plain_logistic(_packed(ready))
+    finally:
+        ready.unpersist()
     return _outcome(counts, model, {name: split(df) for name, df in held_out.items()})
 
 
+def _packed(cached: DataFrame) -> DataFrame:
+    """Cached rows in partitions of about ``ROWS_PER_TASK``, never more partitions than before.
+
+    Every optimiser step runs one task per partition, so many tiny partitions cost more than the
+    arithmetic. On a large corpus partitions are fuller than that, and nothing changes.
+    """
+    wanted = max(1, -(-cached.count() // ROWS_PER_TASK))
+    return cached.coalesce(min(wanted, cached.rdd.getNumPartitions()))
+
+
 def _outcome(
     prepared: PipelineModel, model: Model, held_out: dict[str, DataFrame], tuned=None
 ) -> Outcome:
