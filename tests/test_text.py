@@ -34,9 +34,9 @@ CASES = [
     ("20th of may, jan 5, 2016 and the 20th", "<DATE> <DATE> and the th"),
     ("a.b@c.org,x", "<EMAIL> x"),
     ("5 may.x@y.com", "<DATE> <EMAIL>"),
-    ("xhttp://foo.de/a b", "x<URL> b".replace("x<", "x <")),
+    ("xhttp://foo.de/a b", "x <URL> b"),
     ("12\x0113 a\x02b", "<NUMBER> <NUMBER> a b"),
-    ("www. wwww.x", "www <URL>"),
+    ("www. wwww.x", "www w <URL>"),
     ("may-dec 5, 2016", "may <DATE>"),
 ]
 

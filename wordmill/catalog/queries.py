@@ -11,7 +11,7 @@ from wordmill.functions.entities import entity_list, mark_entities
 from wordmill.functions.stemming import stem_tokens as stem_column
 from wordmill.operators import combine, counts, evaluate, features, models, splits
 from wordmill.plans import preparation, training
-from wordmill.session import spread
+from wordmill.session import cut_lineage, spread
 
 # A small lexicon as an input table: words of the test corpus with a valence.
 LEXICON = [
@@ -47,6 +47,11 @@ def with_tokens(df: DataFrame, content: str, keep: list[str]) -> DataFrame:
 
 
 def _news_tokens(spark, sf_dir) -> DataFrame:
+    """Tokens of the news, written once: the queries on them read them two to four times."""
+    return cut_lineage(_fresh_news_tokens(spark, sf_dir))
+
+
+def _fresh_news_tokens(spark, sf_dir) -> DataFrame:
     return with_tokens(news(spark, sf_dir), "content", ["id", "type", "lang", "toxic"]).withColumn(
         "label", labels.reliable_label(F.col("type"))
     )
@@ -270,6 +275,11 @@ def _doc_tokens(spark, sf_dir) -> DataFrame:
     return with_tokens(documents(spark, sf_dir), "text", ["doc_id"])
 
 
+def _staged_doc_tokens(spark, sf_dir) -> DataFrame:
+    """Tokens written once, for queries that need a vocabulary before they read them again."""
+    return cut_lineage(_doc_tokens(spark, sf_dir))
+
+
 def top_words(spark, sf_dir, n: int = 10_000):
     return counts.top_tokens(counts.token_counts(_doc_tokens(spark, sf_dir), "tokens"), n)
 
@@ -338,14 +348,14 @@ def stratified_folds(spark, sf_dir):
 
 
 def bow_binary(spark, sf_dir):
-    docs = _doc_tokens(spark, sf_dir)
+    docs = _staged_doc_tokens(spark, sf_dir)
     vocabulary = features.binary_vocabulary(docs, "tokens")
     rows = features.long_counts(docs, "tokens", vocabulary.select("token"), ["doc_id"], binary=True)
     return rows.select("doc_id", "token", "tf")
 
 
 def bow_binary_vectors(spark, sf_dir):
-    docs = _doc_tokens(spark, sf_dir)
+    docs = _staged_doc_tokens(spark, sf_dir)
     bow = features.fit_binary_bow(docs, "tokens")
     return _vector_sizes(bow.transform(docs))
 
@@ -359,7 +369,7 @@ def _vector_sizes(df: DataFrame) -> DataFrame:
 
 
 def bow_fixed_vocab(spark, sf_dir):
-    cleaned = _doc_tokens(spark, sf_dir)
+    cleaned = _staged_doc_tokens(spark, sf_dir)
     vocabulary = features.top_word_vocabulary(cleaned, "tokens")
     words = cleaned.select(
         "doc_id", text.split_on_word_pattern(text.join_tokens(F.col("tokens"))).alias("words")
@@ -442,8 +452,8 @@ def classification_report(spark, sf_dir):
 
 
 def _stemmed_news(spark, sf_dir) -> DataFrame:
-    docs = _news_tokens(spark, sf_dir)
-    return docs.withColumn("tokens", stem_column("tokens"))
+    docs = _fresh_news_tokens(spark, sf_dir)
+    return cut_lineage(docs.withColumn("tokens", stem_column("tokens")))
 
 
 def logreg_cv(spark, sf_dir):
@@ -453,7 +463,7 @@ def logreg_cv(spark, sf_dir):
 
 
 def logreg_plain(spark, sf_dir):
-    docs = _news_tokens(spark, sf_dir).withColumn("stems", text.join_tokens(stem_column("tokens")))
+    docs = _stemmed_news(spark, sf_dir).withColumn("stems", text.join_tokens(F.col("tokens")))
     outcome = training.train_top_words(docs, {"train": docs}, "stems")
     return outcome.predictions["train"].select("id", "label", F.col("prediction").cast("int").alias("prediction"))
 

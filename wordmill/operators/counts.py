@@ -21,10 +21,19 @@ def as_tokens(df: DataFrame, column: str, unit: str = "word") -> Column:
     return F.when(value.isNotNull(), split_on_whitespace(value))
 
 
+def token_rows(tokens: Column) -> Column:
+    """One row per token.
+
+    The test for missing tokens has a second effect: from a bare array column Catalyst infers
+    ``size(tokens) > 0``, pushes that below the cleaning, and would so clean every text twice.
+    """
+    return F.explode(F.filter(tokens, lambda t: t.isNotNull()))
+
+
 def token_counts(df: DataFrame, column: str, unit: str = "word") -> DataFrame:
     """``(token, n)`` over the whole corpus."""
     return (
-        df.select(F.explode(as_tokens(df, column, unit)).alias("token"))
+        df.select(token_rows(as_tokens(df, column, unit)).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -59,7 +68,7 @@ def document_counts(df: DataFrame, id_column: str, column: str) -> DataFrame:
 
 def distinct_tokens(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
     """Number of distinct tokens as ``n_distinct``; ``approximate`` avoids the shuffle of tokens."""
-    tokens = df.select(F.explode(as_tokens(df, column)).alias("token"))
+    tokens = df.select(token_rows(as_tokens(df, column)).alias("token"))
     if approximate:
         return tokens.agg(F.approx_count_distinct("token").alias("n_distinct"))
     return tokens.distinct().agg(F.count(F.lit(1)).alias("n_distinct"))

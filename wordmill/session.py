@@ -13,6 +13,7 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Documents can be long: small Arrow batches keep a Python worker's buffer in the megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
