@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from wordmill.catalog.queries import LEXICON
 from wordmill.functions.constants import FAKE_TYPES, MONTHS, STOPWORDS
+from wordmill.functions.stemming import KEPT_AFTER_PLURAL, SPECIAL, STEP_2, STEP_3, STEP_4
 
 _MONTH = "(?:" + "|".join(MONTHS) + ")[a-z]*"
 _URL_CHAR = r"""[^\s)\]}''<>"]"""
@@ -182,6 +183,83 @@ _SPLIT_PARTS = (
     "UNION ALL SELECT page_id, url, 'val' FROM pages UNION ALL SELECT item_id, text, 'test' FROM benchmark)"
 )
 
+
+
+def _stem_ctes(words: str) -> str:
+    """CTEs ending in ``stems (token, stem)`` for a relation ``words (token)`` of distinct tokens.
+
+    One CTE per step of the rules; ``p1`` and ``p2`` are the lengths in front of regions 1 and 2.
+    """
+    vowel, region = "[aeiouy]", "^.*?[aeiouy][^aeiouy]"
+    short = "([^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])$"
+
+    def cut(value: str, n: int) -> str:
+        return f"left({value}, greatest(length({value}) - {n}, 0))"
+
+    def ending(suffixes) -> str:
+        return "(" + "|".join(sorted(suffixes, key=len, reverse=True)) + ")$"
+
+    def step(name: str, source: str, suffixes, word: str) -> str:
+        found = f"regexp_extract(w, '{ending(suffixes)}')"
+        return (
+            f"{name} AS (SELECT token, p1, p2, done, CASE WHEN done OR f = '' THEN w ELSE {word} END AS w FROM "
+            f"(SELECT *, left(w, length(w) - length(f)) AS b FROM (SELECT *, {found} AS f FROM {source})))"
+        )
+
+    def exchange(table: dict) -> str:
+        return "CASE f " + " ".join(f"WHEN '{k}' THEN b || '{v}'" for k, v in table.items()) + " END"
+
+    special = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in SPECIAL.items())
+    kept = ", ".join(f"'{k}'" for k in sorted(KEPT_AFTER_PLURAL))
+    past = (
+        "CASE WHEN f IN ('eed', 'eedly') THEN CASE WHEN length(b) >= p1 THEN b || 'ee' ELSE w END "
+        f"WHEN NOT regexp_matches(b, '{vowel}') THEN w WHEN regexp_matches(b, '(at|bl|iz)$') THEN b || 'e' "
+        f"WHEN regexp_matches(b, '(bb|dd|ff|gg|mm|nn|pp|rr|tt)$') THEN {cut('b', 1)} "
+        f"WHEN length(b) = p1 AND regexp_matches(b, '{short}') THEN b || 'e' ELSE b END"
+    )
+    plural = (
+        f"CASE f WHEN 'sses' THEN {cut('w', 2)} WHEN 'us' THEN w WHEN 'ss' THEN w "
+        f"WHEN 's' THEN CASE WHEN regexp_matches({cut('w', 2)}, '{vowel}') THEN {cut('w', 1)} ELSE w END "
+        f"ELSE CASE WHEN length(w) > 4 THEN {cut('w', 2)} ELSE {cut('w', 1)} END END"
+    )
+    second = (
+        "CASE WHEN length(b) < p1 OR (f = 'ogi' AND NOT regexp_matches(b, 'l$')) "
+        f"OR (f = 'li' AND NOT regexp_matches(b, '[cdeghkmnrt]$')) THEN w ELSE {exchange(STEP_2)} END"
+    )
+    third = f"CASE WHEN length(b) < CASE f WHEN 'ative' THEN p2 ELSE p1 END THEN w ELSE {exchange(STEP_3)} END"
+    fourth = "CASE WHEN length(b) < p2 OR (f = 'ion' AND NOT regexp_matches(b, '[st]$')) THEN w ELSE b END"
+    fifth = (
+        "CASE WHEN f = 'l' THEN CASE WHEN length(b) >= p2 AND regexp_matches(b, 'l$') THEN b ELSE w END "
+        f"WHEN length(b) >= p2 OR (length(b) >= p1 AND NOT regexp_matches(b, '{short}')) THEN b ELSE w END"
+    )
+    return (
+        f"s0 AS (SELECT token, regexp_replace(CASE WHEN token[1] = 'y' THEN 'Y' || token[2:] ELSE token END, "
+        f"'([aeiouy])y', '\\1Y', 'g') AS w, length(token) < 3 OR token IN ({', '.join(repr(k) for k in SPECIAL)}) AS done FROM {words}), "
+        f"s1 AS (SELECT *, CASE WHEN regexp_matches(w, '^(gener|commun|arsen)') THEN length(regexp_extract(w, '^(gener|commun|arsen)')) "
+        f"WHEN regexp_matches(w, '{region}') THEN length(regexp_extract(w, '{region}')) ELSE length(w) END AS p1 FROM s0), "
+        f"s2 AS (SELECT *, CASE WHEN regexp_matches(w[p1 + 1:], '{region}') THEN p1 + length(regexp_extract(w[p1 + 1:], '{region}')) "
+        f"ELSE length(w) END AS p2 FROM s1), "
+        + step("s3", "s2", ["sses", "ied", "ies", "us", "ss", "s"], plural)
+        + f", s4 AS (SELECT token, p1, p2, done OR w IN ({kept}) AS done, w FROM s3), "
+        + step("s5", "s4", ["eed", "eedly", "ed", "edly", "ing", "ingly"], past)
+        + ", s6 AS (SELECT token, p1, p2, done, CASE WHEN NOT done AND regexp_matches(w, '.[^aeiouy][yY]$') "
+        + f"THEN {cut('w', 1)} || 'i' ELSE w END AS w FROM s5), "
+        + step("s7", "s6", STEP_2, second) + ", " + step("s8", "s7", STEP_3, third) + ", "
+        + step("s9", "s8", STEP_4, fourth) + ", " + step("s10", "s9", ["e", "l"], fifth)
+        + f", stems AS MATERIALIZED (SELECT token, CASE token {special} ELSE replace(w, 'Y', 'y') END AS stem FROM s10)"
+    )
+
+
+def _stemmed(source: str, key: str) -> str:
+    """CTEs ending in ``stemmed (key, stems)`` for the rows of ``source``, which has ``tokens``."""
+    return (
+        f"pos AS MATERIALIZED (SELECT {key}, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS i FROM {source}), "
+        "words AS (SELECT DISTINCT token FROM pos), "
+        + _stem_ctes("words")
+        + f", stemmed AS (SELECT {key}, string_agg(stem, ' ' ORDER BY i) AS stems FROM pos JOIN stems USING (token) GROUP BY {key})"
+    )
+
+
 ORACLE: dict[str, str] = {
     "clean_text": f"SELECT doc_id, {_clean_of('text')} AS cleaned FROM documents",
     "extract_dates": f"SELECT o_orderkey, {_joined('m', 'dates')} FROM (SELECT o_orderkey, {_marked(_ORDER_TEXT)} AS m FROM orders)",
@@ -198,6 +276,19 @@ ORACLE: dict[str, str] = {
         f"WITH {_tokens_cte('conversations', 'conv_id, turn', 'text')} "
         "SELECT conv_id, turn, len(tokens)::INT AS n_tokens FROM docs WHERE len(tokens) > 0"
     ),
+    "stem_tokens": (
+        f"WITH {_DOCS}, {_stemmed('docs', 'doc_id')} SELECT doc_id, coalesce(stems, '') AS stems "
+        "FROM docs LEFT JOIN stemmed USING (doc_id)"
+    ),
+    "top_words_stemmed": (
+        f"WITH {_DOCS}, {_stemmed('docs', 'doc_id')} SELECT stem AS token, count(*) AS n "
+        "FROM pos JOIN stems USING (token) GROUP BY stem ORDER BY n DESC, stem LIMIT 10000"
+    ),
+    "prepare_corpus": (
+        f"WITH {_NEWS}, m AS MATERIALIZED (SELECT id, type, lang, {_marked('content')} AS m FROM news), "
+        f"docs AS MATERIALIZED (SELECT id, type, lang, m, {_kept(_cleaned('m'))} AS tokens FROM m), {_stemmed('docs', 'id')} "
+        f"SELECT id, type, lang, type AS label, {_formatted('m')}, stems FROM docs JOIN stemmed USING (id)"
+    ),
     "split_tokens": (
         f"SELECT doc_id, len(string_split(c, ' '))::INT AS n_blank, "
         "len(list_filter(regexp_split_to_array(c, '\\s+'), lambda t: t <> ''))::INT AS n_whitespace, "

@@ -17,30 +17,30 @@ from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import ArrayType, StringType
 
 # Words the rules would spoil, and words left alone.
-_SPECIAL = {
+SPECIAL = {
     "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie",
     "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli",
     "singly": "singl",
     "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas", "cosmos": "cosmos",
     "bias": "bias", "andes": "andes",
 }
-_KEPT_AFTER_PLURAL = {
+KEPT_AFTER_PLURAL = {
     "inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed",
 }
 
 # Suffix exchanges of steps 2 and 3 (in region 1), suffixes dropped by step 4 (region 2).
-_STEP_2 = {
+STEP_2 = {
     "tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent",
     "izer": "ize", "ization": "ize", "ational": "ate", "ation": "ate", "ator": "ate",
     "alism": "al", "aliti": "al", "alli": "al", "fulness": "ful", "ousli": "ous",
     "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble",
     "ogi": "og", "fulli": "ful", "lessli": "less", "li": "",
 }
-_STEP_3 = {
+STEP_3 = {
     "tional": "tion", "ational": "ate", "alize": "al", "icate": "ic", "iciti": "ic",
     "ical": "ic", "ful": "", "ness": "", "ative": "",
 }
-_STEP_4 = [
+STEP_4 = [
     "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism",
     "ate", "iti", "ous", "ive", "ize", "ion",
 ]
@@ -58,7 +58,7 @@ def _ending(suffixes) -> re.Pattern:
 
 _END_1A = _ending(["sses", "ied", "ies", "us", "ss", "s"])
 _END_1B = _ending(["eed", "eedly", "ed", "edly", "ing", "ingly"])
-_END_2, _END_3, _END_4 = _ending(_STEP_2), _ending(_STEP_3), _ending(_STEP_4)
+_END_2, _END_3, _END_4 = _ending(STEP_2), _ending(STEP_3), _ending(STEP_4)
 
 
 def _region_after(word: str, start: int) -> int:
@@ -70,8 +70,8 @@ def _region_after(word: str, start: int) -> int:
 def stem_word(word: str) -> str:
     if len(word) < 3:
         return word
-    if word in _SPECIAL:
-        return _SPECIAL[word]
+    if word in SPECIAL:
+        return SPECIAL[word]
     if word[0] == "y":
         word = "Y" + word[1:]
     word = re.sub("([aeiouy])y", r"\1Y", word)
@@ -80,7 +80,7 @@ def stem_word(word: str) -> str:
     region2 = _region_after(word, region1)
 
     word = _drop_plural(word)
-    if word in _KEPT_AFTER_PLURAL:
+    if word in KEPT_AFTER_PLURAL:
         return word
     word = _drop_past_and_progressive(word, region1)
     if len(word) > 2 and word[-1] in "yY" and word[-2] not in "aeiouy":
@@ -91,10 +91,10 @@ def stem_word(word: str) -> str:
         suffix, before = found.group(), word[: found.start()]
         wanted = {"ogi": "l", "li": "cdeghkmnrt"}.get(suffix)
         if wanted is None or before[-1:] and before[-1] in wanted:
-            word = before + _STEP_2[suffix]
+            word = before + STEP_2[suffix]
     found = _END_3.search(word)
     if found and found.start() >= (region2 if found.group() == "ative" else region1):
-        word = word[: found.start()] + _STEP_3[found.group()]
+        word = word[: found.start()] + STEP_3[found.group()]
     found = _END_4.search(word)
     if found and found.start() >= region2:
         if found.group() != "ion" or word[: found.start()].endswith(("s", "t")):
