@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
@@ -55,12 +55,6 @@ def with_idf(vocabulary: DataFrame, documents: DataFrame) -> DataFrame:
     return vocabulary.withColumn("idf", F.log((1 + n) / (1 + F.col("df"))) + 1)
 
 
-def indexed(vocabulary: DataFrame, order: list[Column] | None = None) -> DataFrame:
-    """Adds ``idx`` 0.. in the given order (token order by default). Bounded: a vocabulary only."""
-    window = Window.orderBy(*(order or [F.col("token")]))
-    return vocabulary.withColumn("idx", F.row_number().over(window) - 1)
-
-
 # -- long form -----------------------------------------------------------------------------------
 
 
@@ -102,7 +96,7 @@ def vocabulary_terms(vocabulary: DataFrame) -> list[str]:
 
 
 def count_vectors(
-    terms: list[str], df: DataFrame, column: str, binary: bool = False, output: str = "features"
+    terms: list[str], column: str, binary: bool = False, output: str = "features"
 ) -> PipelineModel:
     """Transformer to sparse count vectors over fixed terms, inside the row."""
     model = CountVectorizerModel.from_vocabulary(terms, inputCol=column, outputCol=output)
@@ -115,7 +109,7 @@ def fit_binary_bow(
 ) -> PipelineModel:
     """Binary bag of words whose vocabulary comes from ``train`` only."""
     terms = vocabulary_terms(binary_vocabulary(train, column, size, min_df, max_df))
-    return count_vectors(terms, train, column, binary=True)
+    return count_vectors(terms, column, binary=True)
 
 
 def fit_tfidf(train: DataFrame, column: str, size: int = 50_000) -> PipelineModel:
@@ -139,17 +133,20 @@ def lexicon_sentiment(df: DataFrame, column: str, lexicon: DataFrame, keep: list
 
     ``lexicon`` is a table ``(token, valence)`` with one row per token. Its size decides how it is
     joined: Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
-    otherwise. Tokens without an entry are neutral.
+    otherwise. Tokens without an entry are neutral. Tokens are counted per document before the
+    join, so a frequent word is one row per document.
     """
-    tokens = numbered(df).select(ROW, *keep, F.explode_outer(as_tokens(df, column)).alias("token"))
-    scored = tokens.join(lexicon.select("token", "valence"), "token", "left")
+    terms = F.explode_outer(term_counts(as_tokens(df, column))).alias("_c")
+    counted = numbered(df).select(ROW, *keep, terms).select(
+        ROW, *keep, "_c.token", F.coalesce("_c.tf", F.lit(0)).alias("tf")
+    )
+    scored = counted.join(lexicon.select("token", "valence"), "token", "left")
     valence = F.coalesce(F.col("valence"), F.lit(0.0))
-    seen = F.col("token").isNotNull()
     sums = scored.groupBy(ROW, *keep).agg(
-        F.sum(valence).alias("_s"),
-        F.sum(F.when(valence > 0, valence + 1).otherwise(0.0)).alias("_p"),
-        F.sum(F.when(valence < 0, valence - 1).otherwise(0.0)).alias("_m"),
-        F.count_if(seen & (valence == 0)).cast("double").alias("_z"),
+        F.sum(F.col("tf") * valence).alias("_s"),
+        F.sum(F.when(valence > 0, F.col("tf") * (valence + 1)).otherwise(0.0)).alias("_p"),
+        F.sum(F.when(valence < 0, F.col("tf") * (valence - 1)).otherwise(0.0)).alias("_m"),
+        F.sum(F.when(valence == 0, F.col("tf")).otherwise(0)).cast("double").alias("_z"),
     )
     whole = F.col("_p") - F.col("_m") + F.col("_z")
     share = lambda part: F.when(whole > 0, part / whole).otherwise(0.0)

@@ -82,7 +82,7 @@ def train_top_words(
     """Counts of the most frequent training words under the word-pattern tokens, plain regression."""
     terms = features.vocabulary_terms(features.top_word_vocabulary(train, text, vocabulary))
     split = lambda df: df.withColumn("_words", split_on_word_pattern(F.col(f"`{text}`")))
-    counts = features.count_vectors(terms, train, "_words")
+    counts = features.count_vectors(terms, "_words")
     ready = counts.transform(split(train)).select("label", "features").cache()
     try:
         model = models.fit_plain_logistic(_packed(ready))

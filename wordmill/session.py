@@ -16,6 +16,7 @@ SETTINGS = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Documents can be long: small Arrow batches keep a Python worker's buffer in the megabytes.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
 }
 
 
