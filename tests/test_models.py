@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wordmill.operators import evaluate, features, models
 from wordmill.plans import training
+from wordmill.session import broadcast_if_bounded
 
 TOKENS = "id int, label int, t array<string>"
 
@@ -37,6 +38,14 @@ def test_tfidf_long_equals_vectors_and_formula(spark):
     assert np.allclose(vectors[0].features.toArray(), [*want, 0]) and vectors[2].features.numNonzeros() == 0
 
 
+def test_broadcast_needs_a_bound(spark):
+    table = spark.range(5).withColumnRenamed("id", "x")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(broadcast_if_bounded(table.limit(3), 3))
+    assert hinted(broadcast_if_bounded(table.filter("x >= 0"), 5))
+    assert not hinted(broadcast_if_bounded(table.filter("x >= 0"), 4))
+
+
 def test_rows_sharing_an_id_stay_documents(spark):
     df = spark.createDataFrame([(1, 0, ["a"]), (1, 0, ["a", "b"])], TOKENS)
     vocabulary = features.with_idf(features.count_vocabulary(df, "t"), df)
@@ -88,7 +97,7 @@ def test_complement_nb_equals_formula(spark):
     for t in "abcd":
         for c in (0, 1):
             assert got[t][c] == pytest.approx(-math.log(sums[c][t] / sum(sums[c].values())))
-    long = models.complement_nb_predict(df, "t", table.join(vocabulary, "token"), [0, 1], ["id"])
+    long = models.complement_nb_predict(df, "t", table, [0, 1], ["id"])
     by_vectors = training.train_complement_nb(df, {}, "t").predictions["train"]
     assert dict(map(tuple, long.collect())) == {r.id: int(r.prediction) for r in by_vectors.collect()}
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
 from wordmill.operators.counts import as_tokens, bounded_document_frequencies, token_counts
+from wordmill.session import broadcast_if_bounded
 
 MAX_VOCABULARY = 200_000
 ROW = "_row"
@@ -74,7 +75,7 @@ def long_counts(df: DataFrame, column: str, vocabulary: DataFrame, keep: list[st
     else:
         terms = term_counts(tokens)
     exploded = df.select(*keep, F.explode(terms).alias("_c")).select(*keep, "_c.token", "_c.tf")
-    return exploded.join(F.broadcast(vocabulary), "token")  # at most MAX_VOCABULARY rows
+    return exploded.join(broadcast_if_bounded(vocabulary, MAX_VOCABULARY), "token")
 
 
 def long_tfidf(df: DataFrame, column: str, vocabulary: DataFrame, keep: list[str]) -> DataFrame:

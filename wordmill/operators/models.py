@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
 from wordmill.operators.counts import as_tokens
-from wordmill.operators.features import ROW, numbered
+from wordmill.operators.features import MAX_VOCABULARY, ROW, numbered
 from wordmill.operators.splits import stratified_folds
+from wordmill.session import broadcast_if_bounded, cut_lineage
 
 # The parameter grids.
 LOGISTIC_C = [0.1, 1.0, 10.0, 100.0]
@@ -84,7 +85,7 @@ class Tuned:
 
 def tune_logistic(
     train: DataFrame, keys: list[str], cs: list[float] | None = None, k: int = 5, seed: int = 42,
-    max_iter: int = 10_000, parallelism: int = 4, tolerance: float = 1e-4,
+    max_iter: int = 10_000, parallelism: int = 8, tolerance: float = 1e-4,
 ) -> Tuned:
     """Grid over C by stratified shuffled cross-validation on F1, then a refit on all of ``train``.
 
@@ -185,28 +186,26 @@ def fit_complement_nb(train: DataFrame, alpha: float = 1.0) -> Model:
 def complement_nb_table(
     weights: DataFrame, vocabulary: DataFrame, classes: list[int], label: str = "label", alpha: float = 1.0
 ) -> DataFrame:
-    """``(token, w_0, w_1, ...)``: per class -ln of the smoothed share of a token in the other classes.
+    """``(token, idf, w_0, w_1, ...)``: per class -ln of the smoothed share of a token outside it.
 
-    ``weights`` is the long form ``(.., label, token, weight)``. One aggregation gives all classes,
+    The table is the fitted model, so it is written out once and scoring does not train again.
+    ``vocabulary`` holds ``token`` and ``idf``; ``weights`` is the long form ``(.., label, token, weight)``. One aggregation gives all classes,
     because the weight outside a class is the total minus the weight inside.
     """
     inside = [F.sum(F.when(F.col(label) == c, F.col("weight")).otherwise(0.0)) for c in classes]
     sums = weights.groupBy("token").agg(
         F.sum("weight").alias("_all"), *[s.alias(f"_in_{c}") for c, s in zip(classes, inside)]
     )
-    full = vocabulary.select("token").join(sums, "token", "left").fillna(0.0)
+    full = vocabulary.select("token", "idf").join(sums, "token", "left").fillna(0.0)
     outside = full.select(
-        "token", *[(F.col("_all") - F.col(f"_in_{c}") + alpha).alias(f"_out_{c}") for c in classes]
+        "token", "idf", *[(F.col("_all") - F.col(f"_in_{c}") + alpha).alias(f"_out_{c}") for c in classes]
     )
     # A vocabulary is bounded, so its totals fit one window.
     everything = Window.partitionBy()
-    return outside.select(
-        "token",
-        *[
-            (-F.log(F.col(f"_out_{c}") / F.sum(f"_out_{c}").over(everything))).alias(f"w_{c}")
-            for c in classes
-        ],
-    )
+    shares = [
+        (-F.log(F.col(f"_out_{c}") / F.sum(f"_out_{c}").over(everything))).alias(f"w_{c}") for c in classes
+    ]
+    return cut_lineage(outside.select("token", "idf", *shares))
 
 
 def complement_nb_predict(
@@ -214,12 +213,12 @@ def complement_nb_predict(
 ) -> DataFrame:
     """Class of highest score per document row; equal scores go to the first class.
 
-    ``table`` is ``complement_nb_table`` joined with the ``idf`` of its tokens. A document's norm
-    scales all its scores alike, so it is left out. Terms outside the vocabulary add nothing.
+    A document's norm scales all its scores alike, so it is left out. Terms outside the
+    vocabulary of ``table`` add nothing.
     """
     terms = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(as_tokens(df, column))).alias("_c"))
     scored = terms.select(ROW, *keep, "_c.token", "_c.tf").join(
-        F.broadcast(table), "token", "left"  # one row per vocabulary term
+        broadcast_if_bounded(table, MAX_VOCABULARY), "token", "left"
     )
     sums = scored.groupBy(ROW, *keep).agg(
         *[F.sum(F.col("tf") * F.col("idf") * F.col(f"w_{c}")).alias(f"_s_{c}") for c in classes]

@@ -8,6 +8,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -68,3 +69,15 @@ def spread(scan: DataFrame) -> DataFrame:
     """
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
+
+
+def broadcast_if_bounded(df: DataFrame, most: int) -> DataFrame:
+    """``df`` marked for broadcast if it has at most ``most`` rows; unmarked otherwise.
+
+    A plan that ends in a ``limit`` states its own bound. Anything else is counted, up to one row
+    beyond the bound. Unmarked, Spark joins by its own size estimate, shuffling where it must.
+    """
+    stated = df._jdf.queryExecution().optimizedPlan().maxRows()
+    if stated.isDefined() and int(stated.get()) <= most:
+        return F.broadcast(df)
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
