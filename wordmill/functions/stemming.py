@@ -49,16 +49,27 @@ _REGION = re.compile(r"[aeiouy][^aeiouy]", re.DOTALL)
 _SHORT_END = re.compile(r"(?:[^aeiouy][aeiouy][^aeiouywxY]|^[aeiouy][^aeiouy])\Z", re.DOTALL)
 _DOUBLE_END = re.compile(r"(?:bb|dd|ff|gg|mm|nn|pp|rr|tt)\Z")
 _HAS_VOWEL = re.compile(r"[aeiouy]")
+_Y_AFTER_VOWEL = re.compile("([aeiouy])y")
 
+def _endings(suffixes) -> tuple[frozenset, dict]:
+    """Suffixes, and by last letter their lengths, longest first: most words are out at once."""
+    lengths: dict[str, set] = {}
+    for suffix in suffixes:
+        lengths.setdefault(suffix[-1], set()).add(len(suffix))
+    return frozenset(suffixes), {c: sorted(n, reverse=True) for c, n in lengths.items()}
 
-def _ending(suffixes) -> re.Pattern:
-    longest_first = sorted(suffixes, key=len, reverse=True)
-    return re.compile("(?:" + "|".join(longest_first) + r")\Z")
 
+_END_1A = _endings(["sses", "ied", "ies", "us", "ss", "s"])
+_END_1B = _endings(["eed", "eedly", "ed", "edly", "ing", "ingly"])
+_END_2, _END_3, _END_4 = _endings(STEP_2), _endings(STEP_3), _endings(STEP_4)
 
-_END_1A = _ending(["sses", "ied", "ies", "us", "ss", "s"])
-_END_1B = _ending(["eed", "eedly", "ed", "edly", "ing", "ingly"])
-_END_2, _END_3, _END_4 = _ending(STEP_2), _ending(STEP_3), _ending(STEP_4)
+
+def _longest(word: str, endings: tuple[frozenset, dict]) -> str:
+    suffixes, lengths = endings
+    for n in lengths.get(word[-1], ()):
+        if word[-n:] in suffixes:
+            return word[-n:]
+    return ""
 
 
 def _region_after(word: str, start: int) -> int:
@@ -74,9 +85,14 @@ def stem_word(word: str) -> str:
         return SPECIAL[word]
     if word[0] == "y":
         word = "Y" + word[1:]
-    word = re.sub("([aeiouy])y", r"\1Y", word)
-    prefix = re.match("gener|commun|arsen", word)
-    region1 = prefix.end() if prefix else _region_after(word, 0)
+    if "y" in word:
+        word = _Y_AFTER_VOWEL.sub(r"\1Y", word)
+    if word.startswith(("gener", "arsen")):
+        region1 = 5
+    elif word.startswith("commun"):
+        region1 = 6
+    else:
+        region1 = _region_after(word, 0)
     region2 = _region_after(word, region1)
 
     word = _drop_plural(word)
@@ -86,19 +102,20 @@ def stem_word(word: str) -> str:
     if len(word) > 2 and word[-1] in "yY" and word[-2] not in "aeiouy":
         word = word[:-1] + "i"
 
-    found = _END_2.search(word)
-    if found and found.start() >= region1:
-        suffix, before = found.group(), word[: found.start()]
+    suffix = _longest(word, _END_2)
+    start = len(word) - len(suffix)
+    if suffix and start >= region1:
         wanted = {"ogi": "l", "li": "cdeghkmnrt"}.get(suffix)
-        if wanted is None or before[-1:] and before[-1] in wanted:
-            word = before + STEP_2[suffix]
-    found = _END_3.search(word)
-    if found and found.start() >= (region2 if found.group() == "ative" else region1):
-        word = word[: found.start()] + STEP_3[found.group()]
-    found = _END_4.search(word)
-    if found and found.start() >= region2:
-        if found.group() != "ion" or word[: found.start()].endswith(("s", "t")):
-            word = word[: found.start()]
+        if wanted is None or start and word[start - 1] in wanted:
+            word = word[:start] + STEP_2[suffix]
+    suffix = _longest(word, _END_3)
+    start = len(word) - len(suffix)
+    if suffix and start >= (region2 if suffix == "ative" else region1):
+        word = word[:start] + STEP_3[suffix]
+    suffix = _longest(word, _END_4)
+    start = len(word) - len(suffix)
+    if suffix and start >= region2 and (suffix != "ion" or word[start - 1 : start] in ("s", "t")):
+        word = word[:start]
     last = len(word) - 1
     if word.endswith("e"):
         if last >= region2 or last >= region1 and not _SHORT_END.search(word[:last]):
@@ -109,8 +126,7 @@ def stem_word(word: str) -> str:
 
 
 def _drop_plural(word: str) -> str:
-    found = _END_1A.search(word)
-    suffix = found.group() if found else ""
+    suffix = _longest(word, _END_1A)
     if suffix == "sses":
         return word[:-2]
     if suffix in ("ied", "ies"):
@@ -121,12 +137,12 @@ def _drop_plural(word: str) -> str:
 
 
 def _drop_past_and_progressive(word: str, region1: int) -> str:
-    found = _END_1B.search(word)
-    if not found:
+    suffix = _longest(word, _END_1B)
+    if not suffix:
         return word
-    before = word[: found.start()]
-    if found.group() in ("eed", "eedly"):
-        return before + "ee" if found.start() >= region1 else word
+    before = word[: len(word) - len(suffix)]
+    if suffix in ("eed", "eedly"):
+        return before + "ee" if len(before) >= region1 else word
     if not _HAS_VOWEL.search(before):
         return word
     if before.endswith(("at", "bl", "iz")):
