@@ -53,7 +53,9 @@ def test_rows_sharing_an_id_stay_documents(spark):
     assert len(weights) == 3 and max(weights) == pytest.approx(1.0)
 
 
-def test_sentiment(spark):
+@pytest.mark.parametrize("bound", [200_000, 1])
+def test_sentiment(spark, monkeypatch, bound):
+    monkeypatch.setattr(features, "MAX_VOCABULARY", bound)
     lexicon = spark.createDataFrame([("good", 1.9), ("stupid", -2.4)], "token string, valence double")
     df = spark.createDataFrame([(1, 0, ["you", "are", "a", "good", "boy"]), (2, 0, ["stupid"]), (3, 0, [])], TOKENS)
     rows = {r.id: r for r in features.lexicon_sentiment(df, "t", lexicon, ["id"]).collect()}

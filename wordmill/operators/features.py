@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
 from wordmill.operators.counts import as_tokens, bounded_document_frequencies, token_counts
-from wordmill.session import broadcast_if_bounded
+from wordmill.session import broadcast_if_bounded, is_bounded
 
 MAX_VOCABULARY = 200_000
 ROW = "_row"
@@ -132,16 +132,20 @@ def fit_tfidf(train: DataFrame, column: str, size: int = 50_000) -> PipelineMode
 def lexicon_sentiment(df: DataFrame, column: str, lexicon: DataFrame, keep: list[str]) -> DataFrame:
     """``pos``, ``neg``, ``neu`` shares and ``compound`` = s / sqrt(s^2 + 15) per document.
 
-    ``lexicon`` is a table ``(token, valence)`` with one row per token. Its size decides how it is
-    joined: Spark broadcasts it below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles
-    otherwise. Tokens without an entry are neutral. Tokens are counted per document before the
-    join, so a frequent word is one row per document.
+    ``lexicon`` is a table ``(token, valence)`` with one row per token. Up to ``MAX_VOCABULARY``
+    rows it is broadcast. A larger one is joined by shuffling, and then tokens are counted per
+    document first, so that a frequent word is one row per document. Tokens without an entry are
+    neutral.
     """
-    terms = F.explode_outer(term_counts(as_tokens(df, column))).alias("_c")
-    counted = numbered(df).select(ROW, *keep, terms).select(
-        ROW, *keep, "_c.token", F.coalesce("_c.tf", F.lit(0)).alias("tf")
-    )
-    scored = counted.join(lexicon.select("token", "valence"), "token", "left")
+    entries, tokens = lexicon.select("token", "valence"), as_tokens(df, column)
+    if is_bounded(entries, MAX_VOCABULARY):
+        entries = F.broadcast(entries)
+        rows = numbered(df).select(ROW, *keep, F.explode_outer(tokens).alias("token"))
+        counted = rows.withColumn("tf", F.col("token").isNotNull().cast("bigint"))
+    else:
+        rows = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(tokens)).alias("_c"))
+        counted = rows.select(ROW, *keep, "_c.token", F.coalesce("_c.tf", F.lit(0)).alias("tf"))
+    scored = counted.join(entries, "token", "left")
     valence = F.coalesce(F.col("valence"), F.lit(0.0))
     sums = scored.groupBy(ROW, *keep).agg(
         F.sum(F.col("tf") * valence).alias("_s"),

@@ -71,13 +71,18 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def broadcast_if_bounded(df: DataFrame, most: int) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``most`` rows; unmarked otherwise.
+def is_bounded(df: DataFrame, most: int) -> bool:
+    """Whether ``df`` has at most ``most`` rows.
 
     A plan that ends in a ``limit`` states its own bound. Anything else is counted, up to one row
-    beyond the bound. Unmarked, Spark joins by its own size estimate, shuffling where it must.
+    beyond the bound.
     """
     stated = df._jdf.queryExecution().optimizedPlan().maxRows()
     if stated.isDefined() and int(stated.get()) <= most:
-        return F.broadcast(df)
-    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+        return True
+    return df.limit(most + 1).count() <= most
+
+
+def broadcast_if_bounded(df: DataFrame, most: int) -> DataFrame:
+    """``df`` marked for broadcast if it is bounded; otherwise Spark joins it by its own estimate."""
+    return F.broadcast(df) if is_bounded(df, most) else df
