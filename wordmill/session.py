@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -51,14 +53,61 @@ def ship_package(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def _setting(spark: SparkSession, key: str) -> str | None:
+    return spark.conf.get(key, None) or spark.sparkContext.getConf().get(key, None)
+
+
+_local_folder: list[str] = []
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which driver and executors share.
+
+    Where it is unset, a session inside one JVM (``local[n]``, as in tests) gets a folder of its
+    own; a cluster has to name one.
+    """
+    named = _setting(spark, "spark.checkpoint.dir")
+    if named:
+        return named.rstrip("/")
+    if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="wordmill-shared-"))
+    return f"file://{_local_folder[0]}"
+
+
+_staged: list[str] = []
+
+
+def stage(df: DataFrame) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder and read it from there.
+
+    The rows are fixed from then on: a lost executor costs a read, not the work above. Readers
+    prune columns and see the sizes.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _staged.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system of its path."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove what ``stage`` has written; for callers that are done with its frames."""
+    while _staged:
+        remove_path(spark, _staged.pop())
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` on shared storage, so that losing an executor cannot change its rows."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="wordmill-checkpoint-"))
-    return df.checkpoint()
+    return stage(df)
 
 
 def spread(scan: DataFrame) -> DataFrame:
