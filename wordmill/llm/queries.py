@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import mixing, packing, tokens
+from wordmill.llm import jaccard, mixing, packing, tokens
 from wordmill.llm.sql import MIXING_SQL
 
 # Exponent of the rows of a source in its target weight: large sources are held back.
@@ -35,11 +35,15 @@ def op2_pack_best_fit(spark, sf_dir):
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), PACK_CAPACITY)
 
 
+def op5_jaccard_join(spark, sf_dir):
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_count_tokens(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op7_count_tokens)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op5_jaccard_join, op7_count_tokens)}
 
 ORACLE = {"op1_mix_sources": MIXING_SQL}
