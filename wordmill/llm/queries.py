@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import jaccard, mixing, packing, tokens
+from wordmill.llm import jaccard, mixing, packing, secrets, tokens
 from wordmill.llm.sql import MIXING_SQL
 
 # Exponent of the rows of a source in its target weight: large sources are held back.
@@ -35,6 +35,10 @@ def op2_pack_best_fit(spark, sf_dir):
     return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), PACK_CAPACITY)
 
 
+def op3_scan_secrets(spark, sf_dir):
+    return secrets.scan_digest(table(spark, sf_dir, "documents"))
+
+
 def op5_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -44,6 +48,6 @@ def op7_count_tokens(spark, sf_dir):
     return tokens.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op5_jaccard_join, op7_count_tokens)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op5_jaccard_join, op7_count_tokens)}
 
 ORACLE = {"op1_mix_sources": MIXING_SQL}
