@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import jaccard, mixing, packing, secrets, tokens
+from wordmill.llm import jaccard, mixing, packing, quality, secrets, tokens
 from wordmill.llm.sql import MIXING_SQL
 
 # Exponent of the rows of a source in its target weight: large sources are held back.
@@ -39,6 +39,11 @@ def op3_scan_secrets(spark, sf_dir):
     return secrets.scan_digest(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return quality.assess(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op5_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -48,6 +53,6 @@ def op7_count_tokens(spark, sf_dir):
     return tokens.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op5_jaccard_join, op7_count_tokens)}
+QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op4_quality_rules, op5_jaccard_join, op7_count_tokens)}
 
 ORACLE = {"op1_mix_sources": MIXING_SQL}
