@@ -23,3 +23,18 @@ SELECT doc_id, text, lang, source, n_chars, copy::INTEGER AS copy,
     AS shuffle_key
 FROM (SELECT *, unnest(generate_series(0, k - 1)) AS copy FROM counted WHERE k > 0)
 """
+
+TOP_K_SQL = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: isfinite(x))) = len(embedding)
+),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+    list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 20
+"""
