@@ -20,6 +20,7 @@ packed one by one; the table's other columns are left out; an empty table gives
 from __future__ import annotations
 
 import heapq
+import unicodedata
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
@@ -35,6 +36,52 @@ from wordmill.llm.tokens import ChunkCache, load_tokenizer
 from wordmill.session import stage
 
 _RANK_BITS = 44  # pieces of one length
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks without the apostrophe
+
+
+class WordEncoder:
+    """Ids of words (runs without ASCII white space) as little-endian bytes, in two stages of caching.
+
+    A word is cut into its body and the marks it ends with, where the tokenizer's pattern cuts too:
+    after a letter or digit, before ASCII marks other than an apostrophe. Many words share a body.
+    Bodies of letters are one piece of the pattern each, so a batch of them is encoded as one text
+    and taken apart by piece.
+    """
+
+    def __init__(self, tokenizer) -> None:
+        self.tokenizer = tokenizer
+        self.parts = ChunkCache(self._encode_parts)
+
+    def __call__(self, words: list[bytes]) -> list[bytes]:
+        cut = [self._cut(w) for w in words]
+        known = self.parts.fill([p for pair in cut for p in pair if p])
+        return [known[body] + known[marks] if marks else known[body] for body, marks in cut]
+
+    @staticmethod
+    def _cut(word: bytes) -> tuple[str, str]:
+        text = word.decode("utf-8", "replace")
+        body = text.rstrip(MARKS)
+        if not body or not unicodedata.normalize("NFC", body[-1]).lower()[-1].isalnum() or "<|" in text:
+            body = text
+        marks = text[len(body) :]
+        return (body.lower() if body.isascii() and "<|" not in body else body), marks
+
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        plain = [p for p in parts if p.lower().isalpha() and unicodedata.is_normalized("NFC", p)]
+        found: dict[str, bytes] = {}
+        if plain:
+            whole = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
+            ids = np.array(whole.ids, dtype="<u4")
+            starts = np.flatnonzero(np.diff(np.array(whole.word_ids), prepend=-1))
+            if len(starts) != len(plain):
+                raise ValueError("a body of letters is not a single piece of this tokenizer")
+            raw = ids.tobytes()
+            ends = np.append(starts[1:], len(ids))
+            found = {p: raw[4 * a : 4 * b] for p, a, b in zip(plain, starts.tolist(), ends.tolist(), strict=True)}
+        rest = [p for p in parts if p not in found]
+        encoded = self.tokenizer.encode_batch(rest, add_special_tokens=False)
+        found.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(rest, encoded, strict=True))
+        return [found[p] for p in parts]
 
 
 def encode_pieces(
@@ -43,7 +90,7 @@ def encode_pieces(
     """Pieces of at most ``capacity`` tokens, with their position within (task, length).
 
     The tokenizer drops white space and never merges across it, so a text's ids are those of its
-    words one after the other; each distinct word is encoded once per worker.
+    words one after the other; distinct words are encoded once per worker while its cache holds them.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     schema = (
@@ -53,14 +100,7 @@ def encode_pieces(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         tokenizer = load_tokenizer(tokenizer_path)
-        cache = ChunkCache(
-            lambda words: [
-                np.array(e.ids, dtype="<u4").tobytes()
-                for e in tokenizer.encode_batch(
-                    [w.decode("utf-8", "replace") for w in words], add_special_tokens=False
-                )
-            ]
-        )
+        cache = ChunkCache(WordEncoder(tokenizer))
         task = TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         seen: dict[int, int] = defaultdict(int)
