@@ -51,11 +51,13 @@ THETA = 1 - PERCENT / 100
 # A region joins in one task up to so many documents and shingles; larger ones recurse.
 REGION_DOCS = 2_000
 REGION_SHINGLES = 2_000_000
+MERGES = 2  # times that regions of neighbouring pivots become one
 PIVOTS = 32  # sampled per large region
 MAX_LEVELS = 8  # of recursion; what is large even then is compared in blocks
 MAX_REPLICATION = 3.0  # mean regions per document above which windows do not separate
-WINDOW_SHINGLES = 1_500_000  # shingles a map task sorts at once
-_KEYS_PER_PARTITION = 8
+WINDOW_SHINGLES = 1_200_000  # shingles a map task sorts at once
+# Blocks by shingle and by document; several a partition, so that hashing keys evens out.
+_SHINGLE_KEYS, _DOCUMENT_KEYS = 8, 2
 _NO_OWNER = np.uint32(0xFFFFFFFF)
 _MANY_RUNS = 16  # distances kept as windows
 
@@ -95,23 +97,29 @@ def _cut(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _entries(docs: DataFrame, text_col: str, words: int, parts_: int) -> DataFrame:
-    """Blocks of (shingle, document) entries by shingle, and of what is already known by document."""
-    keys = np.uint64(parts_ * _KEYS_PER_PARTITION)
+    """Blocks of (shingle, document) entries by shingle, and of what is already known by document.
+
+    A task numbers its documents within their document key, which follows from the signature: equal
+    sets of different tasks get the same key. The number and the key fill an owner's 32 bits.
+    """
+    keys, document_keys = np.uint64(parts_ * _SHINGLE_KEYS), parts_ * _DOCUMENT_KEYS
+    bits = _owner_bits(document_keys)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         task = TaskContext.get().partitionId()
         sets: list[np.ndarray] = []
         seen: set[tuple[int, int]] = set()
         facts: list[tuple[int, int, int]] = []
-        first = held = 0
+        owners: list[int] = []
+        numbers = np.zeros(document_keys, np.int64)
 
         def flush() -> Iterator[dict]:
-            nonlocal first, held
             if not sets:
                 return
             rows: list[tuple] = []
             shingles = np.concatenate(sets)
-            owner = np.repeat(np.arange(len(sets), dtype=np.uint32), [len(s) for s in sets]) + np.uint32(first)
+            ids = np.array(owners, dtype=np.uint32)
+            owner = np.repeat(ids, [len(s) for s in sets])
             order = np.argsort(shingles, kind="stable")
             shingles, owner = shingles[order], owner[order]
             new = np.empty(len(shingles), bool)
@@ -129,24 +137,24 @@ def _entries(docs: DataFrame, text_col: str, words: int, parts_: int) -> DataFra
             for k, lo, hi in zip(found, at[:-1], at[1:], strict=True):
                 rows.append((_ENTRY, int(k), sorted_planes(entry[lo:hi]), planes(entry_owner[lo:hi])))
             known, by = shingles[common], owner[common]
-            order = np.argsort(by % np.uint32(keys), kind="stable")
+            order = np.argsort(by >> np.uint32(bits), kind="stable")
             known, by = known[order], by[order]
-            found, at = _cut(by % np.uint32(keys))
+            found, at = _cut(by >> np.uint32(bits))
             for k, lo, hi in zip(found, at[:-1], at[1:], strict=True):
-                rows.append((_SHARED, int(k), known[lo:hi].tobytes(), planes(by[lo:hi])))
+                rows.append((_SHARED, int(k), sorted_planes(known[lo:hi]), planes(by[lo:hi])))
             facts_ = np.array(facts, dtype=np.int64).reshape(-1, 3)
-            ordinals = np.arange(first, first + len(sets), dtype=np.uint32)
-            for k in range(min(int(keys), len(sets))):
-                own = ordinals[k :: int(keys)]
-                rows.append((_DIRECTORY, int(own[0] % np.uint32(keys)), facts_[k :: int(keys)].tobytes(), planes(own)))
-            first += len(sets)
+            order = np.argsort(ids, kind="stable")
+            found, at = _cut(ids[order] >> np.uint32(bits))
+            for k, lo, hi in zip(found, at[:-1], at[1:], strict=True):
+                rows.append((_DIRECTORY, int(k), facts_[order[lo:hi]].tobytes(), planes(ids[order[lo:hi]])))
             sets.clear()
             facts.clear()
-            held = 0
+            owners.clear()
             for at_ in range(0, len(rows), 64):
                 kind, key_, a, b = zip(*rows[at_ : at_ + 64], strict=True)
                 yield {"kind": kind, "key": key_, "task": [task] * len(kind), "a": a, "b": b}
 
+        held = 0
         for part in parts:
             for text in raw_texts(part, text_col):
                 own = shingle_set(text, words)
@@ -156,16 +164,27 @@ def _entries(docs: DataFrame, text_col: str, words: int, parts_: int) -> DataFra
                 if sign in seen:  # an equal set of this task stands for it
                     continue
                 seen.add(sign)
+                key = sign[0] % document_keys
+                if numbers[key] >> bits:
+                    raise ValueError("too many documents in a task; raise spark.sql.shuffle.partitions")
+                owners.append((key << bits) | int(numbers[key]))
+                numbers[key] += 1
                 sets.append(own)
                 facts.append((len(own), *sign))
                 held += len(own)
                 if held >= WINDOW_SHINGLES:
                     yield from flush()
+                    held = 0
         yield from flush()
 
     return map_rows(docs.select(text_col), run, _BLOCKS)
 
 
+def _owner_bits(document_keys: int) -> int:
+    """Bits of a document's number beside its key; no owner reaches ``_NO_OWNER``."""
+    return 31 - int(document_keys).bit_length()
+
+
 def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
     for part in parts:
         yield from zip(*(part.column(i).to_pylist() for i in range(5)), strict=True)
@@ -173,7 +192,7 @@ def _blocks(parts: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 def _shared_by_document(entries: DataFrame, parts_: int) -> DataFrame:
     """Blocks by document of the shingles that another document has too."""
-    keys = parts_ * _KEYS_PER_PARTITION
+    bits = _owner_bits(parts_ * _DOCUMENT_KEYS)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         shingles, owners = [], []
@@ -196,14 +215,14 @@ def _shared_by_document(entries: DataFrame, parts_: int) -> DataFrame:
         shared[:-1] |= same
         shared &= owner >= 0
         shingle, owner = shingle[shared], owner[shared]
-        key = (owner & 0xFFFFFFFF) % keys
+        key = (owner & 0xFFFFFFFF) >> bits
         order = np.argsort(key, kind="stable")
         shingle, owner, key = shingle[order], owner[order], key[order]
         found, at = _cut(key)
         for k, lo, hi in zip(found, at[:-1], at[1:], strict=True):
             yield {
-                "kind": [_SHARED], "key": [int(k)], "task": [-1], "a": [shingle[lo:hi].tobytes()],
-                "b": [owner[lo:hi].tobytes()],
+                "kind": [_SHARED], "key": [int(k)], "task": [-1], "a": [sorted_planes(shingle[lo:hi])],
+                "b": [planes(owner[lo:hi])],
             }
 
     # The kinds spread apart, so that what only passes through does not gather with the entries.
@@ -221,9 +240,9 @@ def _survivors(blocks: DataFrame, parts_: int) -> DataFrame:
                 facts.append(np.frombuffer(a, np.int64).reshape(-1, 3))
                 known.append((np.int64(task) << 32) | from_planes(b, "<u4").astype(np.int64))
                 continue
-            shingles.append(np.frombuffer(a, np.uint64))
+            shingles.append(from_sorted_planes(a))
             owners.append(
-                np.frombuffer(b, np.int64) if task < 0
+                from_planes(b, "<i8") if task < 0
                 else (np.int64(task) << 32) | from_planes(b, "<u4").astype(np.int64)
             )
         if not shingles or not facts:
@@ -240,8 +259,12 @@ def _survivors(blocks: DataFrame, parts_: int) -> DataFrame:
         order = np.argsort(ids)
         fact = fact[order][np.searchsorted(ids[order], found)]
         sizes = np.diff(at)
+        seen: set[tuple[int, int]] = set()
         for i in np.flatnonzero(sizes >= least_shared(fact[:, 0])):
             n, s1, s2 = fact[i].tolist()
+            if (s1, s2) in seen:  # equal sets have one key, and so meet here
+                continue
+            seen.add((s1, s2))
             yield {"s1": [s1], "s2": [s2], "n": [n], "shingles": [shingle[at[i] : at[i + 1]].tobytes()]}
 
     dealt = blocks.repartition(parts_, "key")
@@ -291,7 +314,14 @@ def _regions(nodes: DataFrame) -> DataFrame:
     first = _first_shingles(nodes)
     pivots = first.groupBy("shingle").agg(F.min("node").alias("region"), F.max("node").alias("_last"))
     pivots = pivots.filter("region != _last").drop("_last")
-    return first.join(pivots, "shingle").select("region", "node").distinct()
+    pairs = stage(first.join(pivots, "shingle").select("region", "node").distinct())
+    for _ in range(MERGES):
+        # A pivot is itself in regions; its region joins the first of them, which keeps all pairs.
+        into = pairs.join(pairs.select(F.col("region").alias("_r")).distinct(), F.col("node") == F.col("_r"), "left_semi")
+        into = into.groupBy("node").agg(F.min("region").alias("into")).withColumnRenamed("node", "region")
+        merged = pairs.join(into, "region", "left")
+        pairs = stage(merged.select(F.coalesce("into", "region").alias("region"), "node").distinct())
+    return pairs
 
 
 # -- 3. a region in one task -----------------------------------------------------------------------
@@ -555,10 +585,10 @@ def set_components(
     """``(s1, s2, root)`` for the sets that have links; equal roots are one class."""
     parts_ = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shared = _shared_by_document(_entries(docs, text_col, words, parts_), parts_)
-    nodes = _survivors(shared, parts_).groupBy("s1", "s2").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
+    nodes = _survivors(shared, parts_)
     held = (F.length("shingles") / 8).cast("long")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()).withColumn("held", held))
-    roots = components(_resolve(stage(_regions(nodes)), nodes, parts_, region_docs, region_shingles))
+    roots = components(_resolve(_regions(nodes), nodes, parts_, region_docs, region_shingles))
     return nodes.select("node", "s1", "s2").join(roots, "node").select("s1", "s2", "root")
 
 
