@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import html, jaccard, mixing, packing, pii, quality, secrets, tokens, topk
+from wordmill.llm import html, jaccard, lm, mixing, packing, pii, quality, secrets, tokens, topk
 from wordmill.llm.sql import MIXING_SQL, TOP_K_SQL
 
 # Exponent of the rows of a source in its target weight: large sources are held back.
@@ -48,6 +48,10 @@ def op5_jaccard_join(spark, sf_dir):
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_score_texts(spark, sf_dir):
+    return lm.score_corpus(table(spark, sf_dir, "documents"))
+
+
 def op7_count_tokens(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return tokens.count_tokens(docs, tokenizer_path("byte_bpe_50k.json"), TOKEN_LIMIT)
@@ -66,6 +70,12 @@ def op10_personal_data(spark, sf_dir):
     return pii.scan_digest(docs, pii.train(docs))
 
 
-QUERIES = {f.__name__: f for f in (op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op4_quality_rules, op5_jaccard_join, op7_count_tokens, op8_extract_html, op9_top_k, op10_personal_data)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op4_quality_rules, op5_jaccard_join, op6_score_texts,
+        op7_count_tokens, op8_extract_html, op9_top_k, op10_personal_data,
+    )
+}
 
 ORACLE = {"op1_mix_sources": MIXING_SQL, "op9_top_k": TOP_K_SQL}
