@@ -19,8 +19,9 @@ def test_vocabulary_ranks_by_documents(spark):
     assert [r.token for r in by_documents.collect()] == ["b", "c"]
     assert [r.token for r in features.count_vocabulary(df, "t", 1).collect()] == ["a"]
     assert features.vocabulary_terms(by_documents) == ["b", "c"]
+    assert features.count_vocabulary(df, "t", 10**6).count() == 3
     with pytest.raises(ValueError):
-        features.count_vocabulary(df, "t", 10**9)
+        features.vocabulary_terms(features.count_vocabulary(df, "t"), most=2)
     bow = features.fit_binary_bow(df, "t", 2, 1, 1.0).transform(df)
     assert [list(r.features.toArray()) for r in bow.orderBy("id").collect()] == [[1, 0], [1, 0], [1, 1], [0, 1]]
 
@@ -38,6 +39,39 @@ def test_tfidf_long_equals_vectors_and_formula(spark):
     assert np.allclose(vectors[0].features.toArray(), [*want, 0]) and vectors[2].features.numNonzeros() == 0
 
 
+def test_tfidf_moves_no_documents(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 0, ["a", "a", "b"]), (2, 1, ["b", "c"]), (3, 1, []), (4, 0, None)], TOKENS)
+    vocabulary = features.with_idf(features.count_vocabulary(df, "t"), df)
+    inside = features.long_tfidf(df, "t", vocabulary, ["id"])
+    plan = inside._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Exchange hashpartitioning" not in plan and "Sort" not in plan
+    monkeypatch.setattr(features, "MAX_VOCABULARY", 1)
+    exchanged = features.long_tfidf(df, "t", vocabulary, ["id"])
+    got, want = ({(r.id, r.token): r.weight for r in f.collect()} for f in (inside, exchanged))
+    assert got == pytest.approx(want) and len(got) == 4
+
+
+def test_broadcast_is_bounded_in_bytes(spark):
+    wide = spark.createDataFrame([("x" * 1000,)] * 3, "t string")
+    hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(broadcast_if_bounded(wide, 3)) and not hinted(broadcast_if_bounded(wide, 3, most_bytes=2_999))
+
+
+def test_more_classes_than_literals(spark):
+    df = spark.createDataFrame([(i % 7,) for i in range(20)], "label int")
+    few, many = (models.with_balanced_weights(df, max_literals=m).groupBy("label").agg(F.first("weight").alias("w")) for m in (7, 3))
+    assert dict(map(tuple, few.collect())) == pytest.approx(dict(map(tuple, many.collect())))
+
+
+def test_largest_gradient_is_zero_at_the_optimum_only(spark):
+    rng = np.random.default_rng(1)
+    x = (rng.random((60, 4)) < 0.4).astype(float)
+    y = ((x @ [2, -1, 0.5, 0] + rng.normal(size=60)) > 0.4).astype(int)
+    df = spark.createDataFrame([(int(b), Vectors.sparse(4, [(i, v) for i, v in enumerate(a) if v])) for a, b in zip(x, y)], ["label", "features"])
+    assert models.largest_gradient(df, models.fit_logistic(df, c=10.0, tolerance=1e-9), 10.0) < 1e-3
+    assert models.largest_gradient(df, models.fit_logistic(df, c=10.0, max_iter=1), 10.0) > 0.1
+
+
 def test_broadcast_needs_a_bound(spark):
     table = spark.range(5).withColumnRenamed("id", "x")
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()
@@ -131,4 +165,35 @@ def test_tuning_end_to_end(spark):
         df, df.limit(10), {"train": df}, ["id"], "t", trial=False, trees=[5], depths=[3], min_splits=[2],
         min_leaves=[1], features=["sqrt", "log2"], k=2,
     )
-    assert forest.tuning.scores.count() == 2
+    assert forest.tuning.scores.count() == 2 and "trial" not in forest.reports
+
+
+def test_forest_trial_is_scored(spark, monkeypatch):
+    rows = [(i, i % 2, ["good" if i % 2 else "bad", f"w{i % 7}"]) for i in range(60)]
+    df = spark.createDataFrame(rows, TOKENS).cache()
+    out = training.train_forest(
+        df, df.limit(10), {"train": df}, ["id"], "t", trees=[3], depths=[2], min_splits=[2], min_leaves=[1], features=["sqrt"], k=2,
+    )
+    assert {r["class"]: r.support for r in out.reports["trial"].collect()}["accuracy"] == 10
+    alone = training.trial_forest(df, {"rest": df}, "t")
+    assert alone.model.getNumTrees == 100 and set(alone.reports) == {"rest"}
+
+
+def test_training_from_split_files(spark, tmp_path):
+    from wordmill.plans import preparation
+    from wordmill.sources.readers import read_split
+
+    body = lambda i: f"{'good solid' if i % 2 else 'poor weak'} story number{'abcdefg'[i % 7]}"
+    text = "id,type,content\n" + "".join(f'{i},{"reliable" if i % 2 else "bias"},"{body(i)}"\n' for i in range(120))
+    (tmp_path / "news.csv").write_text(text)
+    preparation.prepare_file(spark, str(tmp_path / "news.csv"), ["id"], str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["splits"]
+    train, val, test = (read_split(spark, str(tmp_path / "out" / "splits"), s) for s in ("train", "val", "test"))
+    score = lambda out, name: {r["class"]: r.f1 for r in out.reports[name].collect()}["accuracy"]
+    logistic = training.train_logistic(train, {"test": test}, ["id"], cs=[1.0], k=2)
+    forest = training.train_forest(
+        train, val, {"test": test}, ["id"], tokeniser="words", trees=[5], depths=[4], min_splits=[2], min_leaves=[1], features=["sqrt"], k=2,
+    )
+    bayes = training.train_complement_nb(train, {"test": test}, tokeniser="whitespace")
+    words = training.train_top_words(train, {"test": test}, training.STEMS)
+    assert [score(o, "test") for o in (logistic, forest, bayes, words)] == [1.0] * 4

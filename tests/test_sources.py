@@ -105,3 +105,25 @@ def test_stream(spark, tmp_path):
     query.awaitTermination(120)
     got = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(r.id for r in got.collect()) == ["1", "3"]
+
+
+STATEMENT = "\t".join(["1.json", "true", '{}', "a", "b", "c", "d", "e", "1", "2", "3", "4", "5", "where"])
+
+
+def test_statements_lose_nothing(spark, tmp_path):
+    good = write(tmp_path / "good.tsv", STATEMENT.format('"two\nlines"') + "\n" + STATEMENT.format("plain") + "\n")
+    rows = readers.read_statements(spark, good).collect()
+    assert [r.content for r in rows] == ["two\nlines", "plain"] and rows[1][8] == 1.0 and rows[0].context == "where"
+    for name, bad in (("more", STATEMENT.format("x") + "\textra"), ("fewer", STATEMENT.format("x").rsplit("\t", 1)[0]),
+                      ("count", STATEMENT.format("x").replace("\t3\t", "\tthree\t"))):
+        path = write(tmp_path / f"{name}.tsv", bad + "\n")
+        with pytest.raises(Exception):
+            readers.read_statements(spark, path).collect()
+
+
+def test_three_frames_of_statements(spark, tmp_path):
+    paths = {n: write(tmp_path / f"{n}.tsv", STATEMENT.format(f"a story of {n}") + "\n") for n in ("train", "val", "test")}
+    frames = {n: readers.read_statements(spark, p) for n, p in paths.items()}
+    preparation.prepare_three_frames(frames, str(tmp_path / "out"))
+    got = readers.read_split(spark, str(tmp_path / "out" / "splits"), "val").collect()
+    assert [r["content-tokens_stemmed"] for r in got] == ["stori val"]

@@ -52,3 +52,16 @@ def test_placing_rows_shuffles_nothing(spark):
 def test_shuffled_is_a_permutation(spark):
     ids = [r.id for r in splits.shuffled(spark.range(50), ["id"]).collect()]
     assert sorted(ids) == list(range(50)) != ids
+
+
+def test_ranks_follow_the_order(spark):
+    rows = splits.ranked_order(spark.range(200).unionByName(spark.range(3)), ["id"], 7).collect()
+    ordered = sorted(rows, key=lambda r: (r.ordering, r.id))
+    assert [r["rank"] for r in ordered] == list(range(1, 204))
+
+
+def test_strata_bound_is_a_parameter(spark):
+    df = spark.range(60).selectExpr("id", "id % 30 as label")
+    with pytest.raises(ValueError):
+        splits.stratified_folds(df, ["id"], "label", 2, max_strata=2)
+    assert splits.stratified_folds(df, ["id"], "label", 2, max_strata=30).filter("fold = 0").count() == 30

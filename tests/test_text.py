@@ -144,6 +144,13 @@ def test_stopwords(spark):
     (["123456789012345678901234567890"], "123456789012345677877719597056"),
     (["9" * 400], "inf"),
     (["http://x/;0.0000001"], "http://x/; 0.0000001"),
+    (["http://x/;0.00000000000000000001;-0.5;12345678.5"], "http://x/; 0.00000000000000000001; -0.5; 12345678.5"),
+    (["http://x/;1e-300"], "http://x/; 0." + "0" * 299 + "1"),
+    (["9" * 39], str(int(float("9" * 39)))),
+    (["9" * 40], str(int(float("9" * 40)))),
+    (["7" * 300], str(int(float("7" * 300)))),
+    ([str(2**1023 + 2**990)], str(int(float(2**1023 + 2**990)))),
+    ([str(2**126)], str(2**126)),
 ])
 def test_format_entities(spark, given_, want):
     df = spark.createDataFrame([(given_,)], "e array<string>")

@@ -180,7 +180,7 @@ _TURNS = (
 )
 _SPLIT_PARTS = (
     "parts AS (SELECT doc_id AS id, text AS content, 'train' AS split FROM documents "
-    "UNION ALL SELECT page_id, url, 'val' FROM pages UNION ALL SELECT item_id, text, 'test' FROM benchmark)"
+    "UNION ALL SELECT page_id, html, 'val' FROM pages UNION ALL SELECT item_id, text, 'test' FROM benchmark)"
 )
 
 
@@ -260,6 +260,27 @@ def _stemmed(source: str, key: str) -> str:
     )
 
 
+_STEM_DOCS = f"{_NEWS_DOCS}, {_stemmed('docs', 'id')}"
+_ENGLISH = "coalesce(lang = 'en', FALSE)"
+
+
+def _stem_bounds(rows: str) -> str:
+    """``kept``: stems within the bounds of document frequency, over the documents that ``rows`` holds for."""
+    return (
+        "dfs AS (SELECT stem, count(DISTINCT id) AS df FROM pos JOIN stems USING (token) "
+        f"WHERE id IN (SELECT id FROM docs WHERE {rows}) GROUP BY stem), "
+        f"kept AS (SELECT * FROM dfs WHERE df >= 5 AND df <= 0.95 * (SELECT count(*) FROM docs WHERE {rows}))"
+    )
+
+
+def _label_weights(rows: str) -> str:
+    one = lambda label, name: (
+        f"(SELECT round(count(*) / (count(DISTINCT label) * count(*) FILTER (label = {label}))::DOUBLE, 9) "
+        f"FROM docs WHERE {rows}) AS {name}"
+    )
+    return one(0, "weight_fake") + ", " + one(1, "weight_reliable")
+
+
 ORACLE: dict[str, str] = {
     "clean_text": f"SELECT doc_id, {_clean_of('text')} AS cleaned FROM documents",
     "extract_dates": f"SELECT o_orderkey, {_joined('m', 'dates')} FROM (SELECT o_orderkey, {_marked(_ORDER_TEXT)} AS m FROM orders)",
@@ -321,15 +342,15 @@ ORACLE: dict[str, str] = {
     "constant_label": "SELECT item_id, 'reliable' AS label, 'reliable' AS type FROM benchmark",
     "union_by_name": f"WITH {_TWO} SELECT id, lang, content, type FROM b",
     "union_left_columns": f"WITH {_TWO} SELECT id, lang, content FROM b",
-    "union_three": f"WITH {_NEWS} SELECT id, type, lang FROM news WHERE lang IN ('es', 'fr', 'de')",
+    "union_three": f"WITH {_NEWS} SELECT id, type, lang FROM news",
     "predefined_split": (
         f"WITH {_SPLIT_PARTS}, {_tokens_cte('parts', 'id, split', 'content')} "
         "SELECT id, split, len(tokens)::INT AS n_tokens FROM docs WHERE len(tokens) > 0"
     ),
     "null_counts": (
-        f"WITH {_TWO} SELECT 'left' AS frame, count(*) - count(type) AS n_missing FROM l "
-        "UNION ALL SELECT 'right', count(*) - count(type) FROM r "
-        "UNION ALL SELECT 'both', count(*) - count(type) FROM b"
+        f"WITH {_TWO} SELECT 'left' AS frame, count(*) - count(lang) AS n_missing FROM l "
+        "UNION ALL SELECT 'right', count(*) - count(lang) FROM r "
+        "UNION ALL SELECT 'both', count(*) - count(lang) FROM b"
     ),
     "conditional_count": f"WITH {_NEWS} SELECT count(*) FILTER (type = 'reliable') AS n FROM news",
     "frame_report": f"WITH {_TWO} SELECT count(*) AS n_rows, 'id,lang,content,type' AS columns FROM b",
@@ -353,7 +374,10 @@ ORACLE: dict[str, str] = {
         f"WITH {_NEWS}, c AS (SELECT type, count(*) AS n FROM news GROUP BY type) SELECT type, n, "
         "round((SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * n), 9) AS weight FROM c"
     ),
-    "shuffled_order": "SELECT doc_id, md5(doc_id || ':42') AS ordering FROM documents",
+    "shuffled_order": (
+        "SELECT doc_id, md5(doc_id || ':42') AS ordering, "
+        "row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) AS rank FROM documents"
+    ),
     "exact_split": (
         "WITH r AS (SELECT doc_id, lang, source, row_number() OVER (ORDER BY md5(doc_id || ':42'), doc_id) AS r, "
         "count(*) OVER () AS n FROM documents) SELECT doc_id, lang, source, "
@@ -407,6 +431,20 @@ ORACLE: dict[str, str] = {
     ),
     "f1_positive": f"{_PRED}, {_CLASS_SCORES} SELECT round(coalesce(sum(f) FILTER (class = 1), 0), 9) AS f1 FROM sc",
     "f1_weighted": f"{_PRED}, {_CLASS_SCORES} SELECT round(sum(f * support) / sum(support), 9) AS f1 FROM sc",
+    "logreg_cv": (
+        f"{_STEM_DOCS}, {_stem_bounds('TRUE')} SELECT (SELECT count(*) FROM docs) AS n_rows, (SELECT least(10000, count(*)) FROM kept) AS n_terms, "
+        f"4 AS n_settings, TRUE AS scores_valid, TRUE AS at_optimum, {_label_weights('TRUE')}"
+    ),
+    "logreg_plain": (
+        f"{_STEM_DOCS} SELECT (SELECT count(*) FROM docs) AS n_rows, "
+        "(SELECT least(10000, count(DISTINCT stem)) FROM pos JOIN stems USING (token)) AS n_terms, TRUE AS at_optimum"
+    ),
+    "random_forest_trial": (
+        f"{_STEM_DOCS}, {_stem_bounds(_ENGLISH)} SELECT (SELECT count(*) FROM docs WHERE {_ENGLISH}) AS n_rows, "
+        "(SELECT least(10000, count(*)) FROM kept) AS n_terms, "
+        f"(SELECT count(*) FROM docs WHERE NOT {_ENGLISH}) AS n_scored, 100 AS n_trees, TRUE AS depth_held, TRUE AS score_valid, "
+        f"{_label_weights(_ENGLISH)}"
+    ),
     "classification_report": (
         f"{_PRED}, {_CLASS_SCORES} SELECT class::VARCHAR AS class, round(p, 9) AS precision, round(r, 9) AS recall, "
         "round(f, 9) AS f1, support FROM sc "

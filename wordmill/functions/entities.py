@@ -85,10 +85,7 @@ _LONG_ENTITY = (
 
 def lower_text(text: Column) -> Column:
     """Lower-cased text without markers; a missing text counts as empty."""
-    text = F.coalesce(text, F.lit(""))
-    for marker in MARKERS:
-        text = F.replace(text, F.lit(marker), F.lit("�"))
-    return F.lower(text)
+    return F.lower(F.translate(F.coalesce(text, F.lit("")), "".join(MARKERS), "�" * len(MARKERS)))
 
 
 def mark_entities(text: Column) -> Column:

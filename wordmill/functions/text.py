@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,36 +73,64 @@ def _format_part(part: Column) -> Column:
     value = F.when(decimal_number, trimmed.try_cast("double"))
     magnitude = F.abs(value)
     infinite = (magnitude == float("inf")) | trimmed.rlike(r"^[+-]?inf(?:inity)?$")
+    sign = F.when(negative, F.lit("-")).otherwise(F.lit(""))
     return (
         F.when(infinite, F.when(negative, F.lit("-inf")).otherwise(F.lit("inf")))
         .when(trimmed.rlike(r"^[+-]?nan$"), F.lit("NaN"))
         .when(value.isNull(), part)
-        # From 2**53 on every double is integral, and from 2**126 on it exceeds a 38-digit
-        # decimal: those keep the digits as read.
-        .when(magnitude >= float(2**126), trimmed)
-        .when(
-            (magnitude >= float(2**53)) | (value == F.floor(value)),
-            F.concat(F.when(negative, F.lit("-")).otherwise(F.lit("")), _integral_digits(magnitude)),
-        )
-        .otherwise(_fraction_digits(value))
+        .when(magnitude == F.rint(magnitude), F.concat(sign, _integral_digits(magnitude)))
+        .otherwise(F.concat(sign, _fraction_digits(magnitude)))
     )
 
 
 def _integral_digits(magnitude: Column) -> Column:
-    """All digits of an integral double below 2**126, exactly."""
-    high = F.floor(magnitude / float(2**63))
-    low = magnitude - high.cast("double") * float(2**63)
-    whole = high.cast("decimal(19,0)") * F.lit(Decimal(2**63)) + low.cast("bigint").cast("decimal(19,0)")
+    """All digits of an integral double, exactly."""
     return F.when(magnitude < float(2**63), magnitude.cast("bigint").cast("string")).otherwise(
-        whole.cast("string")
+        _large_digits(magnitude)
     )
 
 
-def _fraction_digits(value: Column) -> Column:
-    """Shortest digits of a fractional double, never in exponent form."""
-    digits = value.cast("string")
-    expanded = F.regexp_replace(digits.cast("decimal(38,18)").cast("string"), r"\.?0+$", "")
-    return F.when(digits.contains("E"), expanded).otherwise(digits)
+_LIMB = 10**9  # a limb times 2**30 and a carry fit a long
+
+
+def _large_digits(magnitude: Column) -> Column:
+    """Digits of ``mantissa * 2**exponent``, multiplied out in limbs of nine digits."""
+    # One bit below the leading 53, so that a rounded logarithm does not cut a bit off.
+    exponent = F.floor(F.log2(magnitude)).cast("int") - 53
+    mantissa = (magnitude / F.pow(F.lit(2.0), exponent)).cast("bigint")
+    limbs = F.array(mantissa % _LIMB, F.call_function("div", mantissa, F.lit(_LIMB)))
+    steps = F.transform(
+        F.sequence(F.lit(0), F.floor(exponent / 30).cast("int")),
+        lambda i: F.pow(F.lit(2.0), F.least(F.lit(30), exponent - i * 30)).cast("bigint"),
+    )
+    product = F.aggregate(steps, limbs, _times)
+    text = F.array_join(F.transform(F.reverse(product), lambda x: F.lpad(x.cast("string"), 9, "0")), "")
+    return F.regexp_replace(text, "^0+", "")
+
+
+def _times(limbs: Column, factor: Column) -> Column:
+    """Limbs, lowest first, times a factor of at most 2**30."""
+    start = F.struct(F.lit(0).cast("bigint").alias("carry"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(acc: Column, limb: Column) -> Column:
+        whole = limb * factor + acc["carry"]
+        carry, rest = F.call_function("div", whole, F.lit(_LIMB)), whole % F.lit(_LIMB)
+        return F.struct(carry.alias("carry"), F.concat(acc["out"], F.array(rest)).alias("out"))
+
+    # Two more limbs of zero take up the last carry.
+    zero = F.lit(0).cast("bigint")
+    return F.aggregate(F.concat(limbs, F.array(zero, zero)), start, step, lambda acc: acc["out"])
+
+
+def _fraction_digits(magnitude: Column) -> Column:
+    """Shortest digits of a fractional double, never in exponent form: the point moves in the text."""
+    text = magnitude.cast("string")
+    form = r"^([0-9])\.([0-9]+)E(-?[0-9]+)$"
+    digits = F.regexp_replace(F.concat(F.regexp_extract(text, form, 1), F.regexp_extract(text, form, 2)), "0+$", "")
+    power = F.regexp_extract(text, form, 3).try_cast("int")
+    small = F.concat(F.lit("0."), F.repeat(F.lit("0"), -power - 1), digits)
+    large = F.concat(digits.substr(F.lit(1), power + 1), F.lit("."), digits.substr(power + 2, F.length(digits)))
+    return F.when(power.isNull(), text).when(power < 0, small).otherwise(large)
 
 
 def term_counts(tokens: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,18 +103,18 @@ def count_reliable(df: DataFrame, type_column: str = "type") -> DataFrame:
     return count_where(df, F.col(type_column) == RELIABLE)
 
 
-def missing_counts(frames: dict[str, DataFrame], column: str) -> DataFrame:
-    """``(frame, n_missing)``: missing values of a column in each of several frames."""
-    counted = [
-        df.agg(F.count_if(F.col(column).isNull()).alias("n_missing")).select(
-            F.lit(name).alias("frame"), "n_missing"
-        )
+def missing_counts(frames: dict[str, DataFrame], column: str, whole: str = "both") -> DataFrame:
+    """``(frame, n_missing)``: missing values of a column in each frame and in their union.
+
+    Frames without the column count as missing it. Each frame is scanned once.
+    """
+    parts = [
+        df.select((F.col(column) if column in df.columns else F.lit(None)).isNull().cast("bigint").alias("_m"), F.lit(name).alias("frame"))
         for name, df in frames.items()
     ]
-    out = counted[0]
-    for other in counted[1:]:
-        out = out.unionByName(other)
-    return out
+    both = reduce(DataFrame.unionByName, parts)
+    counted = both.rollup("frame").agg(F.sum("_m").alias("n_missing"))
+    return counted.select(F.coalesce("frame", F.lit(whole)).alias("frame"), F.coalesce("n_missing", F.lit(0)).alias("n_missing"))
 
 
 def frame_report(df: DataFrame) -> DataFrame:

@@ -48,31 +48,25 @@ def classification_report(
 ) -> DataFrame:
     """Per-class rows plus ``accuracy``, ``macro avg`` and ``weighted avg`` rows."""
     s = class_scores(df, label, prediction)
-    total = F.sum("support")
-    weighted = lambda c: F.sum(F.col(c) * F.col("support")) / total
-    one = s.agg(  # a handful of classes
-        F.collect_list(
-            F.struct(F.col("class").cast("string").alias("class"), "precision", "recall", "f1", "support")
-        ).alias("_rows"),
-        *[F.avg(c).alias(f"_m_{c}") for c in ("precision", "recall", "f1")],
-        *[weighted(c).alias(f"_w_{c}") for c in ("precision", "recall", "f1")],
-        total.alias("_n"),
+    weighted = lambda c: F.sum(F.col(c) * F.col("support")) / F.sum("support")
+    names = ("precision", "recall", "f1")
+    means = s.agg(
+        *[F.avg(c).alias(f"_m_{c}") for c in names], *[weighted(c).alias(f"_w_{c}") for c in names],
+        F.sum("support").alias("_n"),
     )
+    nothing = F.lit(None).cast("double")
 
-    def line(name: str, precision: Column, recall: Column, f1: Column) -> Column:
-        return F.struct(
-            F.lit(name).alias("class"), precision.alias("precision"), recall.alias("recall"),
-            f1.alias("f1"), F.col("_n").alias("support"),
-        )
+    def line(name: str, *scores: Column) -> Column:
+        return F.struct(F.lit(name).alias("class"), *[v.alias(c) for c, v in zip(names, scores)], F.col("_n").alias("support"))
 
-    nothing = F.lit(None).cast("double")
     # Recall weighted by support is the share of right predictions.
     summary = F.array(
         line("accuracy", nothing, nothing, F.col("_w_recall")),
-        line("macro avg", F.col("_m_precision"), F.col("_m_recall"), F.col("_m_f1")),
-        line("weighted avg", F.col("_w_precision"), F.col("_w_recall"), F.col("_w_f1")),
+        line("macro avg", *[F.col(f"_m_{c}") for c in names]),
+        line("weighted avg", *[F.col(f"_w_{c}") for c in names]),
     )
-    return one.select(F.inline(F.concat(F.col("_rows"), summary)))
+    classes = s.select(F.col("class").cast("string").alias("class"), *names, "support")
+    return classes.unionByName(means.select(F.inline(summary)))
 
 
 def accuracy(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:

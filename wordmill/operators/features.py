@@ -1,10 +1,10 @@
 """Bag-of-words and TF-IDF features, in long form ``(row, token, weight)`` and as ML vectors.
 
-A vocabulary is a table of at most ``size`` terms. That cap is the proven bound behind every
-broadcast and collect of a vocabulary below; a larger request is refused.
-
-The vector form works inside the row and shuffles nothing. The long form is for SQL-style use; it
-keeps one row id per document, so documents that share an id stay apart and no key is hot.
+A vocabulary is a table of at most ``size`` terms. Up to ``MAX_VOCABULARY`` terms it is held by each
+task, and documents are weighted inside their row: no exchange of documents. A larger one is joined
+by shuffling; the long form then keeps one row id per document, so documents that share an id stay
+apart and no key is hot. The vector form needs its terms on the driver and takes ``most``, the
+number of terms that it may hold there.
 """
 
 from __future__ import annotations
@@ -12,12 +12,12 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
 from wordmill.operators.counts import as_tokens, bounded_document_frequencies, token_counts
-from wordmill.session import broadcast_if_bounded, is_bounded
+from wordmill.session import broadcast_if_bounded, is_bounded, stage
 
 MAX_VOCABULARY = 200_000
 ROW = "_row"
@@ -27,14 +27,12 @@ def binary_vocabulary(
     df: DataFrame, column: str, size: int = 10_000, min_df: int = 5, max_df: float = 0.95
 ) -> DataFrame:
     """``(token, df)``: the terms of most documents within the bounds; ties in token order."""
-    _check_size(size)
     kept = bounded_document_frequencies(df, column, min_df, max_df)
     return kept.orderBy(F.desc("df"), "token").limit(size)
 
 
 def count_vocabulary(df: DataFrame, column: str, size: int = 50_000) -> DataFrame:
     """``(token, tf, df)``: the terms of highest total count; ties in token order."""
-    _check_size(size)
     return (
         df.select(F.explode(term_counts(as_tokens(df, column))).alias("_c"))
         .groupBy("_c.token")
@@ -46,7 +44,6 @@ def count_vocabulary(df: DataFrame, column: str, size: int = 50_000) -> DataFram
 
 def top_word_vocabulary(df: DataFrame, column: str, size: int = 10_000) -> DataFrame:
     """``(token, n)``: the most frequent words, as a fixed vocabulary for another tokeniser."""
-    _check_size(size)
     return token_counts(df, column).orderBy(F.desc("n"), "token").limit(size)
 
 
@@ -79,20 +76,42 @@ def long_counts(df: DataFrame, column: str, vocabulary: DataFrame, keep: list[st
 
 
 def long_tfidf(df: DataFrame, column: str, vocabulary: DataFrame, keep: list[str]) -> DataFrame:
-    """``(keep.., token, weight)``: L2-normalised tf * idf; ``vocabulary`` carries ``idf``."""
-    counted = long_counts(numbered(df), column, vocabulary.select("token", "idf"), [ROW, *keep])
+    """``(keep.., token, weight)``: L2-normalised tf * idf; ``vocabulary`` carries ``idf``.
+
+    Counts, idf and norm are made inside the row. Only beyond ``MAX_VOCABULARY`` terms are the
+    document's terms exchanged.
+    """
+    table = stage(vocabulary.select("token", "idf"))
+    if not is_bounded(table, MAX_VOCABULARY):
+        return _exchanged_tfidf(df, column, table, keep)
+    rows = sorted(table.collect())
+    if not rows:
+        return _exchanged_tfidf(df, column, table, keep)
+    tokens = F.coalesce(as_tokens(df, column), F.array().cast("array<string>"))
+    weighted = _tfidf_model(rows, "_tokens").transform(df.select(*keep, tokens.alias("_tokens")))
+    raw = F.unwrap_udt("features")
+    found = weighted.select(*keep, F.explode(F.arrays_zip(raw["indices"].alias("i"), raw["values"].alias("weight"))).alias("_p"))
+    terms = df.sparkSession.createDataFrame([(i, r["token"]) for i, r in enumerate(rows)], "_i int, token string")
+    named = found.select(*keep, F.col("_p.i").alias("_i"), F.col("_p.weight").alias("weight"))
+    return named.join(F.broadcast(terms), "_i").select(*keep, "token", "weight")
+
+
+def _exchanged_tfidf(df: DataFrame, column: str, vocabulary: DataFrame, keep: list[str]) -> DataFrame:
+    """``long_tfidf`` for a vocabulary that no task can hold."""
+    counted = long_counts(numbered(df), column, vocabulary, [ROW, *keep])
     raw = F.col("tf") * F.col("idf")
-    norm = F.sqrt(F.sum(raw * raw).over(Window.partitionBy(ROW)))
-    return counted.select(ROW, *keep, "token", (raw / norm).alias("weight"))
+    norms = counted.groupBy(ROW).agg(F.sqrt(F.sum(raw * raw)).alias("_norm"))
+    return counted.join(norms, ROW).select(*keep, "token", (raw / F.col("_norm")).alias("weight"))
 
 
 # -- vector form ---------------------------------------------------------------------------------
 
 
-def vocabulary_terms(vocabulary: DataFrame) -> list[str]:
-    """The terms on the driver, in token order; never more than ``MAX_VOCABULARY``."""
-    rows = vocabulary.select("token").limit(MAX_VOCABULARY + 1).collect()
-    _check_size(len(rows))
+def vocabulary_terms(vocabulary: DataFrame, most: int = MAX_VOCABULARY) -> list[str]:
+    """The terms on the driver, in token order; more than ``most`` are refused."""
+    rows = vocabulary.select("token").limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} terms; raise most if driver and tasks can hold them")
     return sorted(r["token"] for r in rows)
 
 
@@ -116,7 +135,10 @@ def fit_binary_bow(
 def fit_tfidf(train: DataFrame, column: str, size: int = 50_000) -> PipelineModel:
     """TF-IDF whose vocabulary and idf come from one counting job over ``train``."""
     table = with_idf(count_vocabulary(train, column, size), train).select("token", "idf")
-    rows = sorted(table.limit(MAX_VOCABULARY + 1).collect())  # at most ``size`` terms
+    return _tfidf_model(sorted(table.collect()), column)  # at most ``size`` terms
+
+
+def _tfidf_model(rows: list, column: str) -> PipelineModel:
     counts = CountVectorizerModel.from_vocabulary(
         [r["token"] for r in rows], inputCol=column, outputCol="_tf"
     )
@@ -132,19 +154,13 @@ def fit_tfidf(train: DataFrame, column: str, size: int = 50_000) -> PipelineMode
 def lexicon_sentiment(df: DataFrame, column: str, lexicon: DataFrame, keep: list[str]) -> DataFrame:
     """``pos``, ``neg``, ``neu`` shares and ``compound`` = s / sqrt(s^2 + 15) per document.
 
-    ``lexicon`` is a table ``(token, valence)`` with one row per token. Up to ``MAX_VOCABULARY``
-    rows it is broadcast. A larger one is joined by shuffling, and then tokens are counted per
-    document first, so that a frequent word is one row per document. Tokens without an entry are
-    neutral.
+    ``lexicon`` is a table ``(token, valence)`` with one row per token, broadcast if it is bounded.
+    Tokens are counted inside the row first, so that a word is one row per document. Tokens
+    without an entry are neutral.
     """
-    entries, tokens = lexicon.select("token", "valence"), as_tokens(df, column)
-    if is_bounded(entries, MAX_VOCABULARY):
-        entries = F.broadcast(entries)
-        rows = numbered(df).select(ROW, *keep, F.explode_outer(tokens).alias("token"))
-        counted = rows.withColumn("tf", F.col("token").isNotNull().cast("bigint"))
-    else:
-        rows = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(tokens)).alias("_c"))
-        counted = rows.select(ROW, *keep, "_c.token", F.coalesce("_c.tf", F.lit(0)).alias("tf"))
+    entries = broadcast_if_bounded(lexicon.select("token", "valence"), MAX_VOCABULARY)
+    rows = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(as_tokens(df, column))).alias("_c"))
+    counted = rows.select(ROW, *keep, "_c.token", F.coalesce("_c.tf", F.lit(0)).alias("tf"))
     scored = counted.join(entries, "token", "left")
     valence = F.coalesce(F.col("valence"), F.lit(0.0))
     sums = scored.groupBy(ROW, *keep).agg(
@@ -163,7 +179,3 @@ def lexicon_sentiment(df: DataFrame, column: str, lexicon: DataFrame, keep: list
         (F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + 15)).alias("compound"),
     )
 
-
-def _check_size(size: int) -> None:
-    if size > MAX_VOCABULARY:
-        raise ValueError(f"a vocabulary holds at most {MAX_VOCABULARY} terms, not {size}")

@@ -9,7 +9,7 @@ from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
@@ -26,7 +26,8 @@ FOREST_MIN_SPLIT = [2, 5, 10]
 FOREST_MIN_LEAF = [1, 2, 4]
 FOREST_FEATURES = ["sqrt", "log2"]
 
-_MAX_CLASSES = 1000
+# The reading job packs a binary bag of words, whose features have one possible cut.
+BINARY_BINS = 2
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -36,11 +37,14 @@ def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
     return counts.withColumn("weight", totals["n"] / (totals["k"] * F.col("n")))
 
 
-def with_balanced_weights(df: DataFrame, label: str = "label", weight: str = "weight") -> DataFrame:
-    """Adds the class weight of each row. The few weights become a literal, so nothing is joined."""
-    rows = class_weights(df, label).limit(_MAX_CLASSES + 1).collect()
-    if len(rows) > _MAX_CLASSES:
-        raise ValueError("the label column has too many classes")
+def with_balanced_weights(
+    df: DataFrame, label: str = "label", weight: str = "weight", max_literals: int = 1000
+) -> DataFrame:
+    """Adds the class weight of each row. Up to ``max_literals`` weights become a literal; more are joined."""
+    rows = class_weights(df, label).limit(max_literals + 1).collect()
+    if len(rows) > max_literals:
+        weights = class_weights(df, label).select(F.col(label).alias("_l"), F.col("weight").alias(weight))
+        return df.join(weights, F.col(label) == F.col("_l"), "left").drop("_l")
     value = F.lit(None).cast("double")
     for row in rows:
         value = F.when(F.col(label) == row[label], F.lit(float(row["weight"]))).otherwise(value)
@@ -63,9 +67,9 @@ def fit_logistic(
     return _logistic(balanced, max_iter, tolerance).setRegParam(1 / (c * train.count())).fit(train)
 
 
-def fit_plain_logistic(train: DataFrame, max_iter: int = 2000) -> Model:
+def fit_plain_logistic(train: DataFrame, max_iter: int = 2000, tolerance: float = 1e-8) -> Model:
     """The unweighted variant with C = 1."""
-    return fit_logistic(train, 1.0, balanced=False, max_iter=max_iter)
+    return fit_logistic(train, 1.0, balanced=False, max_iter=max_iter, tolerance=tolerance)
 
 
 def _logistic(balanced: bool, max_iter: int, tolerance: float) -> LogisticRegression:
@@ -105,18 +109,20 @@ def tune_logistic(
 
 def fit_forest(
     train: DataFrame, trees: int = 100, depth: int = 30, min_leaf: int = 1, features: str = "sqrt",
-    seed: int = 42,
+    seed: int = 42, max_bins: int = 32,
 ) -> Model:
-    """Random forest with balanced class weights; also the trial fit in front of the grid."""
-    forest = _forest(seed).setNumTrees(trees).setMaxDepth(depth)
+    """Random forest with balanced class weights; also the trial fit in front of the grid.
+
+    ``max_bins`` bounds the cuts tried per feature; ``BINARY_BINS`` is exact for binary features.
+    """
+    forest = _forest(seed, max_bins).setNumTrees(trees).setMaxDepth(depth)
     forest = forest.setMinInstancesPerNode(min_leaf).setFeatureSubsetStrategy(features)
     return forest.fit(with_balanced_weights(train))
 
 
-def _forest(seed: int) -> RandomForestClassifier:
-    # Binary features have one possible cut, so two bins hold them and keep histograms small.
+def _forest(seed: int, max_bins: int) -> RandomForestClassifier:
     return RandomForestClassifier(
-        featuresCol="features", labelCol="label", weightCol="weight", seed=seed, maxBins=2,
+        featuresCol="features", labelCol="label", weightCol="weight", seed=seed, maxBins=max_bins,
         cacheNodeIds=True, maxMemoryInMB=512,
     )
 
@@ -133,7 +139,7 @@ def tune_forest(
     train: DataFrame, keys: list[str], trees: list[int] | None = None, depths: list[int] | None = None,
     min_splits: list[int] | None = None, min_leaves: list[int] | None = None,
     features: list[str] | None = None, k: int = 3, seed: int = 42, parallelism: int = 2,
-    valid: DataFrame | None = None,
+    valid: DataFrame | None = None, max_bins: int = 32,
 ) -> Tuned:
     """Forest grid by stratified cross-validation on F1; refit on ``train`` plus ``valid`` if given."""
     sizes = node_sizes(min_splits or FOREST_MIN_SPLIT, min_leaves or FOREST_MIN_LEAF)
@@ -144,7 +150,7 @@ def tune_forest(
         for s in sizes
         for f in features or FOREST_FEATURES
     ]
-    forest = _forest(seed)
+    forest = _forest(seed, max_bins)
     grid = [
         {
             forest.numTrees: s["trees"], forest.maxDepth: s["depth"],
@@ -156,10 +162,33 @@ def tune_forest(
     means = _cross_validate(forest, grid, folded, parallelism)
     best = max(range(len(settings)), key=lambda i: means[i])
     refit_on = train if valid is None else train.unionByName(valid)
-    model = fit_forest(refit_on, seed=seed, **settings[best])
+    model = fit_forest(refit_on, seed=seed, max_bins=max_bins, **settings[best])
     return Tuned(model, settings[best], _score_table(train, settings, means))
 
 
+def largest_gradient(train: DataFrame, model: Model, c: float, balanced: bool = True) -> float:
+    """Largest absolute entry of the gradient of ``fit_logistic``'s objective at ``model``.
+
+    Zero at the optimum. The weighted features of all rows are summed by index, map-side first.
+    """
+    from pyspark.ml.functions import vector_to_array
+
+    if balanced:
+        train = with_balanced_weights(train)
+    scored = model.transform(train)
+    weight = F.col("weight") if balanced else F.lit(1.0)
+    raw = F.unwrap_udt("features")
+    residual = weight * (F.get(vector_to_array("probability"), F.lit(1)) - F.col("label"))
+    rows = scored.select(residual.alias("_r"), raw["indices"].alias("_i"), raw["values"].alias("_v"))
+    by_feature = rows.select("_r", F.explode(F.arrays_zip("_i", "_v")).alias("_p")).groupBy(F.col("_p._i").alias("i")).agg(
+        F.sum(F.col("_r") * F.col("_p._v")).alias("g")
+    )
+    w = model.coefficients.toArray()
+    found = {r.i: r.g for r in by_feature.collect()}  # at most one row per feature of the model
+    intercept = rows.agg(F.sum("_r")).first()[0]
+    return max([abs(intercept), *(abs(found.get(i, 0.0) + w[i] / c) for i in range(len(w)))])
+
+
 def _cross_validate(estimator, grid: list, folded: DataFrame, parallelism: int) -> list[float]:
     """Mean F1 of each setting. Folds come from the ``fold`` column, numbered from 0."""
     folds = folded.agg(F.max("fold")).first()[0] + 1
@@ -188,9 +217,9 @@ def complement_nb_table(
 ) -> DataFrame:
     """``(token, idf, w_0, w_1, ...)``: per class -ln of the smoothed share of a token outside it.
 
-    The table is the fitted model, so it is written out once and scoring does not train again.
-    ``vocabulary`` holds ``token`` and ``idf``; ``weights`` is the long form ``(.., label, token, weight)``. One aggregation gives all classes,
-    because the weight outside a class is the total minus the weight inside.
+    The sums are written out once, so that scoring does not train again. ``vocabulary`` holds
+    ``token`` and ``idf``; ``weights`` is the long form ``(.., label, token, weight)``. One aggregation
+    gives all classes, because the weight outside a class is the total minus the weight inside.
     """
     inside = [F.sum(F.when(F.col(label) == c, F.col("weight")).otherwise(0.0)) for c in classes]
     sums = weights.groupBy("token").agg(
@@ -200,12 +229,10 @@ def complement_nb_table(
     outside = full.select(
         "token", "idf", *[(F.col("_all") - F.col(f"_in_{c}") + alpha).alias(f"_out_{c}") for c in classes]
     )
-    # A vocabulary is bounded, so its totals fit one window.
-    everything = Window.partitionBy()
-    shares = [
-        (-F.log(F.col(f"_out_{c}") / F.sum(f"_out_{c}").over(everything))).alias(f"w_{c}") for c in classes
-    ]
-    return cut_lineage(outside.select("token", "idf", *shares))
+    outside = cut_lineage(outside)
+    totals = outside.agg(*[F.sum(f"_out_{c}").alias(f"t_{c}") for c in classes]).first()
+    shares = [(-F.log(F.col(f"_out_{c}") / F.lit(totals[f"t_{c}"]))).alias(f"w_{c}") for c in classes]
+    return outside.select("token", "idf", *shares)
 
 
 def complement_nb_predict(

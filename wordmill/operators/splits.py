@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from wordmill.session import cut_lineage
 
 _PREFIX = 4  # hex digits of a bucket
-_MAX_STRATA = 1000
+MAX_STRATA = 1000  # default bound of the strata whose cuts the driver holds
 _POSITION_BITS = 33  # low bits of monotonically_increasing_id: position inside the partition
 
 
@@ -48,12 +48,31 @@ def exact_split(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
 
 
 def stratified_folds(
-    df: DataFrame, keys: list[str], label: str, k: int = 5, seed: int = 42, fold: str = "fold"
+    df: DataFrame, keys: list[str], label: str, k: int = 5, seed: int = 42, fold: str = "fold",
+    max_strata: int = MAX_STRATA,
 ) -> DataFrame:
-    """Adds ``fold`` in 0..k-1. Every label is dealt out evenly: fold sizes differ by at most one."""
+    """Adds ``fold`` in 0..k-1. Every label is dealt out evenly: fold sizes differ by at most one.
+
+    The cuts of up to ``max_strata`` labels are held on the driver; more labels are refused.
+    """
     size, extra = F.expr(f"_total div {k}"), F.expr(f"_total % {k}")
     cuts = F.array(*[(F.lit(i) * size + F.least(F.lit(i), extra)).cast("bigint") for i in range(1, k)])
-    return _place(df, keys, seed, label, cuts, fold)
+    return _place(df, keys, seed, label, cuts, fold, max_strata)
+
+
+def ranked_order(df: DataFrame, keys: list[str], seed: int = 42, rank: str = "rank") -> DataFrame:
+    """Adds ``ordering`` and the row's ``rank`` in that order, from 1.
+
+    A row's rank is its place within its bucket of the hash plus the rows of earlier buckets, of
+    which there are at most 65,536; no window spans the table.
+    """
+    ordered = df.withColumn("ordering", seeded_order(keys, seed)).withColumn("_bucket", F.substring("ordering", 1, _PREFIX))
+    sizes = ordered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("ordering", *keys))
+    ranked = ordered.join(offsets, "_bucket").withColumn(rank, (F.col("_before") + place).cast("bigint"))
+    return ranked.drop("_bucket", "_before")
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
@@ -72,9 +91,10 @@ def shuffled(df: DataFrame, keys: list[str], seed: int = 42) -> DataFrame:
 
 
 def _place(
-    df: DataFrame, keys: list[str], seed: int, stratum: str | None, cuts: Column, out: str
+    df: DataFrame, keys: list[str], seed: int, stratum: str | None, cuts: Column, out: str,
+    max_strata: int = MAX_STRATA,
 ) -> DataFrame:
-    found = _find_cuts(df, keys, seed, stratum, cuts)
+    found = _find_cuts(df, keys, seed, stratum, cuts, max_strata)
     order = F.struct(seeded_order(keys, seed), *[F.col(k) for k in keys])
     level = F.col(stratum) if stratum else F.lit(None)
     types = [df.schema[k].dataType for k in keys]
@@ -128,7 +148,7 @@ def _place_equal_keys(equal: DataFrame, first: int, ranks: list[int], out: str)
 
 
 def _find_cuts(
-    df: DataFrame, keys: list[str], seed: int, stratum: str | None, cuts: Column
+    df: DataFrame, keys: list[str], seed: int, stratum: str | None, cuts: Column, max_strata: int
 ) -> list[_Cut]:
     level = F.col(stratum) if stratum else F.lit(None).cast("string")
     names = [f"_k{i}" for i in range(len(keys))]
@@ -150,9 +170,10 @@ def _find_cuts(
         .filter((F.col("_before") <= F.col("_rank")) & (F.col("_rank") < F.col("_before") + F.col("_n")))
         .select("_stratum", "_bucket", "_before", "_rank")
     )
-    hits = buckets.limit(_MAX_STRATA * 10 + 1).collect()  # one row per cut and stratum
-    if len(hits) > _MAX_STRATA * 10:
-        raise ValueError("too many strata for a stratified split")
+    most = max_strata * 10
+    hits = buckets.limit(most + 1).collect()  # one row per cut and stratum
+    if len(hits) > most:
+        raise ValueError(f"more than {max_strata} strata; raise max_strata if the driver can hold them")
     if not hits:
         return []
 

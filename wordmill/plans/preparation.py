@@ -10,10 +10,11 @@ from wordmill.functions.entities import entity_list, mark_entities
 from wordmill.functions.labels import text_label
 from wordmill.functions.stemming import stem_tokens
 from wordmill.functions.text import remove_stopwords, tokens_of_marked
-from wordmill.operators.combine import union_left_columns, with_constant
+from wordmill.operators.combine import labelled_union, union_left_columns, with_constant
 from wordmill.operators.splits import exact_split
 from wordmill.sources.readers import read_inferred_csv, read_text_csv, read_three
 from wordmill.sources.writers import write_processed, write_splits
+from wordmill.session import stage
 
 
 def derived_columns(column: str) -> list[str]:
@@ -68,15 +69,12 @@ def prepare_single(
     df: DataFrame, keys: list[str], path: str, column: str = "content", seed: int = 42,
     val_positive_label: str = RELIABLE, keep_processed: bool = False,
 ) -> None:
-    """One corpus to ``path/processed`` and its labelled 80/10/10 splits to ``path/splits``.
+    """One corpus and its labelled 80/10/10 splits, these to ``path/splits``.
 
-    The processed corpus is written once as Parquet and read back, so that counting for the split
-    and writing the splits do not clean the texts again. ``keep_processed`` adds it as CSV.
+    The processed corpus is staged in the shared folder, so that counting for the split and writing
+    the splits do not clean the texts again. ``keep_processed`` writes it to ``path`` as CSV too.
     """
-    spark = df.sparkSession
-    stage = f"{path.rstrip('/')}/processed"
-    prepare(df, column).write.mode("overwrite").parquet(stage)
-    processed = spark.read.parquet(stage)
+    processed = stage(prepare(df, column))
     write_processed(processed, f"{path.rstrip('/')}/processed_csv", keep_processed)
     placed = exact_split(processed, keys, seed)
     label = F.when(
@@ -85,6 +83,12 @@ def prepare_single(
     write_splits(split_columns(placed, column).withColumn("label", label), f"{path.rstrip('/')}/splits")
 
 
+def prepare_three_frames(frames: dict[str, DataFrame], path: str, column: str = "content") -> None:
+    """Three given frames, e.g. of ``read_statements``, to ``path/splits``; each keeps its rows."""
+    joined = prepare(labelled_union(frames), column)
+    write_splits(split_columns(joined, column), f"{path.rstrip('/')}/splits")
+
+
 def prepare_three(spark, paths: dict[str, str], path: str, column: str = "content", **options) -> None:
     """Three given files to ``path/splits``; each file keeps its rows and is not shuffled."""
     frame = read_three(spark, paths, **options)

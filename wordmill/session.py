@@ -120,18 +120,24 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan if scan.rdd.getNumPartitions() >= cores else scan.repartition(cores)
 
 
-def is_bounded(df: DataFrame, most: int) -> bool:
-    """Whether ``df`` has at most ``most`` rows.
+MAX_BROADCAST_BYTES = 64 << 20
 
-    A plan that ends in a ``limit`` states its own bound. Anything else is counted, up to one row
-    beyond the bound.
+
+def is_bounded(df: DataFrame, most: int, most_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether ``df`` has at most ``most`` rows and its strings at most ``most_bytes`` in sum.
+
+    Measured up to one row beyond the bound; hand in a frame that is cheap to read.
     """
-    stated = df._jdf.queryExecution().optimizedPlan().maxRows()
-    if stated.isDefined() and int(stated.get()) <= most:
-        return True
-    return df.limit(most + 1).count() <= most
+    strings = [F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    size = F.sum(sum(strings, F.lit(0))).alias("size")
+    found = df.limit(most + 1).agg(F.count(F.lit(1)).alias("n"), size).first()
+    return found.n <= most and (found["size"] or 0) <= most_bytes
 
 
-def broadcast_if_bounded(df: DataFrame, most: int) -> DataFrame:
-    """``df`` marked for broadcast if it is bounded; otherwise Spark joins it by its own estimate."""
-    return F.broadcast(df) if is_bounded(df, most) else df
+def broadcast_if_bounded(df: DataFrame, most: int, most_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it is small in rows and bytes; otherwise Spark joins it by its own estimate.
+
+    The table is staged first, so that measuring and joining compute it once.
+    """
+    table = stage(df)
+    return F.broadcast(table) if is_bounded(table, most, most_bytes) else table

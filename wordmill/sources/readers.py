@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wordmill.functions.constants import STATEMENT_COLUMNS, STATEMENT_COUNT_COLUMNS
+from wordmill.sources.writers import split_path
 
 _CSV = {"header": True, "quote": '"', "escape": '"', "mode": "FAILFAST"}
 
@@ -48,8 +49,16 @@ def statement_schema() -> T.StructType:
 
 
 def read_statements(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Headerless tab-separated statement file with its fourteen fixed columns."""
-    return spark.read.csv(path, sep="\t", header=False, quote='"', escape='"', schema=statement_schema())
+    """Headerless tab-separated statement file with its fourteen fixed columns.
+
+    A line with more or fewer fields, and a count that is no number, fail the job; a line break
+    inside quotes belongs to its field.
+    """
+    # Counts are read as text first: the scan would turn a bad one into a missing value.
+    text = T.StructType([T.StructField(c, T.StringType()) for c in STATEMENT_COLUMNS])
+    reader = spark.read.option("columnPruning", False)  # a pruned scan would not see surplus fields
+    raw = reader.csv(path, sep="\t", schema=text, **(_CSV | {"header": False, "multiLine": True}))
+    return raw.select([_col(f.name).cast(f.dataType).alias(f.name) for f in statement_schema()])
 
 
 def read_three(spark: SparkSession, paths: dict[str, str] | list[str], **options) -> DataFrame:
@@ -67,6 +76,12 @@ def read_three(spark: SparkSession, paths: dict[str, str] | list[str], **options
     return reduce(DataFrame.unionByName, frames)
 
 
+def read_split(spark: SparkSession, path: str, split: str, fmt: str = "csv", **options) -> DataFrame:
+    """One split that ``write_splits`` wrote; the tokens of a CSV split are blank-joined text."""
+    place = split_path(path, split)
+    return read_text_csv(spark, place, **options) if fmt == "csv" else spark.read.format(fmt).load(place)
+
+
 def is_processed(df: DataFrame, column: str = "content") -> bool:
     """True for a processed corpus, False for a split one; any other frame is an error."""
     if f"{column}-tokens_no_stop" in df.columns:
