@@ -8,6 +8,16 @@ from wordmill.functions.stemming import stem, stem_tokens, stem_word
 # Sample pairs published with the algorithm, plus its listed exceptions.
 PAIRS = dict(
     p.split(":") for p in (
+        "consigning:consign consignment:consign consist:consist consisted:consist consistent:consist "
+        "consisting:consist consists:consist consolations:consol console:consol consoled:consol consoles:consol "
+        "consolidate:consolid consolidated:consolid consoling:consol consolingly:consol consols:consol "
+        "consort:consort consorted:consort consorting:consort conspicuous:conspicu conspirator:conspir "
+        "conspire:conspir conspired:conspir conspiring:conspir constable:constabl constables:constabl "
+        "constance:constanc constant:constant knack:knack knacks:knack knag:knag knave:knave knaves:knave "
+        "kneaded:knead kneading:knead knee:knee kneel:kneel kneeling:kneel kneels:kneel knell:knell knelt:knelt "
+        "knew:knew knick:knick knif:knif knife:knife knight:knight knights:knight knit:knit knits:knit "
+        "knitting:knit knob:knob knobs:knob knock:knock knocked:knock knocker:knocker knocking:knock "
+        "knopp:knopp knot:knot knots:knot "
         "consign:consign consigned:consign consistency:consist consistently:consist "
         "consolation:consol consolatory:consolatori consolidating:consolid consonant:conson "
         "conspicuously:conspicu conspiracy:conspiraci conspirators:conspir constancy:constanc "

@@ -61,6 +61,7 @@ def test_worked_example(spark):
     assert cleaned(spark, [t])[0].c == want
 
 
+# The pattern of the entities.
 def _plain_pattern():
     month = "(?:" + "|".join(MONTHS) + ")[a-z]*"
     url_char = r"""[^\s)\]}'<>"]"""

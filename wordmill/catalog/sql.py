@@ -10,6 +10,7 @@ from wordmill.catalog.queries import LEXICON
 from wordmill.functions.constants import FAKE_TYPES, MONTHS, STOPWORDS
 from wordmill.functions.stemming import KEPT_AFTER_PLURAL, SPECIAL, STEP_2, STEP_3, STEP_4
 
+# The pattern of the entities.
 _MONTH = "(?:" + "|".join(MONTHS) + ")[a-z]*"
 _URL_CHAR = r"""[^\s)\]}''<>"]"""
 _PATTERN = (

@@ -30,6 +30,7 @@ MARKERS = [chr(0xFDD0 + i) for i in range(5)]
 RUN_LIMIT = 256
 
 # Lower-casing leaves the long s alone, and it counts as an s when case is ignored.
+# The forms of dates, mail addresses, links and numbers.
 _LETTER = "a-zſ"
 _S = "[sſ]"
 _LOCAL = rf"{_LETTER}0-9._%+\-"
