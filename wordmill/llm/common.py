@@ -42,13 +42,12 @@ def map_rows(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for columns in function(part for batch in batches for part in slices(batch)):
-            yield pa.RecordBatch.from_arrays(
-                [
-                    c if isinstance(c, pa.Array) else pa.array(c, type=arrow.field(name).type)
-                    for name, c in ((name, columns[name]) for name in names)
-                ],
-                schema=arrow,
-            )
+            arrays = [
+                c if isinstance(c := columns[name], pa.Array) else pa.array(c, type=arrow.field(name).type) for name in names
+            ]
+            # Lists made from flat arrays name their element in another way.
+            arrays = [c if c.type == arrow.field(n).type else c.cast(arrow.field(n).type) for n, c in zip(names, arrays, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return df.mapInArrow(run, schema)
 

@@ -129,10 +129,6 @@ def windows(texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input:
         yield Window(np.flatnonzero(going), inputs, targets, keep, owner, found, ended)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
 class Model:
     def __init__(self, weights: Weights) -> None:
         self.w = weights
@@ -148,7 +144,11 @@ class Model:
         for t in range(steps):
             before = h * window.keep[t][:, None]
             again = before @ w.again
-            gates = _sigmoid(into[t, :, : 2 * HIDDEN] + again[:, : 2 * HIDDEN])
+            gates = into[t, :, : 2 * HIDDEN] + again[:, : 2 * HIDDEN]
+            gates *= 0.5
+            np.tanh(gates, out=gates)
+            gates += 1
+            gates *= 0.5  # the logistic function
             update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
             candidate = np.tanh(into[t, :, 2 * HIDDEN :] + reset * again[:, 2 * HIDDEN :])
             h = candidate + update * (before - candidate)
@@ -157,25 +157,27 @@ class Model:
                 kept.append((before, update, reset, candidate, again[:, 2 * HIDDEN :]))
         return out, h, (embedded, kept)
 
-    def _by_class(self, targets: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(targets // CLASS_WORDS, kind="stable")
-        classes = targets[order] // CLASS_WORDS
-        cuts = np.flatnonzero(np.diff(classes)) + 1
-        for own in np.split(order, cuts):
-            if len(own) and targets[own[0]] < VOCABULARY:
-                yield int(targets[own[0]] // CLASS_WORDS), own
+    @staticmethod
+    def _by_class(targets: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """Classes of sorted targets, and where they are; the tail has no words to tell apart."""
+        cuts = np.searchsorted(targets, np.arange(0, VOCABULARY + 1, CLASS_WORDS)).tolist()
+        for c, (start, end) in enumerate(zip(cuts, cuts[1:])):
+            if end > start:
+                yield c, slice(start, end)
 
     def log_probabilities(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithm per step and lane (zero where there is no target), and the last state."""
         states, h, _ = self.states(window, h, remember=False)
         w, flat = self.w, window.targets.ravel()
-        at = np.flatnonzero(flat >= 0)
+        at = _sorted_targets(flat)
         hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
         logits = hidden @ w.to_class + w.class_bias
-        found = logits[np.arange(len(at)), targets // CLASS_WORDS] - _log_sum(logits)
+        found = logits[np.arange(len(at)), targets // CLASS_WORDS]
+        found -= _log_sum(logits)
         for c, own in self._by_class(targets):
             logits = hidden[own] @ w.to_word[c] + w.word_bias[c]
-            found[own] += logits[np.arange(len(own)), targets[own] % CLASS_WORDS] - _log_sum(logits)
+            wanted = logits[np.arange(len(logits)), targets[own] % CLASS_WORDS]
+            found[own] += wanted - _log_sum(logits)
         out = np.zeros(len(flat))
         out[at] = found
         return out.reshape(window.targets.shape), h
@@ -185,26 +187,26 @@ class Model:
         w, (steps, lanes) = self.w, window.inputs.shape
         states, last, (embedded, kept) = self.states(window, h, remember=True)
         flat = window.targets.ravel()
-        at = np.flatnonzero(flat >= 0)
+        at = _sorted_targets(flat)
         hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
         total = 0.0
         d_hidden = np.zeros((steps * lanes, HIDDEN), np.float32)
 
         logits = hidden @ w.to_class + w.class_bias
-        lead = _log_sum(logits)
         rows, classes = np.arange(len(at)), targets // CLASS_WORDS
-        total += float((logits[rows, classes] - lead).sum())
-        d = -np.exp(logits - lead[:, None])
+        own_logits = logits[rows, classes]
+        lead, d = _soft_max(logits)
+        total += float((own_logits - lead).sum())
         d[rows, classes] += 1
         to_class, class_bias = hidden.T @ d, d.sum(0)
         d_own = d @ w.to_class.T
         to_word, word_bias = np.zeros_like(w.to_word), np.zeros_like(w.word_bias)
         for c, own in self._by_class(targets):
             logits = hidden[own] @ w.to_word[c] + w.word_bias[c]
-            lead = _log_sum(logits)
-            rows, words = np.arange(len(own)), targets[own] % CLASS_WORDS
-            total += float((logits[rows, words] - lead).sum())
-            d = -np.exp(logits - lead[:, None])
+            rows, words = np.arange(len(logits)), targets[own] % CLASS_WORDS
+            own_logits = logits[rows, words]
+            lead, d = _soft_max(logits)
+            total += float((own_logits - lead).sum())
             d[rows, words] += 1
             to_word[c], word_bias[c] = hidden[own].T @ d, d.sum(0)
             d_own[own] += d @ w.to_word[c].T
@@ -236,9 +238,28 @@ class Model:
         )
 
 
+def _sorted_targets(flat: np.ndarray) -> np.ndarray:
+    """Places that have a target, in the order of the targets: those of a class are a slice."""
+    order = np.argsort(flat, kind="stable")
+    return order[np.searchsorted(flat[order], 0) :]
+
+
 def _log_sum(logits: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials by row; changes ``logits``."""
+    top = logits.max(axis=1)
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return top + np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
+def _soft_max(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``_log_sum``, and the negative probabilities in place of ``logits``."""
     top = logits.max(axis=1)
-    return top + np.log(np.exp(logits - top[:, None]).sum(axis=1))
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    sums = logits @ np.ones(logits.shape[1], logits.dtype)
+    logits *= -(1 / sums)[:, None]
+    return top + np.log(sums), logits
 
 
 def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 128, rate: float = 0.1) -> tuple[Weights, int]:

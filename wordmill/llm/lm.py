@@ -158,7 +158,7 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
     flat = docs.sparkSession.sparkContext.broadcast(weights.flat())
     schema = (
         f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, base double, score double,"
-        " other array<struct<word: binary, n: int>>"
+        " other array<binary>, many array<int>"
     )
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -177,10 +177,10 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
                     words = words_of(text)
                     places = _targets(words, index)
                     inside = places[places >= 0]
-                    other = Counter(w for w, i in zip(words, places.tolist(), strict=True) if i < 0)
+                    other = Counter([words[i] for i in np.flatnonzero(places < 0).tolist()])
                     facts[at] = (
                         key, fold(key) == HELD_OUT, len(words), int((table.counts[inside] > 0).sum()),
-                        float(logs[inside].sum()), float(tail[inside].sum()), list(other.items()),
+                        float(logs[inside].sum()), float(tail[inside].sum()), other,
                     )
                     yield at, _in_model(places)
                     at += 1
@@ -190,9 +190,12 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
         def out() -> dict:
             key, held_out, n, known, base, score, other = zip(*held, strict=True)
             held.clear()
+            ends = pa.array(np.cumsum([0, *map(len, other)], dtype=np.int32))
+            flat = pa.array([w for o in other for w in o], pa.binary())
+            many = pa.array([c for o in other for c in o.values()], pa.int32())
             return {
                 id_col: list(key), "held_out": held_out, "n_tokens": n, "n_known": known, "base": base, "score": score,
-                "other": [[{"word": w, "n": c} for w, c in o] for o in other],
+                "other": pa.ListArray.from_arrays(ends, flat), "many": pa.ListArray.from_arrays(ends, many),
             }
 
         own = weights.like(flat.value)
@@ -221,7 +224,8 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     scored = stage(
         score_texts(docs, shared, weights, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     )
-    others = scored.select("row", F.explode("other").alias("o")).select("row", "o.word", F.col("o.n").alias("many"))
+    others = scored.select("row", F.explode(F.arrays_zip("other", "many")).alias("o"))
+    others = others.select("row", F.col("o.other").alias("word"), F.col("o.many").alias("many"))
     c = F.coalesce(F.col("n"), F.lit(0))
     joined = others.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("many")).otherwise(0)).alias("known"),
