@@ -608,24 +608,37 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` without those that another row of their class stands for.
 
-    The row with the smallest id stays (rows without an id come last; among equal ids one row, no
-    matter which). Rows without shingles all stay.
+    The row with the smallest id stays (rows without an id come last, then the smaller set hash; of
+    rows equal in id and set, one, no matter which). Rows without words all stay. Texts move once,
+    to meet the keys that stay; all else works on sets and keys.
     """
     words = options.get("words", SHINGLE_WORDS)
-    names = {c: free_name(docs, c) for c in ("n_shingles", "s1", "s2", "row")}
-    signed = stage(_signed(docs, text_col, words, names).withColumn(names["row"], F.monotonically_increasing_id()))
-    narrow = signed.select(
-        F.col(id_col).alias("id"), *[F.col(mine).alias(c) for c, mine in names.items()]
-    ).filter("n_shingles > 0")
-    roots = set_components(signed.select(text_col), text_col, **options)
-    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")
-    by_set = stage(narrow.groupBy("s1", "s2").agg(first).join(roots, ["s1", "s2"], "left"))
-    lone = by_set.filter("root is null").select(F.col("first.row").alias("row"))
-    best = by_set.filter("root is not null").groupBy("root").agg(F.min("first").alias("first"))
-    stays = lone.union(best.select(F.col("first.row").alias("row"))).select(F.col("row").alias("_kept_row"))
-    has_words = signed.filter(F.col(names["n_shingles"]) > 0)
-    kept = has_words.join(stays, has_words[names["row"]] == stays["_kept_row"], "left_semi")
-    return kept.union(signed.filter(F.col(names["n_shingles"]) == 0)).select(*docs.columns)
+    keys = stage(set_keys(docs, id_col, text_col, words).withColumnRenamed(id_col, "id")).filter("n_shingles > 0")
+    roots = set_components(docs, text_col, **options)
+    least = F.min(F.struct(F.col("id").isNull().alias("none"), "id")).alias("first")
+    by_set = stage(keys.groupBy("s1", "s2").agg(least).join(roots, ["s1", "s2"], "left"))
+    lone = by_set.filter("root is null").select("s1", "s2", F.col("first.id").alias("id"))
+    best = by_set.filter("root is not null").groupBy("root").agg(
+        F.min(F.struct("first.none", "first.id", "s1", "s2")).alias("best")
+    )
+    stays = lone.union(best.select("best.s1", "best.s2", "best.id"))
+    counts = keys.groupBy("s1", "s2", "id").agg((F.count(F.lit(1)) > 1).alias("repeated"))
+    same = [F.col("k.s1") == F.col("c.s1"), F.col("k.s2") == F.col("c.s2"), F.col("k.id").eqNullSafe(F.col("c.id"))]
+    stays = stage(stays.alias("k").join(counts.alias("c"), same).select("k.*", "c.repeated"))
+
+    has_words = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    names = {c: free_name(docs, c) for c in ("n_shingles", "s1", "s2")}
+    signed = _signed(docs.filter(has_words), text_col, words, names)
+    met = signed.join(
+        stays.alias("k"),
+        [signed[names["s1"]] == F.col("k.s1"), signed[names["s2"]] == F.col("k.s2"), signed[id_col].eqNullSafe(F.col("k.id"))],
+    )
+    columns = [signed[c] for c in docs.columns]
+    kept = met.filter(~F.col("k.repeated")).select(*columns)
+    if not stays.filter("repeated").isEmpty():
+        again = met.filter(F.col("k.repeated")).select(F.col("k.s1"), F.col("k.s2"), F.col("k.id"), F.struct(*columns).alias("row"))
+        kept = kept.union(again.groupBy("s1", "s2", "id").agg(F.first("row").alias("row")).select("row.*"))
+    return kept.union(docs.filter(~has_words))
 
 
 def _signed(docs: DataFrame, text_col: str, words: int, names: dict[str, str]) -> DataFrame:
