@@ -80,6 +80,12 @@ def test_large_regions_recurse_to_the_same(frame, limits, monkeypatch):
     assert got(jaccard.jaccard_components(frame(rows), **options)) == brute(rows)
 
 
+def test_common_shingles(frame, monkeypatch):
+    monkeypatch.setattr(jaccard, "COMMON", 2)
+    rows = near_copies(seed=6)
+    assert got(jaccard.jaccard_components(frame(rows))) == brute(rows)
+
+
 def test_dense_regions_by_core_and_blocks(frame, monkeypatch):
     monkeypatch.setattr(jaccard, "MAX_REPLICATION", 0.0)
     monkeypatch.setattr(jaccard, "PIVOTS", 3)

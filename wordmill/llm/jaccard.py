@@ -5,11 +5,11 @@ most 0.2 (similarity 0.8). The join returns the connected classes of these links
 
 1. *Isolated documents.* A partner shares at least 0.8 of a document's shingles, so a document of
    which less than that occurs anywhere else is a region of its own. Shingle hashes are dealt by
-   value in sorted blocks; what a task knows to be common it says once, so a common shingle is at
-   most one entry per task. Only shingles found in two documents return to their documents; the
+   value in sorted blocks; a shingle that is common within a task it says once, so no shingle has more
+   than ``COMMON`` entries per task. Only shingles found in two documents return to their documents; the
    others can't be in any intersection.
 2. *Pivots and regions.* Unrelated documents are all at distance 1, so pivots are taken where
-   documents meet: under the order "shingles of a single document first, then by hash" linked
+   documents meet: under the order "shingles of fewest documents first, then by hash" linked
    documents share one of their first ``n - ceil(0.8 n) + 1`` shingles. The smallest document that
    has such a shingle becomes the pivot for the rest; a document is replicated to the regions of
    its few pivots, and any two linked documents meet in one.
@@ -59,6 +59,9 @@ WINDOW_SHINGLES = 1_200_000  # shingles a map task sorts at once
 # Blocks by shingle and by document; several a partition, so that hashing keys evens out.
 _SHINGLE_KEYS, _DOCUMENT_KEYS = 8, 2
 _NO_OWNER = np.uint32(0xFFFFFFFF)
+# A shingle of more documents in a window is said once; its documents are told by the task itself.
+COMMON = 64
+_LAST_LEVEL = 255  # of such shingles; others have the number of their documents, up to 254
 _MANY_RUNS = 16  # distances kept as windows
 
 
@@ -127,10 +130,10 @@ def _entries(docs: DataFrame, text_col: str, words: int, parts_: int) -> DataFra
             np.not_equal(shingles[1:], shingles[:-1], out=new[1:])
             starts = np.flatnonzero(new)
             counts = np.diff(np.append(starts, len(shingles)))
-            common = np.repeat(counts > 1, counts)
-            entry_owner = owner[starts].copy()
-            entry_owner[counts > 1] = _NO_OWNER
-            entry = shingles[starts]
+            common = np.repeat(counts > COMMON, counts)
+            kept = ~common
+            kept[starts] = True
+            entry, entry_owner = shingles[kept], np.where(common, _NO_OWNER, owner)[kept]
             # High bits of the hash: sorted shingles lie in order of their key.
             key = ((entry >> np.uint64(32)) * keys >> np.uint64(32)).astype(np.int64)
             found, at = _cut(key)
@@ -209,20 +212,22 @@ def _shared_by_document(entries: DataFrame, parts_: int) -> DataFrame:
         del shingles, owners
         order = np.argsort(shingle, kind="stable")
         shingle, owner = shingle[order], owner[order]
-        same = shingle[1:] == shingle[:-1]
-        shared = np.zeros(len(shingle), bool)
-        shared[1:] |= same
-        shared[:-1] |= same
-        shared &= owner >= 0
-        shingle, owner = shingle[shared], owner[shared]
+        new = np.ones(len(shingle), bool)
+        np.not_equal(shingle[1:], shingle[:-1], out=new[1:])
+        starts = np.flatnonzero(new)
+        counts = np.diff(np.append(starts, len(shingle)))
+        common = np.logical_or.reduceat(owner < 0, starts)
+        level = np.where(common, _LAST_LEVEL, np.minimum(counts, _LAST_LEVEL - 1)).astype(np.uint8)
+        shared = np.repeat(common | (counts > 1), counts) & (owner >= 0)
+        shingle, owner, level = shingle[shared], owner[shared], np.repeat(level, counts)[shared]
         key = (owner & 0xFFFFFFFF) >> bits
         order = np.argsort(key, kind="stable")
-        shingle, owner, key = shingle[order], owner[order], key[order]
+        shingle, owner, level, key = shingle[order], owner[order], level[order], key[order]
         found, at = _cut(key)
         for k, lo, hi in zip(found, at[:-1], at[1:], strict=True):
             yield {
                 "kind": [_SHARED], "key": [int(k)], "task": [-1], "a": [sorted_planes(shingle[lo:hi])],
-                "b": [planes(owner[lo:hi])],
+                "b": [level[lo:hi].tobytes() + planes(owner[lo:hi])],
             }
 
     # The kinds spread apart, so that what only passes through does not gather with the entries.
@@ -231,26 +236,32 @@ def _shared_by_document(entries: DataFrame, parts_: int) -> DataFrame:
 
 
 def _survivors(blocks: DataFrame, parts_: int) -> DataFrame:
-    """``(s1, s2, n, shingles)`` of documents of which enough is shared; ``shingles`` are the shared ones."""
+    """``(s1, s2, n, shingles)`` of documents of which enough is shared; ``shingles`` are the shared ones.
+
+    They are in the order of all documents: those of fewest documents first.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        shingles, owners, facts, known = [], [], [], []
+        shingles, owners, levels, facts, known = [], [], [], [], []
         for kind, _, task, a, b in _blocks(parts):
             if kind == _DIRECTORY:
                 facts.append(np.frombuffer(a, np.int64).reshape(-1, 3))
                 known.append((np.int64(task) << 32) | from_planes(b, "<u4").astype(np.int64))
                 continue
             shingles.append(from_sorted_planes(a))
-            owners.append(
-                from_planes(b, "<i8") if task < 0
-                else (np.int64(task) << 32) | from_planes(b, "<u4").astype(np.int64)
-            )
+            n = len(shingles[-1])
+            if task < 0:
+                levels.append(np.frombuffer(b, np.uint8, n))
+                owners.append(from_planes(b[n:], "<i8"))
+            else:
+                levels.append(np.full(n, _LAST_LEVEL, np.uint8))
+                owners.append((np.int64(task) << 32) | from_planes(b, "<u4").astype(np.int64))
         if not shingles or not facts:
             return
         fact, ids = np.concatenate(facts), np.concatenate(known)
-        shingle, owner = np.concatenate(shingles), np.concatenate(owners)
-        del shingles, owners
-        order = np.lexsort((shingle, owner))
+        shingle, owner, level = np.concatenate(shingles), np.concatenate(owners), np.concatenate(levels)
+        del shingles, owners, levels
+        order = np.lexsort((shingle, level, owner))
         shingle, owner = shingle[order], owner[order]
         keep = np.ones(len(shingle), bool)
         keep[1:] = (shingle[1:] != shingle[:-1]) | (owner[1:] != owner[:-1])
@@ -298,7 +309,7 @@ def _first_shingles(nodes: DataFrame) -> DataFrame:
             node, n, data = (part.column(i).to_pylist() for i in range(3))
             out, by = [], []
             for key, size, raw in zip(node, n, data, strict=True):
-                own = np.frombuffer(raw, np.int64)  # sorted as unsigned; any fixed order serves
+                own = np.frombuffer(raw, np.int64)  # in the order of all documents
                 first = size - least_shared(size) + 1 - (size - len(own))
                 if first > 0:
                     out.append(own[:first])
