@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from wordmill.plans import preparation
