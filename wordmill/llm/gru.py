@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-EMBEDDED, HIDDEN = 16, 24
+EMBEDDED, HIDDEN = 16, 16
 CLASS_WORDS = 64
 CLASSES = 32
 VOCABULARY = CLASSES * CLASS_WORDS  # words of the model; the tail is word VOCABULARY, class CLASSES
