@@ -67,7 +67,7 @@ def fit_logistic(
     return _logistic(balanced, max_iter, tolerance).setRegParam(1 / (c * train.count())).fit(train)
 
 
-def fit_plain_logistic(train: DataFrame, max_iter: int = 2000, tolerance: float = 1e-8) -> Model:
+def fit_plain_logistic(train: DataFrame, max_iter: int = 2000, tolerance: float = 1e-7) -> Model:
     """The unweighted variant with C = 1."""
     return fit_logistic(train, 1.0, balanced=False, max_iter=max_iter, tolerance=tolerance)
 
