@@ -126,3 +126,9 @@ def test_training_learns_what_follows():
     before = sum(dict(gru.score(start, unseen, 0)).values())
     trained, _ = gru.train(start.like(start.flat()), [(None, chain()) for _ in range(3000)], 0, lanes=16)
     assert sum(dict(gru.score(trained, unseen, 0)).values()) > 0.6 * before
+
+
+def test_the_model_keeps_its_hidden_units():
+    # Not to be lowered for a figure of cost: every score changes with it.
+    assert (gru.EMBEDDED, gru.HIDDEN) == (16, 24)
+    assert gru.fresh(np.ones(10), 1.0).again.shape == (24, 72)
