@@ -132,3 +132,65 @@ def test_the_model_keeps_its_hidden_units():
     # Not to be lowered for a figure of cost: every score changes with it.
     assert (gru.EMBEDDED, gru.HIDDEN) == (16, 24)
     assert gru.fresh(np.ones(10), 1.0).again.shape == (24, 72)
+
+
+def test_the_vocabulary_follows_the_corpus():
+    words = [(b"w%06d" % i, 9) for i in range(30_000)] + [(b"x%06d" % i, 2) for i in range(500)]
+    table = lm.Table([(lm.END, 20), *words], 300_000, 31_000)
+    assert table.modelled == 30_001 and table.tail_total == 300_000 - 20 - 270_000
+    w = gru.fresh(table.counts[: table.modelled], table.tail_divisor())
+    assert w.embedding.shape[0] == 30_002 and w.deep_word.shape[0] * w.deep_word.shape[2] >= 30_001 - gru.VOCABULARY
+    places = lm._in_model(np.array([0, 2047, 2048, 30_000, 30_001, -1]), table.modelled)
+    assert places.tolist() == [0, 2047, 2049, 30_001, 2048, 2048]
+    assert lm.least_count(10**4) == 5 and lm.least_count(10**8) == 25 < lm.least_count(10**10)
+
+
+def deep_weights(many=2_300):
+    rng = np.random.default_rng(5)
+    w = gru.fresh(np.sort(rng.integers(5, 500, many))[::-1].astype(float), 300.0)
+    return w.like(w.flat() + rng.standard_normal(w.flat().size).astype(np.float32) * 0.05 * (w.flat() > -100)), rng
+
+
+def test_deep_words_have_probabilities_and_gradients():
+    w, rng = deep_weights()
+    assert w.deep_word.shape == (16, gru.HIDDEN, 16)  # 252 deep words
+    probe = np.arange(2_301)
+    alone = [(int(i), np.array([i], np.int32)) for i in probe]
+    assert sum(math.exp(v) for v in dict(gru.score(w, alone, 0)).values()) == pytest.approx(1, abs=1e-3)
+    texts = [(i, rng.choice(probe[1_900:], rng.integers(1, 90)).astype(np.int32)) for i in range(30)]
+    one, many = dict(gru.score(w, texts, 0, 1)), dict(gru.score(w, texts, 0, 64))
+    assert [one[i] for i in range(30)] == pytest.approx([many[i] for i in range(30)], rel=1e-4)
+    w = gru.Weights(*(p.astype(np.float64) for p in w.parts()))
+    window = next(gru.windows(texts[:6], 3, 0))
+    h = rng.standard_normal((3, gru.HIDDEN))
+    total, _, gradient = gru.Model(w).gradient(window, h)
+    found, _ = gru.Model(w).log_probabilities(window, h)
+    assert found.sum() == pytest.approx(total, rel=1e-9)
+    for p, g in zip(w.parts(), gradient.parts(), strict=True):
+        for flat in np.argsort(-np.abs(g).ravel())[[0, 5, 11]]:
+            at = np.unravel_index(flat, p.shape)
+            old, step = p[at], 1e-2
+            p[at] = old + step
+            up = gru.Model(w).gradient(window, h)[0]
+            p[at] = old - step
+            down = gru.Model(w).gradient(window, h)[0]
+            p[at] = old
+            assert (up - down) / (2 * step) == pytest.approx(g[at], rel=2e-2, abs=2e-3)
+
+
+def test_what_follows_is_learned_of_words_outside_of_the_head():
+    rng = np.random.default_rng(1)
+    deep = np.arange(gru.VOCABULARY + 1, gru.VOCABULARY + 51)
+    follows = rng.permutation(50)
+
+    def chain():
+        words = [int(rng.integers(50))]
+        for _ in range(60):
+            words.append(int(follows[words[-1]]) if rng.random() < 0.9 else int(rng.integers(50)))
+        return deep[words].astype(np.int32)
+
+    start = gru.fresh(np.append(np.full(gru.VOCABULARY, 100.0), np.full(50, 100.0)), 1.0)
+    unseen = [(i, chain()) for i in range(20)]
+    before = sum(dict(gru.score(start, unseen, 0)).values())
+    trained, _ = gru.train(start.like(start.flat()), [(None, chain()) for _ in range(3000)], 0, lanes=16)
+    assert sum(dict(gru.score(trained, unseen, 0)).values()) > 0.45 * before

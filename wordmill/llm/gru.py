@@ -2,29 +2,35 @@
 
 The model reads *lanes*: many texts side by side, each from an empty state. A window of steps is
 computed at once; the state is carried to the next window, and gradients end at its start. The
-probability of a word is that of its class times that of the word within the class. The last class
-is the *tail*: all words outside of the model's vocabulary, whose split the caller knows.
+probability of a word is that of its class times that of the word within the class. The classes of
+the head have a fixed size. The last class is the *tail*; if the vocabulary is larger than the head,
+it has classes of its own, as many as they have words, so that the model follows the vocabulary. The
+last of all is the *rest*: words outside of the model's vocabulary, whose split the caller knows.
+
+Targets: below ``VOCABULARY`` a word of the head, ``VOCABULARY`` the rest, above it a deep word.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 
 EMBEDDED, HIDDEN = 16, 24
 CLASS_WORDS = 64
 CLASSES = 32
-VOCABULARY = CLASSES * CLASS_WORDS  # words of the model; the tail is word VOCABULARY, class CLASSES
+VOCABULARY = CLASSES * CLASS_WORDS  # words of the head; the rest is word VOCABULARY, the tail class CLASSES
 STEPS = 32
 START = 1e-4  # of the sums of squares that AdaGrad divides by
+START_DEEP = 1e-6  # of words outside of the head, which are seen seldom
 _NONE = -1e9  # the bias of a place in a class that no word has
 
 
 @dataclass
 class Weights:
-    embedding: np.ndarray  # (VOCABULARY + 1, EMBEDDED)
+    embedding: np.ndarray  # (VOCABULARY + 1 + deep words, EMBEDDED)
     into: np.ndarray  # (EMBEDDED, 3 HIDDEN): update, reset, candidate
     bias: np.ndarray
     again: np.ndarray  # (HIDDEN, 3 HIDDEN)
@@ -32,40 +38,76 @@ class Weights:
     class_bias: np.ndarray
     to_word: np.ndarray  # (CLASSES, HIDDEN, CLASS_WORDS)
     word_bias: np.ndarray  # (CLASSES, CLASS_WORDS)
+    # None without deep words.
+    deep_class: np.ndarray | None = None  # (HIDDEN, deep classes + 1); the last one is the rest
+    deep_class_bias: np.ndarray | None = None
+    deep_word: np.ndarray | None = None  # (deep classes, HIDDEN, words of a deep class)
+    deep_word_bias: np.ndarray | None = None
 
     def parts(self) -> list[np.ndarray]:
-        return list(self.__dict__.values())
+        return [p for p in self.__dict__.values() if p is not None]
+
+    def shapes(self) -> list[tuple[int, ...]]:
+        return [p.shape for p in self.parts()]
 
     def flat(self) -> np.ndarray:
         return np.concatenate([p.ravel() for p in self.parts()])
 
     def like(self, flat: np.ndarray) -> Weights:
-        out, at = [], 0
-        for p in self.parts():
-            out.append(flat[at : at + p.size].reshape(p.shape).astype(np.float32))
-            at += p.size
-        return Weights(*out)
+        return shaped(flat, self.shapes())
+
+
+def shaped(flat: np.ndarray, shapes: list[tuple[int, ...]]) -> Weights:
+    out, at = [], 0
+    for shape in shapes:
+        size = int(np.prod(shape))
+        out.append(flat[at : at + size].reshape(shape).astype(np.float32))
+        at += size
+    return Weights(*out)
 
 
 def fresh(counts: np.ndarray, tail: float, seed: int = 7) -> Weights:
     """Small random weights, with the biases of the unigram model.
 
     ``counts`` are the counts of the vocabulary's words, most frequent first; fewer than
-    ``VOCABULARY`` leave places empty. ``tail`` is the smoothed count of all other words.
+    ``VOCABULARY`` leave places empty, those after it are the deep words. ``tail`` is the smoothed
+    count of all other words.
     """
     rng = np.random.default_rng(seed)
     normal = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
-    padded = np.zeros(VOCABULARY)
+    deep = counts[VOCABULARY:]
+    words, in_class = _biases(counts[:VOCABULARY], CLASSES, CLASS_WORDS)
+    below = tail + float((deep + 0.5).sum())
+    classes = _shares(in_class, below)
+    head = Weights(
+        normal(VOCABULARY + 1 + len(deep), EMBEDDED), normal(EMBEDDED, 3 * HIDDEN), np.zeros(3 * HIDDEN, np.float32),
+        normal(HIDDEN, 3 * HIDDEN), normal(HIDDEN, CLASSES + 1) * 0, classes,
+        normal(CLASSES, HIDDEN, CLASS_WORDS) * 0, words,
+    )
+    if not len(deep):
+        return head
+    own = math.ceil(math.sqrt(len(deep)))
+    many = -(-len(deep) // own)
+    words, in_class = _biases(deep, many, own)
+    return replace(
+        head, deep_class=np.zeros((HIDDEN, many + 1), np.float32), deep_class_bias=_shares(in_class, tail),
+        deep_word=np.zeros((many, HIDDEN, own), np.float32), deep_word_bias=words,
+    )
+
+
+def _biases(counts: np.ndarray, classes: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the words' shares in their class, and the smoothed counts of the classes."""
+    padded = np.zeros(classes * own)
     padded[: len(counts)] = counts + 0.5
-    by_class = padded.reshape(CLASSES, CLASS_WORDS)
+    by_class = padded.reshape(classes, own)
     with np.errstate(divide="ignore"):
         words = np.log(by_class) - np.log(np.maximum(by_class.sum(1, keepdims=True), 1e-9))
-        classes = np.log(np.append(by_class.sum(1), tail) / (padded.sum() + tail))
-    return Weights(
-        normal(VOCABULARY + 1, EMBEDDED), normal(EMBEDDED, 3 * HIDDEN), np.zeros(3 * HIDDEN, np.float32),
-        normal(HIDDEN, 3 * HIDDEN), normal(HIDDEN, CLASSES + 1) * 0, np.maximum(classes, _NONE).astype(np.float32),
-        normal(CLASSES, HIDDEN, CLASS_WORDS) * 0, np.maximum(words, _NONE).astype(np.float32),
-    )
+    return np.maximum(words, _NONE).astype(np.float32), by_class.sum(1)
+
+
+def _shares(in_class: np.ndarray, last: float) -> np.ndarray:
+    with np.errstate(divide="ignore"):
+        return np.maximum(np.log(np.append(in_class, last) / (in_class.sum() + last)), _NONE).astype(np.float32)
 
 
 @dataclass
@@ -165,6 +207,22 @@ class Model:
             if end > start:
                 yield c, slice(start, end)
 
+    def _deep(self, targets: np.ndarray) -> tuple[slice, np.ndarray, np.ndarray]:
+        """Where sorted targets are of the tail, and their deep classes and places in them."""
+        start = int(np.searchsorted(targets, VOCABULARY))
+        deep = targets[start:] - (VOCABULARY + 1)
+        many, _, own = self.w.deep_word.shape
+        return slice(start, len(targets)), np.where(deep < 0, many, deep // own), deep % own
+
+    @staticmethod
+    def _by_deep_class(classes: np.ndarray, many: int) -> Iterator[tuple[int, slice]]:
+        """Deep classes that occur, and where they are; the rest comes first and has no words."""
+        after = int(np.searchsorted(-(classes == many).astype(np.int8), 0))
+        found, starts = np.unique(classes[after:], return_index=True)
+        ends = [*(starts[1:] + after).tolist(), len(classes)]
+        for c, start, end in zip(found.tolist(), (starts + after).tolist(), ends):
+            yield c, slice(start, end)
+
     def log_probabilities(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithm per step and lane (zero where there is no target), and the last state."""
         states, h, _ = self.states(window, h, remember=False)
@@ -172,18 +230,39 @@ class Model:
         at = _sorted_targets(flat)
         hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
         logits = hidden @ w.to_class + w.class_bias
-        found = logits[np.arange(len(at)), targets // CLASS_WORDS]
+        found = logits[np.arange(len(at)), np.minimum(targets // CLASS_WORDS, CLASSES)]
         found -= _log_sum(logits)
         for c, own in self._by_class(targets):
             logits = hidden[own] @ w.to_word[c] + w.word_bias[c]
             wanted = logits[np.arange(len(logits)), targets[own] % CLASS_WORDS]
             found[own] += wanted - _log_sum(logits)
+        if w.deep_class is not None:
+            tail, classes, places = self._deep(targets)
+            hidden = hidden[tail]
+            logits = hidden @ w.deep_class + w.deep_class_bias
+            inner = logits[np.arange(len(logits)), classes]
+            inner -= _log_sum(logits)
+            for c, own in self._by_deep_class(classes, len(w.deep_word)):
+                logits = hidden[own] @ w.deep_word[c] + w.deep_word_bias[c]
+                wanted = logits[np.arange(len(logits)), places[own]]
+                inner[own] += wanted - _log_sum(logits)
+            found[tail] += inner
         out = np.zeros(len(flat))
         out[at] = found
         return out.reshape(window.targets.shape), h
 
     def gradient(self, window: Window, h: np.ndarray) -> tuple[float, np.ndarray, Weights]:
         """Sum of the logarithms, the last state, and the gradient of the sum."""
+        total, last, found = self.sparse_gradient(window, h)
+        full = []
+        for p, g in zip(self.w.parts(), found.parts(), strict=True):
+            if isinstance(g, Touched):
+                g = g.full(p)
+            full.append(g)
+        return total, last, Weights(*full)
+
+    def sparse_gradient(self, window: Window, h: np.ndarray) -> tuple[float, np.ndarray, Weights]:
+        """``gradient``, of the embedding and the deep words only what the window touches."""
         w, (steps, lanes) = self.w, window.inputs.shape
         states, last, (embedded, kept) = self.states(window, h, remember=True)
         flat = window.targets.ravel()
@@ -193,7 +272,7 @@ class Model:
         d_hidden = np.zeros((steps * lanes, HIDDEN), np.float32)
 
         logits = hidden @ w.to_class + w.class_bias
-        rows, classes = np.arange(len(at)), targets // CLASS_WORDS
+        rows, classes = np.arange(len(at)), np.minimum(targets // CLASS_WORDS, CLASSES)
         own_logits = logits[rows, classes]
         lead, d = _soft_max(logits)
         total += float((own_logits - lead).sum())
@@ -210,6 +289,34 @@ class Model:
             d[rows, words] += 1
             to_word[c], word_bias[c] = hidden[own].T @ d, d.sum(0)
             d_own[own] += d @ w.to_word[c].T
+        deep: list = []
+        if w.deep_class is not None:
+            tail, classes, places = self._deep(targets)
+            inside = hidden[tail]
+            logits = inside @ w.deep_class + w.deep_class_bias
+            rows = np.arange(len(logits))
+            own_logits = logits[rows, classes]
+            lead, d = _soft_max(logits)
+            total += float((own_logits - lead).sum())
+            d[rows, classes] += 1
+            deep = [inside.T @ d, d.sum(0)]
+            d_tail = d @ w.deep_class.T
+            slices = list(self._by_deep_class(classes, len(w.deep_word)))
+            deep_word = np.empty((len(slices), *w.deep_word.shape[1:]), w.deep_word.dtype)
+            deep_bias = np.empty((len(slices), w.deep_word.shape[2]), w.deep_word.dtype)
+            for i, (c, own) in enumerate(slices):
+                logits = inside[own] @ w.deep_word[c] + w.deep_word_bias[c]
+                rows = np.arange(len(logits))
+                own_logits = logits[rows, places[own]]
+                lead, d = _soft_max(logits)
+                total += float((own_logits - lead).sum())
+                d[rows, places[own]] += 1
+                np.matmul(inside[own].T, d, out=deep_word[i])
+                deep_bias[i] = d.sum(0)
+                d_tail[own] += d @ w.deep_word[c].T
+            d_own[tail] += d_tail
+            touched = np.array([c for c, _ in slices], np.int64)
+            deep += [Touched(touched, deep_word), Touched(touched, deep_bias)]
         d_hidden[at] = d_own
         d_hidden = d_hidden.reshape(steps, lanes, HIDDEN)
 
@@ -228,16 +335,28 @@ class Model:
             carried = (dh * update + d_again[t] @ w.again.T) * window.keep[t][:, None]
         d_into = d_into.reshape(-1, 3 * HIDDEN)
         before = np.concatenate([k[0] for k in kept])
-        embedding = np.zeros_like(w.embedding)
         order = np.argsort(window.inputs.ravel(), kind="stable")
         words, starts = np.unique(window.inputs.ravel()[order], return_index=True)
-        embedding[words] = np.add.reduceat((d_into @ w.into.T)[order], starts)
+        embedding = Touched(words, np.add.reduceat((d_into @ w.into.T)[order], starts))
         return total, last, Weights(
             embedding, embedded.T @ d_into, d_into.sum(0), before.T @ d_again.reshape(-1, 3 * HIDDEN),
-            to_class, class_bias, to_word, word_bias,
+            to_class, class_bias, to_word, word_bias, *deep,
         )
 
 
+@dataclass
+class Touched:
+    """Rows of a matrix that is zero elsewhere."""
+
+    at: np.ndarray
+    values: np.ndarray
+
+    def full(self, like: np.ndarray) -> np.ndarray:
+        out = np.zeros_like(like)
+        out[self.at] = self.values
+        return out
+
+
 def _sorted_targets(flat: np.ndarray) -> np.ndarray:
     """Places that have a target, in the order of the targets: those of a class are a slice."""
     order = np.argsort(flat, kind="stable")
@@ -265,16 +384,16 @@ def _soft_max(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 128, rate: float = 0.1) -> tuple[Weights, int]:
     """One pass of AdaGrad ascent over the texts, window by window; also the number of tokens."""
     model, h = Model(weights), np.zeros((lanes, HIDDEN), np.float32)
-    seen = [np.full_like(p, START) for p in weights.parts()]
+    deep = [p for p in (weights.deep_class, weights.deep_class_bias, weights.deep_word, weights.deep_word_bias) if p is not None]
+    seen = [np.full_like(p, START_DEEP if any(p is d for d in deep) else START) for p in weights.parts()]
     tokens = 0
     for window in windows(texts, lanes, first_input):
         tokens += int((window.targets >= 0).sum())
-        _, h, gradient = model.gradient(window, h)
+        _, h, gradient = model.sparse_gradient(window, h)
         # By the size of a full window: the last ones, with few lanes, weigh what they hold.
         for p, g, s in zip(model.w.parts(), gradient.parts(), seen, strict=True):
-            if p is model.w.embedding:
-                at = np.unique(window.inputs)
-                p, g, s = _Rows(p, at), g[at], _Rows(s, at)
+            if isinstance(g, Touched):
+                p, g, s = _Rows(p, g.at), g.values, _Rows(s, g.at)
             g *= 1 / (lanes * STEPS)
             square = s[...] + g * g
             s[...] = square

@@ -4,8 +4,9 @@ Texts whose ``crc32(id as text) mod 5`` is 1 are held out; the model learns from
 are lowered (A-Z) and end at ASCII white space; each text ends with an end token.
 
 1. All words of the training texts are counted.
-2. The recurrent model (``gru``) covers the most frequent words; the rest is its tail class, split
-   by counts. It is trained on every training text once, in ``ROUNDS`` parts of the corpus: in a
+2. The recurrent model (``gru``) covers all words that the training texts hold at least
+   ``least_count`` times, so its vocabulary grows with the corpus, about as its square root; only
+   rarer words are its rest, split by counts. It is trained on every training text once, in ``ROUNDS`` parts of the corpus: in a
    round each task trains on its own texts from the common weights, and the weights are averaged
    by tokens. What moves is a weight vector per task, summed by pieces of it.
 3. Every text is scored whole, with the state carried across windows. Words outside of the table
@@ -35,6 +36,9 @@ from wordmill.session import stage
 
 FOLDS, HELD_OUT = 5, 1
 TABLE_WORDS = 131_072
+RARE = 5  # words with fewer occurrences are no words of the model
+ROOT = 400  # nor those with fewer than this part of the square root of all tokens
+TASK_TOKENS = 1 / 3  # that a training task reads at least, per weight that it sends
 ROUNDS = 3
 END = b"\n"  # no word holds white space
 _FLUSH_WORDS = 200_000
@@ -68,8 +72,17 @@ def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def least_count(total: int) -> int:
+    """Occurrences from which on a word is the model's. Weights are held by each task, so they may
+    grow with the corpus, but more slowly."""
+    return max(RARE, math.ceil(math.sqrt(total) / ROOT))
+
+
 class Table:
-    """The most frequent words with their counts, most frequent first; the end token is always one."""
+    """The most frequent words with their counts, most frequent first; the end token is always one.
+
+    ``words`` holds all those that occur ``least_count`` times; the first ``modelled`` are the model's.
+    """
 
     def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int) -> None:
         ends = [w for w in words if w[0] == END] or [(END, 0)]
@@ -77,7 +90,9 @@ class Table:
         self.words = ends + [w for w in words if w[0] != END]
         self.total, self.distinct = total, distinct
         self.counts = np.array([n for _, n in self.words], dtype=np.float64)
-        inside = self.counts[: gru.VOCABULARY]
+        common = int((self.counts[1:] >= least_count(total)).sum()) + 1
+        self.modelled = max(min(gru.VOCABULARY, len(self.words)), common)
+        inside = self.counts[: self.modelled]
         self.tail_total = total - float(inside.sum())
         self.tail_distinct = max(0, distinct - int((inside > 0).sum()))
 
@@ -97,15 +112,20 @@ def _targets(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
     return np.array([get(w, -1) for w in words], dtype=np.int64)
 
 
-def _in_model(places: np.ndarray) -> np.ndarray:
-    return np.where((places < 0) | (places >= gru.VOCABULARY), gru.VOCABULARY, places).astype(np.int32)
+def _in_model(places: np.ndarray, modelled: int) -> np.ndarray:
+    """Targets of the model: its head, the rest, and deep words after it."""
+    inner = np.where(places < gru.VOCABULARY, places, places + 1)
+    return np.where((places < 0) | (places >= modelled), gru.VOCABULARY, inner).astype(np.int32)
 
 
 def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: str, rounds: int = ROUNDS) -> gru.Weights:
     """Weights after one pass over the training texts."""
     context = docs.sparkSession.sparkContext
-    weights = gru.fresh(table.counts[: gru.VOCABULARY], table.tail_divisor())
+    weights = gru.fresh(table.counts[: table.modelled], table.tail_divisor())
+    shapes = weights.shapes()
     size = len(weights.flat())
+    # What moves is at most in proportion to what is read.
+    tasks = max(1, int(table.total / rounds / (size * TASK_TOKENS)))
     code = F.crc32(F.col(id_col).cast("string"))
     learning = F.coalesce(F.pmod(code, F.lit(FOLDS)) != HELD_OUT, F.lit(True))
     part_of = F.coalesce(F.pmod(F.floor(code / FOLDS), F.lit(rounds)), F.lit(0))
@@ -113,10 +133,10 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
         start = context.broadcast(weights.flat())
 
         def run(parts: Iterator[pa.RecordBatch], start=start) -> Iterator[dict]:
-            index = shared.value.index()
-            own = weights.like(start.value)
+            index, modelled = shared.value.index(), shared.value.modelled
+            own = gru.shaped(start.value, shapes)
             texts = (
-                (None, _in_model(_targets(words_of(t), index))) for p in parts for t in raw_texts(p, text_col)
+                (None, _in_model(_targets(words_of(t), index), modelled)) for p in parts for t in raw_texts(p, text_col)
             )
             own, tokens = gru.train(own, texts, 0)
             if tokens:
@@ -143,7 +163,8 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
                 }
 
         schema = "piece int, tokens long, values binary"
-        trained = map_rows(docs.filter(learning & (part_of == part)).select(text_col), run, schema)
+        own_texts = docs.filter(learning & (part_of == part)).select(text_col).coalesce(tasks)
+        trained = map_rows(own_texts, run, schema)
         averaged = map_rows(trained.repartition("piece"), average, schema).collect()
         if averaged:
             pieces = {r.piece: np.frombuffer(bytes(r["values"]), np.float32) for r in averaged}
@@ -155,7 +176,7 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
 def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text_col: str) -> DataFrame:
     """Per row what its table words give, and its other words with their counts."""
     kind = docs.schema[id_col].dataType.simpleString()
-    flat = docs.sparkSession.sparkContext.broadcast(weights.flat())
+    flat, shapes = docs.sparkSession.sparkContext.broadcast(weights.flat()), weights.shapes()
     schema = (
         f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, base double, score double,"
         " other array<binary>, many array<int>"
@@ -167,7 +188,7 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
         logs = np.log10((table.counts + 0.5) / table.base_divisor())
         # Words of the table outside of the model: their share of the tail.
         tail = np.log10((table.counts + 0.5) / table.tail_divisor())
-        tail[: gru.VOCABULARY] = 0.0
+        tail[: table.modelled] = 0.0
         facts: dict[int, tuple] = {}
 
         def rows() -> Iterator[tuple[int, np.ndarray]]:
@@ -182,7 +203,7 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
                         key, fold(key) == HELD_OUT, len(words), int((table.counts[inside] > 0).sum()),
                         float(logs[inside].sum()), float(tail[inside].sum()), other,
                     )
-                    yield at, _in_model(places)
+                    yield at, _in_model(places, table.modelled)
                     at += 1
 
         held: list[tuple] = []
@@ -198,7 +219,7 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
                 "other": pa.ListArray.from_arrays(ends, flat), "many": pa.ListArray.from_arrays(ends, many),
             }
 
-        own = weights.like(flat.value)
+        own = gru.shaped(flat.value, shapes)
         for at, value in gru.score(own, rows(), 0):
             key, held_out, n, known, base, extra, other = facts.pop(at)
             held.append((key, held_out, n, known, base, value / math.log(10) + extra, other))
@@ -215,7 +236,7 @@ def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     counts = stage(count_words(docs, id_col, text_col))
     sums = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     most = counts.orderBy(F.desc("n"), "word").limit(table_words)
-    rest = counts.filter(F.col("word") == END)
+    rest = counts.filter((F.col("word") == END) | (F.col("n") >= least_count(int(sums.total or 0))))
     found = {bytes(r.word): r.n for r in most.union(rest).collect()}
     ranked = sorted(found.items(), key=lambda w: (-w[1], w[0]))
     table = Table(ranked, int(sums.total or 0), int(sums.distinct))
