@@ -109,3 +109,36 @@ def test_redaction_leaves_the_rest(frame):
     rows = [(1, "see token = 'abcdef123' and on"), (2, None), (3, "clean text"), (4, f"token={jwt()} x")]
     got = {r.doc_id: (r.text, r.found) for r in s.redact(frame(rows, found="mine")).collect()}
     assert got == {1: ("see [SECRET]' and on", "mine"), 2: (None, "mine"), 3: ("clean text", "mine"), 4: ("[SECRET] x", "mine")}
+
+
+def test_tokens_at_the_end_of_a_sentence():
+    token = jwt()
+    for after in (".", ". Then", "...", ".)", ", and"):
+        assert s.confirmed_spans(f"was {token}{after}") == [("jwt", 4, 4 + len(token))], after
+    assert kinds(f"{token}.more") == []
+    assert s.redacted(f"It was {token}. Then") == "It was [SECRET]. Then"
+
+
+def lines(key, width=64):
+    text = base64.b64encode(key).decode()
+    return [text[i : i + width] for i in range(0, len(text), width)]
+
+
+def test_escaped_and_wrapped_keys():
+    for key in (PKCS1, PKCS8, SEC1, ENCRYPTED, OPENSSH):
+        for end in ("\\n", "\\\\n", "\\r\\n", "\r\n"):
+            block = end.join(["-----BEGIN PRIVATE KEY-----", *lines(key), "-----END PRIVATE KEY-----"])
+            assert s.confirmed_spans(f'{{"private_key": "{block}{end}"}}') == [("key", 17, 17 + len(block))]
+        block = json.dumps("\n".join(["-----BEGIN PRIVATE KEY-----", *lines(key), "-----END PRIVATE KEY-----"])).replace("/", "\\/")
+        assert kinds(block) == ["key"]
+        for end in ("\n", "\r\n", "\n    ", "\\n"):
+            for width in (32, 64, 76):
+                body = end.join(lines(key, width))
+                for after in ("", f"{end}Then more", " end"):
+                    assert s.confirmed_spans(f"see:{end}{body}{after}") == [("key", 4 + len(end), 4 + len(end) + len(body))], (end, width, after)
+        assert kinds("\n".join(lines(key[:-1]))) == [] and kinds("\n".join(lines(key + b"\0"))) == []
+        glued = "key/" + "".join(lines(key))
+        assert s.confirmed_spans(glued) == [("key", 4, len(glued))]
+    assert kinds("\n".join(lines(PUBLIC))) == []
+    assert kinds("MIIEvQIBADANBgkqhkiG" * 20_000) == []
+    assert kinds("b3BlbnNzaC1rZXktdjE\n" * 300) == []

@@ -3,8 +3,9 @@
 Base kinds are patterns. Two more are reported only if the decoded candidate proves its structure:
 
 ``key``
-    base64 (one run, or the body of a PEM block) or hexadecimal digits that decode to a private
-    key: DER whose nested lengths fill the candidate exactly (PKCS#1, SEC 1, PKCS#8, encrypted
+    base64 (a run, also over several lines, or the body of a PEM block; line ends may be escaped)
+    or hexadecimal digits that decode to a private key; base64 may begin inside of a run but has to
+    end with it: DER whose nested lengths fill the candidate exactly (PKCS#1, SEC 1, PKCS#8, encrypted
     PKCS#8), or the OpenSSH format, whose strings carry their lengths.
 ``jwt``
     three dotted base64url parts of which the first decodes to a header with an ``alg``, the second
@@ -39,10 +40,16 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 # Candidates that are decoded.
-_RUN = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
+# The first byte of DER is 0x30, and its second one is below 0x90; the other start is the OpenSSH magic.
+_START = re.compile(r"M(?=[C-I][A-Za-z0-9+/_-]{14})|b(?=3BlbnNzaC1rZXktdjE)")
+_RUN = re.compile(r"[A-Za-z0-9+/_-]+")
+_BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*")
+_PADDING = re.compile(r"={0,2}")
+_LEAST_DIGITS = 40
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?![A-Za-z0-9_.-])")
+_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])*)-----END \1-----")
+_ESCAPED = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")  # no digits of a PEM body
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?!\.?[A-Za-z0-9_-])")
 # Bytes of a signature by algorithm; None: any, but some. RSA signatures follow the key's length.
 SIGNATURE_BYTES = {
     "none": 0, "HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64,
@@ -102,9 +109,14 @@ def is_der_key(data: bytes) -> bool:
 
 def is_openssh_key(data: bytes) -> bool:
     """The OpenSSH private key format: a magic, and strings after their lengths."""
+    return 0 < openssh_length(data) == len(data)
+
+
+def openssh_length(data: bytes) -> int:
+    """Bytes of the OpenSSH private key that ``data`` begins with, 0 without one."""
     magic = b"openssh-key-v1\0"
     if not data.startswith(magic):
-        return False
+        return 0
     at, found = len(magic), []
 
     def string(at: int) -> tuple[bytes, int]:
@@ -122,8 +134,19 @@ def is_openssh_key(data: bytes) -> bool:
         for _ in range(min(keys, 16) + 1):
             value, at = string(at)
     except ValueError:
-        return False
-    return 1 <= keys <= 16 and found[0].isascii() and bool(found[0]) and len(value) > 0 and at == len(data)
+        return 0
+    return at if 1 <= keys <= 16 and found[0].isascii() and found[0] and value else 0
+
+
+def der_length(head: bytes) -> int:
+    """Bytes that DER beginning with ``head`` says it has, 0 if no private key begins like this."""
+    width = head[1] & 0x7F if head[1] & 0x80 else 0
+    if head[0] != _SEQUENCE or width > 4 or head[1] == 0x80:
+        return 0
+    inner = head[2 + width : 4 + width]
+    if inner[0] != _SEQUENCE and inner != bytes([_INTEGER, 1]):
+        return 0
+    return 2 + width + (int.from_bytes(head[2 : 2 + width], "big") if width else head[1])
 
 
 def unbase64(text: str) -> bytes:
@@ -154,6 +177,63 @@ def is_signed_token(header: str, payload: str, signature: str) -> bool:
     return found == wanted if wanted is not None else found >= 128
 
 
+class Runs:
+    """Base64 of a text from a place on, across line ends."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.known = text, (0, 0)
+
+    def _end(self, at: int) -> int:
+        if not self.known[0] <= at < self.known[1]:
+            m = _RUN.match(self.text, at)
+            if not m:
+                return at
+            self.known = m.span()
+        return self.known[1]
+
+    def take(self, at: int, wanted: int | None, enough: int | None = None) -> tuple[str, int] | None:
+        """``wanted`` digits that end where a run ends, and the end behind the padding; None: all there are,
+        or runs up to ``enough`` digits."""
+        found, left = [], wanted
+        while enough is None or sum(map(len, found)) < enough:
+            end = self._end(at)
+            if end == at or left is not None and end - at > left:
+                break
+            found.append(self.text[at:end])
+            if left is not None:
+                left -= end - at
+                if not left:
+                    return "".join(found), _PADDING.match(self.text, end).end()
+            following = _BREAK.match(self.text, end)
+            if not following:
+                break
+            at = following.end()
+        return None if wanted is not None else ("".join(found), at)
+
+
+def encoded_keys(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Places of base64 keys outside of ``taken``."""
+    runs, after = Runs(text), 0
+    for m in _START.finditer(text):
+        at = m.start()
+        if at < after or any(a <= at < b for a, b in taken):
+            continue
+        if m[0] == "M":
+            size = der_length(unbase64(text[at : at + 16]))
+        else:
+            if int.from_bytes(unbase64(runs.take(at, None, 28)[0][:28])[15:19], "big") > len(text):
+                continue  # the first string is longer than the text
+            digits = runs.take(at, None)[0]
+            size = openssh_length(unbase64(digits if len(digits) % 4 != 1 else digits[:-1]))
+        wanted = -(-size * 4 // 3)
+        if wanted < _LEAST_DIGITS or wanted > len(text) - at:
+            continue
+        found = runs.take(at, wanted)
+        if found and is_key(unbase64(found[0])):
+            after = found[1]
+            yield at, after
+
+
 def base_spans(text: str) -> list[Span]:
     found = [("assign", m.start(), m.end()) for m in _ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     if "AKIA" in text:
@@ -165,14 +245,11 @@ def confirmed_spans(text: str) -> list[Span]:
     found, taken = [], []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if is_key(unbase64("".join(m[2].split()))):
+            if is_key(unbase64(_ESCAPED.sub("", m[2]))):
                 found.append(("key", m.start(), m.end()))
                 taken.append((m.start(), m.end()))
     inside = lambda m: any(a <= m.start() and m.end() <= b for a, b in taken)
-    for m in _RUN.finditer(text):
-        # The first byte of DER is 0x30, the first of the magic an "o".
-        if m[0][0] in "MNb" and not inside(m) and is_key(unbase64(m[0])):
-            found.append(("key", m.start(), m.end()))
+    found += [("key", *span) for span in encoded_keys(text, taken)]
     for m in _ANY_HEX.finditer(text):
         if m[0].startswith(("30", "6f", "6F")) and not inside(m) and is_key(bytes.fromhex(m[0])):
             found.append(("key", m.start(), m.end()))
