@@ -66,3 +66,22 @@ def test_pieces_nulls_and_repeats(spark, monkeypatch):
 def test_clusters_and_smoothing():
     assert 3 < html.two_clusters(np.array([1.0, 2, 1, 90, 100, 110])) < 90
     assert np.allclose(html.smoothed(np.full(4, 2.5)), 2.5)
+
+
+@pytest.mark.parametrize("around", [
+    'class="layout has-sidebar"', 'class="no-sidebar"', 'id="header-fixed-layout"', 'class="widget"', 'class="sidebar menu" id=share', 'id=comments',
+])
+def test_a_class_does_not_silence_the_article(around):
+    text = [LONG.strip()] * 3
+    body = "".join(f"<p>{t}</p>" for t in text)
+    other = "<nav>menu</nav><div class='ad'><p>Buy now</p></div>"
+    for inner in (f"<article>{body}</article>", f"<main>{body}</main>", f"<div>{body}</div>"):
+        assert html.main_text(f"<body>{other}<div {around}>{inner}</div></body>").split("\n\n") == text, inner
+
+
+def test_a_title_in_an_entry_header_stays_and_replies_go():
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    page = f'<article><div class="entry-header"><h1>Title</h1></div>{body}<div class="ad"><p>Buy {LONG}</p></div></article>'
+    replies = "".join(f'<article class="comment-body"><p>Reader {LONG}</p></article>' for _ in range(5))
+    for around in ("", f'<div id="comments">{replies}</div>'):
+        assert html.main_text(f"<body>{page}{around}</body>").split("\n\n") == ["Title", LONG.strip(), LONG.strip()]

@@ -6,7 +6,8 @@ lines, smoothed with a Gaussian, is high in articles and low in menus; a thresho
 smoothed ratios into two clusters marks the dense lines. The content region is the smallest element
 that holds most of the dense letters, widened to an ``article`` or ``main`` around it and to parents whose
 further lines are dense too; its lines are the text, without elements whose name, role or class
-says that they are no article.
+says that they are no article. A class name says so only as a whole, and not of an element that holds
+an ``article``, a ``main`` or most of the dense letters.
 
 Defined results: a null or empty page has no text; unclosed, misnested and cut-off markup is read
 as far as it goes; a page without any dense line gives the lines of its body. Rows are neither
@@ -55,6 +56,13 @@ _SILENT_WORDS = frozenset(
 _WORDS = re.compile(r"[A-Za-z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?]")
 _KEEP = frozenset(("article", "main", "body", "html"))
+# Of readers: often more than the article, and often articles themselves.
+_REPLIES = frozenset("comment comments disqus respond reply".split())
+
+
+def _names(attrs: dict[str, str | None]) -> list[list[str]]:
+    """The words of each name in class and id values."""
+    return [_WORDS.findall(n) for n in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()]
 
 
 class _Line:
@@ -72,6 +80,8 @@ class LineParser(HTMLParser):
         self.lines: list[_Line] = []
         self.open: list[tuple[str, int, bool]] = []  # name, number, silent
         self.names: list[str] = [""]  # of the elements, by number
+        self.doubted: dict[int, bool] = {}  # elements that a class silences; whether they are readers' replies
+        self.marks: set[int] = set()  # article and main elements that are no reply
         self._begin()
 
     def _begin(self) -> None:
@@ -101,23 +111,33 @@ class LineParser(HTMLParser):
                 break
             if name in BLOCKS:
                 break
-        silent = bool(self.open) and self.open[-1][2] or tag in SILENT or self._names_silence(tag, dict(attrs))
+        named = dict(attrs)
+        silent = bool(self.open) and self.open[-1][2] or tag in SILENT or self._is_silent(tag, named)
+        if not silent:
+            self._doubt(tag, _names(named))
         self.open.append((tag, len(self.names), silent))
         self.names.append(tag)
         if tag in BLOCKS or tag in SILENT:
             self._begin()
 
-    def _names_silence(self, tag: str, attrs: dict[str, str | None]) -> bool:
+    def _doubt(self, tag: str, names: list[list[str]]) -> None:
+        number = len(self.names)
+        if tag in ("article", "main"):
+            if not any(n and n[0] in _REPLIES for n in names):
+                self.marks.add(number)
+        elif tag in BLOCKS and tag not in _KEEP:
+            said = [n for n in names if n and _SILENT_WORDS.issuperset(n)]
+            if said:
+                self.doubted[number] = any(not _REPLIES.isdisjoint(n) for n in said)
+
+    def _is_silent(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in _KEEP:
             return False
         if (attrs.get("role") or "").lower() in _SILENT_ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "") == "true":
             return True
         if tag == "header":  # a header that is no part of an article
             return not any(n == "article" for n, _, _ in self.open)
-        if tag not in BLOCKS:
-            return False
-        named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower()
-        return not _SILENT_WORDS.isdisjoint(_WORDS.findall(named))
+        return False
 
     def handle_endtag(self, tag: str) -> None:
         self.line.tags += 1
@@ -145,14 +165,43 @@ def two_clusters(values: np.ndarray) -> float:
     return float(np.expm1((v[at] + v[at + 1]) / 2))
 
 
-def parse_lines(html: str) -> tuple[list[_Line], list[str]]:
+def parse_lines(html: str) -> LineParser:
     parser = LineParser()
     for start in range(0, len(html), FEED):
         parser.feed(html[start : start + FEED])
     if _CUT_TAG.match(parser.rawdata):  # a tag or comment that the page's end cuts off
         parser.rawdata = ""
     parser.close()
-    return parser.lines, parser.names
+    return parser
+
+
+def dense_lines(every: list[tuple[_Line, str]]) -> list[bool]:
+    # Ratios over every line that has text; silent ones count as markup.
+    ratio = smoothed(np.array([0.0 if line.silent else len(text) / max(1, line.tags) for line, text in every]))
+    limit = two_clusters(ratio)
+    return [bool(r > limit) and not line.silent for (line, _), r in zip(every, ratio, strict=True)]
+
+
+def silence_by_class(every: list[tuple[_Line, str]], doubted: dict[int, bool], marks: set[int]) -> None:
+    """Silences the lines of the doubted elements that hold no article, no main and not most of the
+    dense letters; replies hold no article unless nothing outside of doubted elements is dense."""
+    inside: dict[int, int] = {}
+    marked: set[int] = set()
+    total = plain = 0
+    for (line, text), dense in zip(every, dense_lines(every), strict=True):
+        total += len(text) * dense
+        own = [] if line.silent else [e for e in line.path if e in doubted]
+        plain += 0 if own else len(text) * dense
+        last = max((e for e in line.path if e in marks), default=0) if own else 0
+        for e in own:
+            inside[e] = inside.get(e, 0) + len(text) * dense
+            if e < last:
+                marked.add(e)
+    silent = {
+        e for e, n in inside.items() if e not in marked and (2 * n <= total or doubted[e] and plain > 0)
+    }
+    for line, _ in every:
+        line.silent = line.silent or not silent.isdisjoint(line.path)
 
 
 def content_region(lines: list[tuple[_Line, str, bool]], names: list[str]) -> int | None:
@@ -188,15 +237,16 @@ def content_region(lines: list[tuple[_Line, str, bool]], names: list[str]) -> in
 
 def main_text(html: str) -> str:
     """The article of a page: its blocks in page order, an empty line between them."""
-    parsed, names = parse_lines(html)
-    every = [(line, text) for line in parsed if (text := " ".join("".join(line.text).split()))]
+    parser = parse_lines(html)
+    every = [(line, text) for line in parser.lines if (text := " ".join("".join(line.text).split()))]
     if all(line.silent for line, _ in every):
         return ""
-    # Ratios over every line that has text; silent ones count as markup.
-    ratio = smoothed(np.array([0.0 if line.silent else len(text) / max(1, line.tags) for line, text in every]))
-    limit = two_clusters(ratio)
-    spoken = [(line, text, bool(r > limit)) for (line, text), r in zip(every, ratio, strict=True) if not line.silent]
-    region = content_region(spoken, names)
+    if parser.doubted:
+        silence_by_class(every, parser.doubted, parser.marks)
+        if all(line.silent for line, _ in every):
+            return ""
+    spoken = [(line, text, dense) for (line, text), dense in zip(every, dense_lines(every), strict=True) if not line.silent]
+    region = content_region(spoken, parser.names)
     return "\n\n".join(text for line, text, _ in spoken if region is None or region in line.path)
 
 
