@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wordmill.llm import gam, html, jaccard, lm, mixing, packing, pii, quality, repair, secrets, tokens, topk
-from wordmill.llm.sql import MIXING_SQL, REPAIR_SQL, TOP_K_SQL
+from wordmill.llm import gam, html, jaccard, lm, mixing, packing, pii, quality, repair, secrets, tokens, topk, trie
+from wordmill.llm.sql import MIXING_SQL, REPAIR_SQL, TOP_K_SQL, TRIE_SQL
 
 # Exponent of the rows of a source in its target weight: large sources are held back.
 MIX_EXPONENT = 0.7
@@ -74,6 +74,10 @@ def op11_repair_conversations(spark, sf_dir):
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op12_prefix_trie(spark, sf_dir):
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_classify_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return gam.score(docs, gam.train(docs, table(spark, sf_dir, "labels")))
@@ -84,8 +88,10 @@ QUERIES = {
     for f in (
         op1_mix_sources, op2_pack_best_fit, op3_scan_secrets, op4_quality_rules, op5_jaccard_join, op6_score_texts,
         op7_count_tokens, op8_extract_html, op9_top_k, op10_personal_data, op11_repair_conversations,
-        op13_classify_quality,
+        op12_prefix_trie, op13_classify_quality,
     )
 }
 
-ORACLE = {"op1_mix_sources": MIXING_SQL, "op9_top_k": TOP_K_SQL, "op11_repair_conversations": REPAIR_SQL}
+ORACLE = {
+    "op1_mix_sources": MIXING_SQL, "op9_top_k": TOP_K_SQL, "op11_repair_conversations": REPAIR_SQL, "op12_prefix_trie": TRIE_SQL,
+}

@@ -124,3 +124,45 @@ SELECT w.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
   sha256(coalesce(w.w.t, '')) AS repaired_sha256
 FROM chosen w LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id
 """
+
+TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+),
+hashed AS (
+  SELECT *, sha256(length(role)::VARCHAR || ':' || role || text)[:32] AS digest, octet_length(encode(text)) AS size FROM turns
+),
+convs AS (
+  SELECT conv_id, list({'d': digest, 'n': size} ORDER BY turn NULLS FIRST, role, digest) AS t, conv_id::VARCHAR AS key
+  FROM hashed GROUP BY conv_id
+),
+dealt AS (
+  SELECT conv_id, t, xor(list_reduce(
+    list_transform(generate_series(1, length(key)), lambda i: ascii(key[i])::BIGINT),
+    lambda c, b: list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)), xor(c, b)),
+    4294967295::BIGINT), 4294967295::BIGINT) % 9 AS h
+  FROM convs
+),
+rebuilt AS (
+  SELECT c.conv_id, CASE WHEN b.t IS NULL THEN c.t[h + 1:] ELSE list_concat(b.t[:h], c.t[h + 1:]) END AS p
+  FROM dealt c LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+placed AS (
+  SELECT conv_id, len(p) AS n, d, list_transform(p[:d], lambda x: x.d) AS key, CASE WHEN d = 0 THEN 0 ELSE p[d].n END AS size
+  FROM rebuilt, unnest(generate_series(0, len(p))) AS u(d)
+),
+nodes AS (
+  SELECT key, d AS depth, key[:d - 1] AS parent, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d), '')) AS ends_sha256
+  FROM placed GROUP BY key, d
+),
+children AS (SELECT parent AS key, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY parent, depth),
+own AS (SELECT o.*, coalesce(c.n, 0) AS n_children FROM nodes o LEFT JOIN children c USING (key, depth)),
+below AS (
+  SELECT key[:d] AS key, d AS depth, sum((n_children = 0)::INT) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM own, unnest(generate_series(0, depth)) AS u(d) GROUP BY key[:d], d
+)
+SELECT o.conv_id, o.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, b.n_leaves::BIGINT AS n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM own o JOIN below b USING (key, depth) LEFT JOIN nodes p ON p.key = o.parent AND p.depth = o.depth - 1
+"""
