@@ -1,4 +1,5 @@
 import math
+import time
 
 import numpy as np
 import pytest
@@ -51,6 +52,74 @@ def test_tfidf_moves_no_documents(spark, monkeypatch):
     assert got == pytest.approx(want) and len(got) == 4
 
 
+def test_many_terms_reach_the_jvm_at_once(spark):
+    terms = [f"term{i:05d}" for i in range(50_000)]
+    features.count_model(["a"], "t", "v")
+    start = time.perf_counter()
+    model = features.count_model(terms, "t", "v")
+    assert time.perf_counter() - start < 1
+    assert model.vocabulary[:2] == terms[:2] and len(model.vocabulary) == 50_000
+
+
+def test_terms_of_any_characters(spark):
+    terms = sorted(["", "a\x01b", "\x02", "é|", "a,b", "\\", "x\ny", "\U0001f600", "$1", "\ufdd0"])
+    assert features.count_model(terms, "t", "v").vocabulary == terms
+    df = spark.createDataFrame([(terms + ["", "other"],), ([],)], "t array<string>")
+    got = [list(r.v.toArray()) for r in features.count_model(terms, "t", "v").transform(df).collect()]
+    assert sorted(map(sum, got)) == [0, len(terms) + 1]
+    with pytest.raises(ValueError):
+        features.count_model([], "t", "v")
+
+
+def test_scoring_moves_no_documents(spark):
+    df = spark.createDataFrame([(1, 0, ["a", "a", "b"]), (2, 1, ["b", "c"]), (3, 1, []), (4, 0, None), (5, 0, [None, "a"])], TOKENS)
+    lexicon = spark.createDataFrame([("a", 1.5), ("b", 0.0), ("c", -2.0), ("d", None)], "token string, valence double")
+    fitted = models.complement_nb_terms(df, "t", [0, 1])
+    vocabulary = features.with_idf(features.count_vocabulary(df, "t"), df).select("token", "idf")
+    table = models.complement_nb_table(features.long_tfidf(df, "t", vocabulary, ["label"]), vocabulary, [0, 1])
+    frames = [
+        features.lexicon_sentiment(df, "t", lexicon, ["id"]), models.term_predict(df, "t", fitted, ["id"]),
+        models.complement_nb_predict(df, "t", table, [0, 1], ["id"]),
+    ]
+    for frame in frames:
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan and "Generate" not in plan and "Python" not in plan
+        assert frame.count() == 5
+
+
+@pytest.mark.parametrize("bound", [200_000, 1])
+def test_scores_in_the_row_equal_exchanged_ones(spark, monkeypatch, bound):
+    rows = [(i, i % 3 == 0, [f"w{(i * j) % 11}" for j in range(i % 6)] + ([None] if i % 5 == 0 else [])) for i in range(60)]
+    df = spark.createDataFrame([(i, int(y), t) for i, y, t in rows] + [(7, 1, ["w1"]), (7, 1, ["w1"]), (99, 0, None)], TOKENS)
+    fitted = models.complement_nb_terms(df, "t", [0, 1], size=8)
+    want = sorted(map(tuple, models.term_predict(df, "t", fitted, ["id"]).collect()))
+    monkeypatch.setattr(features, "MAX_VOCABULARY", bound)
+    monkeypatch.setattr(models, "MAX_VOCABULARY", bound)
+    vocabulary = features.with_idf(features.count_vocabulary(df, "t", 8), df).select("token", "idf")
+    table = models.complement_nb_table(features.long_tfidf(df, "t", vocabulary, ["label"]), vocabulary, [0, 1])
+    for row in table.collect():
+        at = fitted.terms.index(row.token)
+        assert [fitted.weights[c][at] for c in (0, 1)] == pytest.approx([row.idf * row.w_0, row.idf * row.w_1])
+    assert sorted(map(tuple, models.complement_nb_predict(df, "t", table, [0, 1], ["id"]).collect())) == want
+    lexicon = spark.createDataFrame([("w1", 1.5), ("w2", 0.0), ("w3", -2.0), ("w4", 0.3)], "token string, valence double")
+    scores = sorted(map(tuple, features.lexicon_sentiment(df, "t", lexicon, ["id"]).collect()))
+    valence = {"w1": 1.5, "w3": -2.0, "w4": 0.3}
+    for (got_id, pos, neg, neu, compound), (i, _, tokens) in zip(scores, sorted(df.collect(), key=lambda r: (r.id, r.t or [])), strict=True):
+        found = [valence.get(t, 0.0) for t in tokens or [] if t is not None]
+        p, m, z = sum(v + 1 for v in found if v > 0), sum(1 - v for v in found if v < 0), sum(v == 0 for v in found)
+        whole = p + m + z or 1
+        assert (pos, neg, neu) == pytest.approx((p / whole, m / whole, z / whole)) and got_id == i
+        assert compound == pytest.approx(sum(found) / math.sqrt(sum(found) ** 2 + 15))
+
+
+def test_no_terms_predict_the_first_class(spark):
+    df = spark.createDataFrame([(1, 0, []), (2, 1, None)], TOKENS)
+    fitted = models.complement_nb_terms(df, "t", [1, 0])
+    assert [r.prediction for r in models.term_predict(df, "t", fitted, ["id"]).collect()] == [1, 1]
+    with pytest.raises(ValueError):
+        models.complement_nb_terms(df, "t", [0, 1], size=10**9)
+
+
 def test_broadcast_is_bounded_in_bytes(spark):
     wide = spark.createDataFrame([("x" * 1000,)] * 3, "t string")
     hinted = lambda df: "broadcast" in df._jdf.queryExecution().logical().toString().lower()

@@ -407,10 +407,7 @@ def lexicon_sentiment(spark, sf_dir):
 
 
 def _cnb(train: DataFrame, score: DataFrame, keep: list[str]) -> DataFrame:
-    vocabulary = features.with_idf(features.count_vocabulary(train, "tokens"), train).select("token", "idf")
-    weights = features.long_tfidf(train, "tokens", vocabulary, ["label"])
-    fitted = models.complement_nb_table(weights, vocabulary, [0, 1])
-    return models.complement_nb_predict(score, "tokens", fitted, [0, 1], keep)
+    return models.term_predict(score, "tokens", models.complement_nb_terms(train, "tokens", [0, 1]), keep)
 
 
 def cnb_predict(spark, sf_dir):

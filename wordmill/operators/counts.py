@@ -14,12 +14,12 @@ from wordmill.functions.text import split_on_whitespace, term_counts
 
 
 def as_tokens(df: DataFrame, column: str, unit: str = "word") -> Column:
-    """Tokens of a string or array column: whitespace-separated words, or characters."""
+    """Tokens of a string or array column: whitespace-separated words, or characters. Missing tokens are left out."""
     value = F.col(f"`{column}`")
     if unit == "char":
         return F.filter(F.split(value, ""), lambda c: c != "")
     if isinstance(df.schema[column].dataType, T.ArrayType):
-        return value
+        return F.filter(value, lambda t: t.isNotNull())
     return F.when(value.isNotNull(), split_on_whitespace(value))
 
 

@@ -5,18 +5,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil
 
+import numpy as np
 from pyspark.ml import Model
 from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.functions.text import term_counts
-from wordmill.operators.counts import as_tokens
-from wordmill.operators.features import MAX_VOCABULARY, ROW, numbered
+from wordmill.operators.features import (
+    MAX_VOCABULARY, ROW, count_vocabulary, fixed_terms, numbered, present_tokens, term_sums, tfidf_model, with_idf,
+)
 from wordmill.operators.splits import stratified_folds
-from wordmill.session import broadcast_if_bounded, cut_lineage
+from wordmill.session import cut_lineage, is_bounded, stage
 
 # The parameter grids.
 LOGISTIC_C = [0.1, 1.0, 10.0, 100.0]
@@ -235,22 +238,70 @@ def complement_nb_table(
     return outside.select("token", "idf", *shares)
 
 
+@dataclass(frozen=True)
+class TermWeights:
+    """Terms in token order and, per class, the weight that one occurrence adds to the class's score."""
+
+    terms: list[str]
+    weights: dict[int, list[float]]
+
+
+def complement_nb_terms(
+    train: DataFrame, column: str, classes: list[int], size: int = 50_000, label: str = "label", alpha: float = 1.0
+) -> TermWeights:
+    """``complement_nb_table`` of the ``size`` most frequent terms, without an exchange of documents or their terms.
+
+    TF-IDF vectors are made inside the row and added up per class before anything is sent, ``size`` numbers a
+    class and task. The driver holds as many.
+    """
+    if size > MAX_VOCABULARY:
+        raise ValueError(f"at most {MAX_VOCABULARY} terms are held by a task; use complement_nb_table")
+    terms, found = fixed_terms(with_idf(count_vocabulary(train, column, size), train), ["idf"])
+    if not terms:
+        return TermWeights([], {c: [] for c in classes})
+    rows = train.select(label, present_tokens(train, column).alias("_tokens"))
+    vectors = tfidf_model(terms, found["idf"], "_tokens").transform(rows)
+    sums = {r[label]: r["s"].toArray() for r in vectors.groupBy(label).agg(Summarizer.sum(F.col("features")).alias("s")).collect()}
+    whole, idf = sum(sums.values()), np.array(found["idf"])
+    outside = {c: whole - sums.get(c, 0.0) + alpha for c in classes}
+    return TermWeights(terms, {c: (idf * -np.log(out / out.sum())).tolist() for c, out in outside.items()})
+
+
+def term_predict(df: DataFrame, column: str, fitted: TermWeights, keep: list[str]) -> DataFrame:
+    """Class of highest score per document, inside its row; equal scores go to the first class."""
+    if not fitted.terms:
+        return df.select(*keep, F.lit(next(iter(fitted.weights))).alias("prediction"))
+    sums = term_sums(df, column, fitted.terms, {f"_s_{c}": w for c, w in fitted.weights.items()}, keep)
+    return _first_of_highest(sums, list(fitted.weights), keep)
+
+
 def complement_nb_predict(
     df: DataFrame, column: str, table: DataFrame, classes: list[int], keep: list[str]
 ) -> DataFrame:
     """Class of highest score per document row; equal scores go to the first class.
 
     A document's norm scales all its scores alike, so it is left out. Terms outside the
-    vocabulary of ``table`` add nothing.
+    vocabulary of ``table`` add nothing. Up to ``MAX_VOCABULARY`` terms are held by each task, one
+    list of weights per class, and a document is scored inside its row; beyond that the terms of
+    documents are exchanged.
     """
-    terms = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(as_tokens(df, column))).alias("_c"))
-    scored = terms.select(ROW, *keep, "_c.token", "_c.tf").join(
-        broadcast_if_bounded(table, MAX_VOCABULARY), "token", "left"
-    )
-    sums = scored.groupBy(ROW, *keep).agg(
-        *[F.sum(F.col("tf") * F.col("idf") * F.col(f"w_{c}")).alias(f"_s_{c}") for c in classes]
-    )
+    weights = [(F.col("idf") * F.col(f"w_{c}")).alias(f"_s_{c}") for c in classes]
+    held = stage(table.select("token", *weights))
+    if not is_bounded(held, MAX_VOCABULARY):
+        return _first_of_highest(_exchanged_scores(df, column, held, classes, keep), classes, keep)
+    terms, found = fixed_terms(held, [f"_s_{c}" for c in classes])
+    return term_predict(df, column, TermWeights(terms, {c: found[f"_s_{c}"] for c in classes}), keep)
+
+
+def _first_of_highest(sums: DataFrame, classes: list[int], keep: list[str]) -> DataFrame:
     score = [F.coalesce(F.col(f"_s_{c}"), F.lit(0.0)) for c in classes]
     best = F.greatest(*score) if len(score) > 1 else score[0]
     prediction = F.coalesce(*[F.when(s == best, F.lit(c)) for s, c in zip(score, classes)])
     return sums.select(*keep, prediction.alias("prediction"))
+
+
+def _exchanged_scores(df: DataFrame, column: str, table: DataFrame, classes: list[int], keep: list[str]) -> DataFrame:
+    """Scores for a vocabulary that no task can hold."""
+    terms = numbered(df).select(ROW, *keep, F.explode_outer(term_counts(present_tokens(df, column))).alias("_c"))
+    scored = terms.select(ROW, *keep, "_c.token", "_c.tf").join(table, "token", "left")
+    return scored.groupBy(ROW, *keep).agg(*[F.sum(F.col("tf") * F.col(f"_s_{c}")).alias(f"_s_{c}") for c in classes])
