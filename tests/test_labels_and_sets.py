@@ -1,3 +1,6 @@
+from collections import Counter
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from wordmill.functions import labels
@@ -57,6 +60,20 @@ def test_counts(spark):
     assert {r.frame: r.n_missing for r in counts.missing_counts({"x": df}, "content").collect()} == {"x": 1, "both": 1}
 
 
+def test_characters_are_counted_per_task(spark, monkeypatch):
+    texts = ["äa😀a", "", None, "x" * 50, "é" * 7 + "\ud7ff\U0010ffff", "\x00\n"]
+    df = spark.createDataFrame([(t,) for t in texts], "content string").repartition(2)
+    found = counts.token_counts(df, "content", unit="char")
+    want = Counter("".join(t or "" for t in texts))
+    assert dict(map(tuple, found.collect())) == want
+    assert "Generate" not in found._jdf.queryExecution().executedPlan().toString()
+    sliced = np.zeros(counts.CODE_POINTS, np.int64)
+    monkeypatch.setattr(counts, "CHUNK", 3)
+    counts.code_point_counts("".join(t or "" for t in texts).encode(), sliced)
+    assert {chr(i): int(sliced[i]) for i in np.flatnonzero(sliced)} == want
+    assert counts.token_counts(df.filter("false"), "content", unit="char").count() == 0
+
+
 def test_document_frequency_bounds(spark):
     rows = [(i, (["rare"] if i < 4 else []) + (["common"] if i < 96 else []) + (["mid"] if i < 95 else []) + (["five"] if i < 5 else [])) for i in range(100)]
     df = spark.createDataFrame(rows, "id int, t array<string>")

@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -60,6 +62,24 @@ def test_ranks_follow_the_order(spark):
     assert [r["rank"] for r in ordered] == list(range(1, 204))
 
 
+def test_a_hot_key_is_ranked_in_several_tasks(spark):
+    hot = F.when(F.col("id") < 300, F.lit(5)).when(F.col("id") < 310, F.lit(None)).otherwise(F.col("id"))
+    df = spark.range(900, numPartitions=6).select(hot.alias("k"), F.col("id").cast("string").alias("x"), "id")
+    ranked = splits.ranked_order(df, ["k", "x"], 3)
+    assert ranked.columns == ["k", "x", "id", "ordering", "rank"]
+    ranked = splits.ranked_order(df, ["k"], 3)
+    rows = ranked.collect()
+    assert sorted(r["rank"] for r in rows) == list(range(1, 901)) and len({r.id for r in rows}) == 900
+    ordered = sorted(rows, key=lambda r: r["rank"])
+    assert [r.ordering for r in ordered] == sorted(r.ordering for r in rows)
+    places = [r["rank"] for r in rows if r.k == 5]
+    assert max(places) - min(places) == 299
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    dealt = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    windows = [w for w in re.findall(r"row_number\(\) windowspecdefinition\(([^)]*)", plan)]
+    assert any("_at" in d and "_key" in d for d in dealt) and windows and all("_at" in w for w in windows)
+
+
 def test_strata_bound_is_a_parameter(spark):
     df = spark.range(60).selectExpr("id", "id % 30 as label")
     with pytest.raises(ValueError):

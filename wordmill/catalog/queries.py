@@ -307,7 +307,7 @@ def recurring_words(spark, sf_dir):
 
 
 def char_frequency(spark, sf_dir):
-    return counts.token_counts(documents(spark, sf_dir), "text", unit="char")
+    return counts.token_counts(table(spark, sf_dir, "documents"), "text", unit="char")
 
 
 def doc_term_counts(spark, sf_dir):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,11 +16,9 @@ from wordmill.functions.stemming import stem
 from wordmill.functions.text import split_on_whitespace, term_counts
 
 
-def as_tokens(df: DataFrame, column: str, unit: str = "word") -> Column:
-    """Tokens of a string or array column: whitespace-separated words, or characters. Missing tokens are left out."""
+def as_tokens(df: DataFrame, column: str) -> Column:
+    """Tokens of a string or array column: whitespace-separated words. Missing tokens are left out."""
     value = F.col(f"`{column}`")
-    if unit == "char":
-        return F.filter(F.split(value, ""), lambda c: c != "")
     if isinstance(df.schema[column].dataType, T.ArrayType):
         return F.filter(value, lambda t: t.isNotNull())
     return F.when(value.isNotNull(), split_on_whitespace(value))
@@ -33,14 +34,54 @@ def token_rows(tokens: Column) -> Column:
 
 
 def token_counts(df: DataFrame, column: str, unit: str = "word") -> DataFrame:
-    """``(token, n)`` over the whole corpus."""
+    """``(token, n)`` over the whole corpus; ``unit`` is ``word`` or ``char``."""
+    if unit == "char":
+        return character_counts(df, column)
     return (
-        df.select(token_rows(as_tokens(df, column, unit)).alias("token"))
+        df.select(token_rows(as_tokens(df, column)).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+CODE_POINTS = 0x110000
+CHUNK = 1 << 20  # bytes of text that are decoded at once
+
+
+def code_point_counts(text: bytes, counts: np.ndarray) -> None:
+    """Adds the code points of UTF-8 text to ``counts``, chunk by chunk."""
+    start = 0
+    while start < len(text):
+        end = min(start + CHUNK, len(text))
+        while end < len(text) and text[end] & 0xC0 == 0x80:  # inside a character
+            end += 1
+        points = np.frombuffer(text[start:end].decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+        found = np.bincount(points)
+        counts[: len(found)] += found
+        start = end
+
+
+def character_counts(df: DataFrame, column: str) -> DataFrame:
+    """``(token, n)`` of the characters of a text column.
+
+    A task keeps one number per code point and gives a row per character it has met, so what is grouped
+    afterwards doesn't depend on the length of the texts. Of texts it holds an Arrow batch.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(CODE_POINTS, np.int64)
+        for batch in batches:
+            texts = batch.column(0).cast(pa.large_binary())
+            ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+            if len(texts) and texts.buffers()[2] is not None:
+                code_point_counts(texts.buffers()[2][ends[0] : ends[-1]].to_pybytes(), counts)
+        met = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_pydict({"token": pa.array(map(chr, met.tolist()), pa.string()), "n": pa.array(counts[met])})
+
+    parts = df.select(F.col(f"`{column}`").cast("string")).mapInArrow(run, "token string, n long")
+    return merge_counts(parts)
+
+
 def stemmed_counts(df: DataFrame, column: str) -> DataFrame:
     """``(token, n)`` of stems. Words are counted first, so only distinct words are stemmed."""
     counted = token_counts(df, column)

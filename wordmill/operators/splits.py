@@ -63,16 +63,25 @@ def stratified_folds(
 def ranked_order(df: DataFrame, keys: list[str], seed: int = 42, rank: str = "rank") -> DataFrame:
     """Adds ``ordering`` and the row's ``rank`` in that order, from 1.
 
-    A row's rank is its place within its bucket of the hash plus the rows of earlier buckets, of
-    which there are at most 65,536; no window spans the table.
+    Rows are counted per key and partition, so a key that holds a large share of the rows is one entry per
+    partition. Added up in order, within a bucket of the hash and over the at most 65,536 buckets, the counts
+    give the place of the first row of each entry; its rows follow in the order of their partition. Neither
+    a window nor a task takes all rows of a key. The rows are staged, so that their partitions stay.
     """
-    ordered = df.withColumn("ordering", seeded_order(keys, seed)).withColumn("_bucket", F.substring("ordering", 1, _PREFIX))
-    sizes = ordered.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    key = F.struct(*keys)  # equal where all parts are, missing ones included
+    numbered = df.withColumn("ordering", seeded_order(keys, seed)).withColumn("_row", F.monotonically_increasing_id())
+    rows = cut_lineage(numbered).withColumn("_key", key).withColumn("_at", F.shiftright("_row", _POSITION_BITS))
+    counts = rows.groupBy(F.substring("ordering", 1, _PREFIX).alias("_bucket"), "ordering", "_key", "_at").agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(counts)
+    sizes = counts.groupBy("_bucket").agg(F.sum("_n").alias("_size"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    place = F.row_number().over(Window.partitionBy("_bucket").orderBy("ordering", *keys))
-    ranked = ordered.join(offsets, "_bucket").withColumn(rank, (F.col("_before") + place).cast("bigint"))
-    return ranked.drop("_bucket", "_before")
+    offsets = sizes.select("_bucket", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    earlier = Window.partitionBy("_bucket").orderBy("ordering", "_key", "_at").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0))
+    starts = counts.join(F.broadcast(offsets), "_bucket").select("ordering", "_key", "_at", first.alias("_first"))
+    place = F.row_number().over(Window.partitionBy("ordering", "_key", "_at").orderBy("_row"))
+    ranked = rows.join(starts, ["ordering", "_key", "_at"]).withColumn(rank, (F.col("_first") + place).cast("bigint"))
+    return ranked.select(*df.columns, "ordering", rank)
 
 
 def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
