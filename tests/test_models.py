@@ -223,6 +223,71 @@ def test_node_sizes():
     assert models.node_sizes([2, 5, 10], [1, 2, 4]) == [1, 2, 3, 4, 5]
 
 
+def _uneven(spark, n=180):
+    rng = np.random.default_rng(7)
+    x = (rng.random((n, 5)) < 0.4).astype(float)
+    y = (x @ [2, -1, 0.5, 0, 1] + rng.normal(size=n) > 2.2).astype(int)
+    rows = [(i, int(b), Vectors.sparse(5, [(j, v) for j, v in enumerate(a) if v])) for i, (a, b) in enumerate(zip(x, y))]
+    return spark.createDataFrame(rows, ["id", "label", "features"]).coalesce(2).cache(), y
+
+
+def test_folds_carry_their_own_weights_and_penalty(spark):
+    from pyspark.ml.classification import LogisticRegression
+
+    from wordmill.operators.splits import stratified_folds
+
+    df, y = _uneven(spark)
+    assert 0.05 < y.mean() < 0.35
+    cs, k = [0.1, 10.0], 4
+    tuned = models.tune_logistic(df, ["id"], cs, k, seed=3, tolerance=1e-8)
+    folded = stratified_folds(df, ["id"], "label", k, 3).cache()
+    for fold, fact in enumerate(models.fold_facts(folded)):
+        kept = [r.label for r in folded.filter(F.col("fold") != fold).collect()]
+        want = {c: len(kept) / (2 * kept.count(c)) for c in (0, 1)}
+        assert (fact.number, fact.rows) == (fold, len(kept)) and fact.weights == pytest.approx(want)
+    for c in cs:
+        scores = []
+        for fold in range(k):
+            rows, held = folded.filter(F.col("fold") != fold), folded.filter(F.col("fold") == fold)
+            rows = models.with_balanced_weights(rows)
+            lr = LogisticRegression(weightCol="weight", regParam=1 / (c * rows.count()), standardization=False, maxIter=10_000, tol=1e-8)
+            found = lr.fit(rows).transform(held).select("label", "prediction").collect()
+            hit = sum(r.label == r.prediction == 1 for r in found)
+            scores.append(2 * hit / max(1, sum(r.label == 1 for r in found) + sum(r.prediction == 1 for r in found)))
+        got = next(r.mean_f1 for r in tuned.scores.collect() if c == r.C)
+        assert got == pytest.approx(np.mean(scores))
+
+
+def test_first_trees_score_like_a_forest_of_them(spark):
+    df, _ = _uneven(spark)
+    model = models.fit_forest(df, trees=6, depth=4)
+    counts = [1, 3, 6]
+    scores = models.prefix_scores(model, counts, df)
+    rows = df.orderBy("id").collect()
+    votes = np.array([[r.probability[1] for r in tree.transform(df).orderBy("id").collect()] for tree in model.trees])
+    for t, score in zip(counts, scores):
+        assert models.first_trees(model, t).getNumTrees == t
+        found = votes[:t].mean(0) > 0.5
+        label = np.array([r.label for r in rows]) == 1
+        assert score == pytest.approx(2 * (found & label).sum() / (found.sum() + label.sum()))
+
+
+def test_forest_grid_grows_a_third_of_its_settings(spark, monkeypatch):
+    df, _ = _uneven(spark)
+    grown = []
+    plain = models._forest
+
+    def counted(*a, **k):
+        grown.append((a, k))
+        return plain(*a, **k)
+
+    monkeypatch.setattr(models, "_forest", counted)
+    tuned = models.tune_forest(df, ["id"], [1, 2, 4], [2, 3], [2], [1], ["sqrt"], k=2)
+    assert len(grown) == 2 * 2 + 1 and tuned.scores.count() == 6  # and the refit
+    assert tuned.model.getNumTrees == tuned.best["trees"] and max(t.depth for t in tuned.model.trees) <= tuned.best["depth"]
+    assert all(0 <= r.mean_f1 <= 1 for r in tuned.scores.collect())
+
+
 def test_tuning_end_to_end(spark):
     good, bad = ["good", "fine", "solid"], ["bad", "poor", "weak"]
     rows = [(i, i % 2, [(good if i % 2 else bad)[i % 3], f"w{i % 7}"]) for i in range(60)]

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 from math import ceil
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Model
-from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, NaiveBayes, RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.stat import Summarizer
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,9 +51,13 @@ def with_balanced_weights(
     if len(rows) > max_literals:
         weights = class_weights(df, label).select(F.col(label).alias("_l"), F.col("weight").alias(weight))
         return df.join(weights, F.col(label) == F.col("_l"), "left").drop("_l")
+    return _with_weights(df, {r[label]: r["weight"] for r in rows}, label, weight)
+
+
+def _with_weights(df: DataFrame, weights: dict, label: str = "label", weight: str = "weight") -> DataFrame:
     value = F.lit(None).cast("double")
-    for row in rows:
-        value = F.when(F.col(label) == row[label], F.lit(float(row["weight"]))).otherwise(value)
+    for kind, of in weights.items():
+        value = F.when(F.col(label) == kind, F.lit(float(of))).otherwise(value)
     return df.withColumn(weight, value)
 
 
@@ -96,14 +103,21 @@ def tune_logistic(
 ) -> Tuned:
     """Grid over C by stratified shuffled cross-validation on F1, then a refit on all of ``train``.
 
-    Features are made once, outside. ``train`` should be cached or written out: each fit reads it.
+    Class weights and the number of rows behind the penalty are those of the rows that a fold is fitted on.
+    Features are made once, outside. ``train`` should be cached or written out: each fit reads it, and
+    ``parallelism`` fits keep their blocks at a time.
     """
     cs = cs or LOGISTIC_C
-    folded = stratified_folds(with_balanced_weights(train), keys, "label", k, seed)
-    n_fit = train.count() * (k - 1) / k  # rows a fold is fitted on; balanced weights add up to it
     lr = _logistic(True, max_iter, tolerance)
-    grid = ParamGridBuilder().addGrid(lr.regParam, [1 / (c * n_fit) for c in cs]).build()
-    means = _cross_validate(lr, grid, folded, parallelism)
+
+    def fits(fold: Fold, rows: DataFrame, held: DataFrame) -> list[Callable[[], list[tuple[int, float]]]]:
+        def score(i: int, c: float) -> list[tuple[int, float]]:
+            model = lr.copy({lr.regParam: 1 / (c * fold.rows)}).fit(rows)  # balanced weights add up to the rows
+            return [(i, _f1().evaluate(model.transform(held)))]
+
+        return [partial(score, i, c) for i, c in enumerate(cs)]
+
+    means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(cs), fits, parallelism)
     best = max(range(len(cs)), key=lambda i: means[i])
     settings = [{"C": c} for c in cs]
     model = fit_logistic(train, cs[best], max_iter=max_iter, tolerance=tolerance)
@@ -118,15 +132,14 @@ def fit_forest(
 
     ``max_bins`` bounds the cuts tried per feature; ``BINARY_BINS`` is exact for binary features.
     """
-    forest = _forest(seed, max_bins).setNumTrees(trees).setMaxDepth(depth)
-    forest = forest.setMinInstancesPerNode(min_leaf).setFeatureSubsetStrategy(features)
-    return forest.fit(with_balanced_weights(train))
+    return _forest(seed, max_bins, trees, depth, min_leaf, features).fit(with_balanced_weights(train))
 
 
-def _forest(seed: int, max_bins: int) -> RandomForestClassifier:
+def _forest(seed: int, max_bins: int, trees: int, depth: int, min_leaf: int, features: str) -> RandomForestClassifier:
     return RandomForestClassifier(
         featuresCol="features", labelCol="label", weightCol="weight", seed=seed, maxBins=max_bins,
-        cacheNodeIds=True, maxMemoryInMB=512,
+        cacheNodeIds=True, maxMemoryInMB=512, numTrees=trees, maxDepth=depth, minInstancesPerNode=min_leaf,
+        featureSubsetStrategy=features,
     )
 
 
@@ -144,31 +157,60 @@ def tune_forest(
     features: list[str] | None = None, k: int = 3, seed: int = 42, parallelism: int = 2,
     valid: DataFrame | None = None, max_bins: int = 32,
 ) -> Tuned:
-    """Forest grid by stratified cross-validation on F1; refit on ``train`` plus ``valid`` if given."""
-    sizes = node_sizes(min_splits or FOREST_MIN_SPLIT, min_leaves or FOREST_MIN_LEAF)
-    settings = [
-        {"trees": t, "depth": d, "min_leaf": s, "features": f}
-        for t in trees or FOREST_TREES
+    """Forest grid by stratified cross-validation on F1; refit on ``train`` plus ``valid`` if given.
+
+    Trees of a forest are grown independently, so settings that differ in the number of trees only share one
+    forest: the largest is grown, and its first trees are scored as the smaller ones.
+    """
+    counts = trees or FOREST_TREES
+    kinds = [
+        {"depth": d, "min_leaf": s, "features": f}
         for d in depths or FOREST_DEPTHS
-        for s in sizes
+        for s in node_sizes(min_splits or FOREST_MIN_SPLIT, min_leaves or FOREST_MIN_LEAF)
         for f in features or FOREST_FEATURES
     ]
-    forest = _forest(seed, max_bins)
-    grid = [
-        {
-            forest.numTrees: s["trees"], forest.maxDepth: s["depth"],
-            forest.minInstancesPerNode: s["min_leaf"], forest.featureSubsetStrategy: s["features"],
-        }
-        for s in settings
-    ]
-    folded = stratified_folds(with_balanced_weights(train), keys, "label", k, seed)
-    means = _cross_validate(forest, grid, folded, parallelism)
+    settings = [{"trees": t, **kind} for t in counts for kind in kinds]
+
+    def fits(fold: Fold, rows: DataFrame, held: DataFrame) -> list[Callable[[], list[tuple[int, float]]]]:
+        def score(i: int, kind: dict) -> list[tuple[int, float]]:
+            model = _forest(seed, max_bins, max(counts), **kind).fit(rows)
+            return [(j * len(kinds) + i, f1) for j, f1 in enumerate(prefix_scores(model, counts, held))]
+
+        return [partial(score, i, kind) for i, kind in enumerate(kinds)]
+
+    means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(settings), fits, parallelism)
     best = max(range(len(settings)), key=lambda i: means[i])
     refit_on = train if valid is None else train.unionByName(valid)
     model = fit_forest(refit_on, seed=seed, max_bins=max_bins, **settings[best])
     return Tuned(model, settings[best], _score_table(train, settings, means))
 
 
+def first_trees(model: RandomForestClassificationModel, trees: int) -> RandomForestClassificationModel:
+    """The first ``trees`` trees of a forest as a forest."""
+    grown, context = model._java_obj, SparkContext._active_spark_context
+    kinds, all_trees = context._jvm.org.apache.spark.ml.classification, model._java_obj.trees()
+    some = context._gateway.new_array(kinds.DecisionTreeClassificationModel, trees)
+    for i in range(trees):
+        some[i] = all_trees[i]
+    model = RandomForestClassificationModel(kinds.RandomForestClassificationModel(some, grown.numFeatures(), grown.numClasses()))
+    model._set(numTrees=trees)._transfer_params_to_java()
+    return model
+
+
+def prefix_scores(model: RandomForestClassificationModel, counts: list[int], held: DataFrame, label: str = "label") -> list[float]:
+    """F1 of class 1 for the first trees of a forest, for each of the ``counts``, in one pass over ``held``."""
+    rows = held
+    for t in counts:
+        part = first_trees(model, t).setFeaturesCol("features").setRawPredictionCol("").setProbabilityCol("")
+        rows = part.setPredictionCol(f"_with_{t}").transform(rows)
+    sums = []
+    for t in counts:
+        found, true = F.col(f"_with_{t}") == 1, F.col(label) == 1
+        sums += [F.count_if(found & true).alias(f"hit_{t}"), (F.count_if(found) + F.count_if(true)).alias(f"all_{t}")]
+    got = rows.agg(*sums).first()
+    return [2 * got[f"hit_{t}"] / got[f"all_{t}"] if got[f"hit_{t}"] else 0.0 for t in counts]
+
+
 def largest_gradient(train: DataFrame, model: Model, c: float, balanced: bool = True) -> float:
     """Largest absolute entry of the gradient of ``fit_logistic``'s objective at ``model``.
 
@@ -192,14 +234,47 @@ def largest_gradient(train: DataFrame, model: Model, c: float, balanced: bool =
     return max([abs(intercept), *(abs(found.get(i, 0.0) + w[i] / c) for i in range(len(w)))])
 
 
-def _cross_validate(estimator, grid: list, folded: DataFrame, parallelism: int) -> list[float]:
-    """Mean F1 of each setting. Folds come from the ``fold`` column, numbered from 0."""
-    folds = folded.agg(F.max("fold")).first()[0] + 1
-    validator = CrossValidator(
-        estimator=estimator, estimatorParamMaps=grid, evaluator=_f1(), numFolds=folds,
-        foldCol="fold", parallelism=parallelism,
-    )
-    return validator.fit(folded).avgMetrics
+@dataclass(frozen=True)
+class Fold:
+    number: int
+    rows: int  # that are fitted on, those of the other folds
+    weights: dict  # of the classes among them
+
+
+def fold_facts(folded: DataFrame, label: str = "label") -> list[Fold]:
+    """Rows and class weights behind each fold of the ``fold`` column, from one count."""
+    counts: dict[int, dict] = {}
+    for r in folded.groupBy("fold", label).agg(F.count(F.lit(1)).alias("n")).collect():  # folds times classes
+        counts.setdefault(r["fold"], {})[r[label]] = r["n"]
+    facts = []
+    for held in sorted(counts):
+        left: dict = {}
+        for fold, of in counts.items():
+            for kind, n in of.items() if fold != held else ():
+                left[kind] = left.get(kind, 0) + n
+        rows = sum(left.values())
+        facts.append(Fold(held, rows, {kind: rows / (len(left) * n) for kind, n in left.items()}))
+    return facts
+
+
+def _mean_scores(folded: DataFrame, settings: int, fits: Callable, parallelism: int) -> list[float]:
+    """Mean score of each setting over the folds.
+
+    ``fits(fold, rows, held)`` gives functions that return settings with their score on ``held``; those of all
+    folds run side by side, ``parallelism`` at a time.
+    """
+    folds = fold_facts(folded)
+    tasks = []
+    for fold in folds:
+        rows = _with_weights(folded.filter(F.col("fold") != fold.number), fold.weights)
+        tasks += fits(fold, rows, folded.filter(F.col("fold") == fold.number))
+    wrapped = [inheritable_thread_target(folded.sparkSession)(task) for task in tasks]
+    totals = [0.0] * settings
+    with ThreadPool(min(parallelism, len(tasks))) as pool:
+        for scored in pool.imap(lambda task: task(), wrapped):
+            for setting, score in scored:
+                totals[setting] += score
+    return [t / len(folds) for t in totals]
 
 
 def _score_table(train: DataFrame, settings: list[dict], means: list[float]) -> DataFrame:
