@@ -274,6 +274,12 @@ def _stem_bounds(rows: str) -> str:
     )
 
 
+# Documents of the first splits of the seeded order, up to a share of all of them.
+_ORDERED = "ranked AS (SELECT id, row_number() OVER (ORDER BY md5(id || ':42'), id) AS r, count(*) OVER () AS n FROM docs)"
+_TRAIN = "id IN (SELECT id FROM ranked WHERE r <= n * 8 // 10)"
+_TRAIN_VAL = "id IN (SELECT id FROM ranked WHERE r <= n * 8 // 10 + n // 10)"
+
+
 def _label_weights(rows: str) -> str:
     one = lambda label, name: (
         f"(SELECT round(count(*) / (count(DISTINCT label) * count(*) FILTER (label = {label}))::DOUBLE, 9) "
@@ -446,6 +452,12 @@ ORACLE: dict[str, str] = {
         f"(SELECT count(*) FROM docs WHERE NOT {_ENGLISH}) AS n_scored, 100 AS n_trees, TRUE AS depth_held, TRUE AS score_valid, "
         f"{_label_weights(_ENGLISH)}"
     ),
+    "forest_grid": (
+        f"{_STEM_DOCS}, {_ORDERED}, {_stem_bounds(_TRAIN)} SELECT (SELECT count(*) FROM docs WHERE {_TRAIN_VAL}) AS n_rows, "
+        "(SELECT least(10000, count(*)) FROM kept) AS n_terms, "
+        f"(SELECT count(*) FROM docs WHERE NOT {_TRAIN_VAL}) AS n_scored, 12 AS n_settings, TRUE AS scores_valid, TRUE AS best_chosen, "
+        f"TRUE AS refit_as_chosen, {_label_weights(_TRAIN_VAL)}"
+    ),
     "classification_report": (
         f"{_PRED}, {_CLASS_SCORES} SELECT class::VARCHAR AS class, round(p, 9) AS precision, round(r, 9) AS recall, "
         "round(f, 9) AS f1, support FROM sc "
