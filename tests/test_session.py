@@ -17,6 +17,45 @@ def test_staged_rows_are_fixed_and_can_be_dropped(spark):
         spark.read.parquet(path)
 
 
+def _folders(spark):
+    from pathlib import Path
+
+    return {p.name for p in Path(session.shared_folder(spark).removeprefix("file://")).glob("staged-*")}
+
+
+def test_what_a_block_stages_goes_with_it(spark, tmp_path):
+    import __spark_entry__ as contract
+    from wordmill.plans import preparation
+
+    before = _folders(spark)
+    for name in ("tfidf", "shuffled_order", "lexicon_sentiment"):
+        with session.staging(spark):
+            contract.queries()[name](spark, "/root/testdata/sf0.001").write.parquet(str(tmp_path / name))
+            assert _folders(spark) > before
+        assert _folders(spark) == before and spark.read.parquet(str(tmp_path / name)).count() > 0
+    rows = [(str(i), "bias", f"story {i} of {'good' if i % 2 else 'poor'} cats") for i in range(30)]
+    preparation.prepare_single(spark.createDataFrame(rows * 2, "id string, type string, content string"), ["id"], str(tmp_path / "out"))
+    assert _folders(spark) == before
+
+
+def test_a_kept_frame_belongs_to_the_outer_block(spark):
+    before = _folders(spark)
+    with session.staging(spark):
+        with session.staging(spark) as inner:
+            gone = session.stage(spark.range(3))
+            kept = session.stage(gone.selectExpr("id * 2 as id"))
+            path = inner.keep_last()
+        assert sorted(r.id for r in kept.collect()) == [0, 2, 4] and len(_folders(spark) - before) == 1
+        session.release(spark, path)
+        assert _folders(spark) == before
+        session.stage(spark.range(1))
+        with pytest.raises(ZeroDivisionError), session.staging(spark):
+            session.stage(spark.range(1))
+            1 / 0
+        assert len(_folders(spark) - before) == 1
+    assert _folders(spark) == before
+
+
 @pytest.mark.parametrize("master, named, want", [
     ("local[2]", "hdfs://x/y/", "hdfs://x/y"), ("spark://host:7077", "s3a://b/c", "s3a://b/c"), ("spark://host:7077", None, None),
     ("local-cluster[3,2,3000]", None, None),

@@ -509,7 +509,7 @@ def random_forest_trial(spark, sf_dir):
 
 
 # The forest grid of the query: as many axes as the whole one, in a size that runs in a minute.
-GRID_TREES, GRID_DEPTHS, GRID_MIN_SPLITS, GRID_FEATURES = [10, 20, 30], [4, 8], [2], ["sqrt", "log2"]
+GRID_TREES, GRID_DEPTHS, GRID_MIN_SPLITS, GRID_FEATURES = [10, 20, 30], [6], [2], ["sqrt", "log2"]
 
 
 def forest_grid(spark, sf_dir):

@@ -455,7 +455,7 @@ ORACLE: dict[str, str] = {
     "forest_grid": (
         f"{_STEM_DOCS}, {_ORDERED}, {_stem_bounds(_TRAIN)} SELECT (SELECT count(*) FROM docs WHERE {_TRAIN_VAL}) AS n_rows, "
         "(SELECT least(10000, count(*)) FROM kept) AS n_terms, "
-        f"(SELECT count(*) FROM docs WHERE NOT {_TRAIN_VAL}) AS n_scored, 12 AS n_settings, TRUE AS scores_valid, TRUE AS best_chosen, "
+        f"(SELECT count(*) FROM docs WHERE NOT {_TRAIN_VAL}) AS n_scored, 6 AS n_settings, TRUE AS scores_valid, TRUE AS best_chosen, "
         f"TRUE AS refit_as_chosen, {_label_weights(_TRAIN_VAL)}"
     ),
     "classification_report": (

@@ -22,7 +22,7 @@ from wordmill.operators.features import (
     MAX_VOCABULARY, ROW, count_vocabulary, fixed_terms, numbered, present_tokens, term_sums, tfidf_model, with_idf,
 )
 from wordmill.operators.splits import stratified_folds
-from wordmill.session import cut_lineage, is_bounded, stage
+from wordmill.session import cut_lineage, is_bounded, stage, staging
 
 # The parameter grids.
 LOGISTIC_C = [0.1, 1.0, 10.0, 100.0]
@@ -117,7 +117,8 @@ def tune_logistic(
 
         return [partial(score, i, c) for i, c in enumerate(cs)]
 
-    means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(cs), fits, parallelism)
+    with staging(train.sparkSession):
+        means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(cs), fits, parallelism)
     best = max(range(len(cs)), key=lambda i: means[i])
     settings = [{"C": c} for c in cs]
     model = fit_logistic(train, cs[best], max_iter=max_iter, tolerance=tolerance)
@@ -178,7 +179,8 @@ def tune_forest(
 
         return [partial(score, i, kind) for i, kind in enumerate(kinds)]
 
-    means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(settings), fits, parallelism)
+    with staging(train.sparkSession):
+        means = _mean_scores(stratified_folds(train, keys, "label", k, seed), len(settings), fits, parallelism)
     best = max(range(len(settings)), key=lambda i: means[i])
     refit_on = train if valid is None else train.unionByName(valid)
     model = fit_forest(refit_on, seed=seed, max_bins=max_bins, **settings[best])

@@ -14,7 +14,7 @@ from wordmill.operators.combine import labelled_union, union_left_columns, with_
 from wordmill.operators.splits import exact_split
 from wordmill.sources.readers import read_inferred_csv, read_text_csv, read_three
 from wordmill.sources.writers import write_processed, write_splits
-from wordmill.session import stage
+from wordmill.session import stage, staging
 
 
 def derived_columns(column: str) -> list[str]:
@@ -72,15 +72,17 @@ def prepare_single(
     """One corpus and its labelled 80/10/10 splits, these to ``path/splits``.
 
     The processed corpus is staged in the shared folder, so that counting for the split and writing
-    the splits do not clean the texts again. ``keep_processed`` writes it to ``path`` as CSV too.
+    the splits do not clean the texts again, and removed when the splits are written.
+    ``keep_processed`` writes it to ``path`` as CSV too.
     """
-    processed = stage(prepare(df, column))
-    write_processed(processed, f"{path.rstrip('/')}/processed_csv", keep_processed)
-    placed = exact_split(processed, keys, seed)
-    label = F.when(
-        F.col("split") == "val", text_label(F.col("type"), val_positive_label)
-    ).otherwise(F.col("label"))
-    write_splits(split_columns(placed, column).withColumn("label", label), f"{path.rstrip('/')}/splits")
+    with staging(df.sparkSession):
+        processed = stage(prepare(df, column))
+        write_processed(processed, f"{path.rstrip('/')}/processed_csv", keep_processed)
+        placed = exact_split(processed, keys, seed)
+        label = F.when(
+            F.col("split") == "val", text_label(F.col("type"), val_positive_label)
+        ).otherwise(F.col("label"))
+        write_splits(split_columns(placed, column).withColumn("label", label), f"{path.rstrip('/')}/splits")
 
 
 def prepare_three_frames(frames: dict[str, DataFrame], path: str, column: str = "content") -> None:

@@ -7,6 +7,9 @@ import re
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -79,6 +82,47 @@ def shared_folder(spark: SparkSession) -> str:
 _staged: list[str] = []
 
 
+class Staging:
+    """What was staged inside a ``staging`` block."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+        self.kept: list[str] = []
+
+    def keep_last(self) -> str:
+        """Let the frame staged last outlive the block; the folder can be given to ``release`` later."""
+        self.kept.append(self.paths.pop())
+        return self.kept[-1]
+
+
+_scope: ContextVar[Staging | None] = ContextVar("staging", default=None)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[Staging]:
+    """Remove what is staged inside the block when it ends, also by an error.
+
+    For jobs that end with their result written: frames that read what was staged can't be used afterwards.
+    """
+    outer, scope = _scope.get(), Staging()
+    token = _scope.set(scope)
+    try:
+        yield scope
+    finally:
+        _scope.reset(token)
+        if outer is not None:  # what is kept here is the outer block's
+            outer.paths += scope.kept
+        release(spark, *scope.paths)
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Remove staged folders."""
+    for path in paths:
+        if path in _staged:
+            _staged.remove(path)
+            remove_path(spark, path)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it from there.
 
@@ -87,8 +131,10 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/staged-{uuid.uuid4().hex}"
+    scope = _scope.get()
+    for paths in [_staged] if scope is None else [_staged, scope.paths]:
+        paths.append(path)
     df.write.parquet(path)
-    _staged.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
