@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wordmill.llm import jaccard, mixing, packing, quality, secrets
 from wordmill.llm.queries import MIX_EXPONENT, MIX_SEED, PACK_CAPACITY, table, tokenizer_path
-from wordmill.session import ship_package, stage
+from wordmill.session import release, ship_package, stage, staging
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +55,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written as Parquet before the next reads it."""
+    """All stages over ``documents``; each result is written as Parquet before the next reads it.
+
+    What a stage has staged goes when its result is written, and that result when the next one is. The input of
+    the last stage, and what that stages itself, stay for the frame that is returned: end them with
+    ``drop_staged``, or call this inside ``with staging(spark)`` and write the result there.
+    """
     ship_package(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, path = table(spark, sf_dir, "documents"), None
     for _, step in STAGES[:-1]:
-        docs = stage(step(spark, docs, sf_dir))
+        with staging(spark) as block:
+            docs = stage(step(spark, docs, sf_dir))
+            made = block.keep_last()
+        if path:
+            release(spark, path)
+        path = made
     return STAGES[-1][1](spark, docs, sf_dir)

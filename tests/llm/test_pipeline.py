@@ -1,6 +1,7 @@
 """The stages against plain versions of what each has to do, on the smallest table."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 
@@ -11,6 +12,7 @@ from tests.llm.test_jaccard import shingles
 from tests.llm.test_quality import brute as statistics_of
 from wordmill.llm import mixing, packing, quality, secrets, tokens
 from wordmill.llm.queries import tokenizer_path
+from wordmill.session import shared_folder, staging
 
 
 @pytest.fixture(scope="module")
@@ -82,7 +84,11 @@ def test_every_token_is_packed_once(stages):
 
 
 def test_run_gives_what_the_stages_give(stages, spark):
-    got = corpus_pipeline.run(spark, SF).collect()
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.glob("staged-*"))
+    with staging(spark):
+        got = corpus_pipeline.run(spark, SF).collect()
+    assert set(folder.glob("staged-*")) == before
     key = lambda r: (r.doc_id, r.piece, r.ids_crc32)
     assert Counter(map(key, got)) == Counter(map(key, stages[-1]))
     assert len({r.sequence_id for r in got}) == len({r.sequence_id for r in stages[-1]})
