@@ -11,7 +11,7 @@ from wordmill.functions.entities import entity_list, mark_entities
 from wordmill.functions.stemming import stem_tokens as stem_column
 from wordmill.operators import combine, counts, evaluate, features, models, splits
 from wordmill.plans import preparation, training
-from wordmill.session import cut_lineage, spread
+from wordmill.session import cut_lineage, is_bounded, spread
 
 # A small lexicon as an input table: words of the test corpus with a valence.
 LEXICON = [
@@ -20,6 +20,9 @@ LEXICON = [
 ]
 
 
+MAX_LABELS = 1_000_000  # rows of three numbers
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -31,10 +34,12 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def news(spark: SparkSession, sf_dir: str, cleaned: bool = False) -> DataFrame:
     """Labelled documents as a news corpus: id, type, content and the columns passed through.
 
-    Rows are spread over the cores only where their texts are ``cleaned``.
+    Rows are spread over the cores only where their texts are ``cleaned``. Labels of up to ``MAX_LABELS``
+    documents go to the texts; with more, both sides are exchanged.
     """
     rows = documents(spark, sf_dir) if cleaned else table(spark, sf_dir, "documents")
-    labelled = rows.join(table(spark, sf_dir, "labels"), "doc_id")
+    marks = table(spark, sf_dir, "labels")
+    labelled = rows.join(F.broadcast(marks) if is_bounded(marks, MAX_LABELS) else marks, "doc_id")
     type_ = F.when(F.col("quality") == 1, "reliable").otherwise("fake")
     return labelled.select(
         F.col("doc_id").alias("id"), type_.alias("type"), F.col("text").alias("content"),
