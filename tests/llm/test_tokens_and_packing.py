@@ -1,6 +1,8 @@
+import struct
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -123,3 +125,17 @@ def test_sweep_opens_as_many_windows_as_best_fit(lengths):
 def test_smallest_capacities(frame, capacity):
     got = packing.pack(frame([(1, "a b c"), (2, "")]), WORD, capacity=capacity).collect()
     check_packing(got, capacity, 0, {1: [*whole(WORD, "a b c"), 0], 2: [0]})
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("aAÉéßſİΣςKǅ'’sS.,!<|>endoftx 12٣\u0301\u0308\u0374\t\n\x0b\x85\xa0中"), max_size=40), max_size=5))
+def test_words_cut_in_parts_give_the_ids_of_whole_texts(texts):
+    texts = [*texts, None, "", " a", "<|endoftext|>", "<|ENDOFTEXT|>.", "T\u0308 t\u0308"]
+    cache = packing.ChunkCache(packing.PartEncoder(LOADED[WORD]))
+    got = [bytes(b) for b in packing.encode_texts(pa.array(texts, pa.string()), cache)]
+    assert got == [struct.pack(f"<{len(w)}I", *w) for w in (whole(WORD, t) for t in texts)]
+
+
+def test_placing_moves_no_piece(frame):
+    plan = packing.pack(frame([(1, "a b c"), (2, "d")]), WORD)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

@@ -8,7 +8,8 @@ the smallest gap that holds it; within both runs the k-th piece takes the k-th w
 resolves every conflict at once; the gaps shrink, and the sweep goes on. Pieces without a
 successor open windows. The sweep needs the counts per length, at most ``capacity`` numbers,
 which Spark sums; what it gives is a list of run-to-run matches, which each task applies to its
-own pieces by their rank. No piece moves through the driver, and none is shuffled by its length.
+own pieces by their rank. No piece moves through the driver, and none is shuffled by its length while
+the table of ranks per task and length is within ``MAX_BASES`` rows.
 
 A piece's rank is its position within (task, length) plus the pieces of that length in earlier
 tasks. Encoded pieces are staged, so that ranks hold when an executor is lost.
@@ -20,6 +21,7 @@ packed one by one; the table's other columns are left out; an empty table gives
 from __future__ import annotations
 
 import heapq
+import struct
 import unicodedata
 import zlib
 from collections import defaultdict, deque
@@ -27,61 +29,101 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordmill.llm.common import map_rows, raw_texts
+from wordmill.llm.common import map_rows
 from wordmill.llm.tokens import ChunkCache, load_tokenizer
-from wordmill.session import stage
+from wordmill.session import broadcast_if_bounded, stage
 
 _RANK_BITS = 44  # pieces of one length
+MAX_BASES = 500_000  # rows (task, length) that are sent to the pieces; beyond it Spark picks the join
+LETTERS = 0x530  # below: Latin, Greek and Cyrillic letters, none of which joins with its neighbours
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII marks without the apostrophe
 
 
-class WordEncoder:
-    """Ids of words (runs without ASCII white space) as little-endian bytes, in two stages of caching.
+class PartEncoder:
+    """Ids of parts of words as little-endian bytes.
 
-    A word is cut into its body and the marks it ends with, where the tokenizer's pattern cuts too:
-    after a letter or digit, before ASCII marks other than an apostrophe. Many words share a body.
-    Bodies of letters are one piece of the pattern each, so a batch of them is encoded as one text
-    and taken apart by piece.
+    Letters that the tokenizer leaves as they are make one piece of its pattern, which goes to the
+    merges directly; all others take the tokenizer's whole way.
     """
 
     def __init__(self, tokenizer) -> None:
-        self.tokenizer = tokenizer
-        self.parts = ChunkCache(self._encode_parts)
-
-    def __call__(self, words: list[bytes]) -> list[bytes]:
-        cut = [self._cut(w) for w in words]
-        known = self.parts.fill([p for pair in cut for p in pair if p])
-        return [known[body] + known[marks] if marks else known[body] for body, marks in cut]
-
-    @staticmethod
-    def _cut(word: bytes) -> tuple[str, str]:
-        text = word.decode("utf-8", "replace")
-        body = text.rstrip(MARKS)
-        if not body or not unicodedata.normalize("NFC", body[-1]).lower()[-1].isalnum() or "<|" in text:
-            body = text
-        marks = text[len(body) :]
-        return (body.lower() if body.isascii() and "<|" not in body else body), marks
-
-    def _encode_parts(self, parts: list[str]) -> list[bytes]:
-        plain = [p for p in parts if p.lower().isalpha() and unicodedata.is_normalized("NFC", p)]
-        found: dict[str, bytes] = {}
-        if plain:
-            whole = self.tokenizer.encode(" ".join(plain), add_special_tokens=False)
-            ids = np.array(whole.ids, dtype="<u4")
-            starts = np.flatnonzero(np.diff(np.array(whole.word_ids), prepend=-1))
-            if len(starts) != len(plain):
-                raise ValueError("a body of letters is not a single piece of this tokenizer")
-            raw = ids.tobytes()
-            ends = np.append(starts[1:], len(ids))
-            found = {p: raw[4 * a : 4 * b] for p, a, b in zip(plain, starts.tolist(), ends.tolist(), strict=True)}
-        rest = [p for p in parts if p not in found]
-        encoded = self.tokenizer.encode_batch(rest, add_special_tokens=False)
-        found.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(rest, encoded, strict=True))
-        return [found[p] for p in parts]
+        self.tokenizer, self.merges = tokenizer, tokenizer.model.tokenize
+        self.letters = {c: m for c in map(chr, range(LETTERS)) if (m := self._one_piece(c))}
+
+    def _one_piece(self, letter: str) -> str | None:
+        """What the merges see of a letter that no step before them changes or cuts."""
+        if not letter.isalpha() or self.tokenizer.normalizer.normalize_str(letter) != letter:
+            return None
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        own, inside = split(letter), split(f"a{letter}a")
+        return own[0][0] if len(own) == len(inside) == 1 else None
+
+    def __call__(self, parts: list[bytes]) -> list[bytes]:
+        return [self._encode(part.decode("utf-8", "replace")) for part in parts]
+
+    def _encode(self, part: str) -> bytes:
+        try:
+            seen = "".join(map(self.letters.__getitem__, part))
+        except KeyError:
+            ids = self.tokenizer.encode(part, add_special_tokens=False).ids
+        else:
+            ids = [t.id for t in self.merges(seen)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _values(column: pa.LargeBinaryArray) -> tuple[pa.Buffer, np.ndarray]:
+    """The bytes of all values, and where each begins and the last one ends."""
+    _, bounds, data = column.buffers()
+    if not len(column):
+        return pa.py_buffer(b""), np.zeros(1, dtype=np.int64)
+    return data or pa.py_buffer(b""), np.frombuffer(bounds, dtype=np.int64)[column.offset : column.offset + len(column) + 1]
+
+
+def _between(data: pa.Buffer, bounds: np.ndarray) -> pa.LargeBinaryArray:
+    bounds = np.ascontiguousarray(bounds, dtype=np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), data])
+
+
+def cut_words(words: pa.LargeStringArray) -> pa.LargeBinaryArray:
+    """Two parts of each word: its body, and the marks it ends with.
+
+    The tokenizer's pattern cuts there too: after a letter or digit, before ASCII marks other than
+    an apostrophe. Words that may hold a special string stay whole. ASCII words are lower-cased.
+    """
+    special = pc.match_substring(words, "<|")
+    words = pc.if_else(pc.and_not(pc.string_is_ascii(words), special), pc.ascii_lower(words), words)
+    bodies = pc.utf8_rtrim(words, MARKS)
+    last = pc.utf8_slice_codeunits(bodies, -1, None).dictionary_encode()
+    ends = [bool(c) and unicodedata.normalize("NFC", c).lower()[-1].isalnum() for c in last.dictionary.to_pylist()]
+    cut = pc.and_not(pa.array(ends, pa.bool_()).take(last.indices), special).to_numpy(zero_copy_only=False)
+    data, bounds = _values(words.cast(pa.large_binary()))
+    both = np.repeat(bounds, 2)[:-1]
+    both[1::2] = np.where(cut, bounds[:-1] + pc.binary_length(bodies).to_numpy(), bounds[1:])
+    return _between(data, both)
+
+
+def encode_texts(column: pa.Array, cache: ChunkCache) -> Iterator[memoryview]:
+    """The ids of each text, those of its words one after the other; a null text has none.
+
+    Words are found, counted and cut once a slice; the cache is asked for its distinct parts.
+    """
+    lists = pc.ascii_split_whitespace(column.cast(pa.large_string()).fill_null(""))
+    words = lists.flatten().dictionary_encode()
+    parts = cut_words(words.dictionary).dictionary_encode()
+    data, bounds = _values(parts.dictionary)
+    raw, bounds = data.to_pybytes(), bounds.tolist()
+    ids = pa.array(cache.values([raw[a:b] for a, b in zip(bounds, bounds[1:])]), pa.large_binary())
+    data, bounds = _values(ids.take(parts.indices))
+    data, bounds = _values(_between(data, bounds[::2]).take(words.indices))
+    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+    cuts, raw = bounds[ends].tolist(), memoryview(data)
+    for start, end in zip(cuts, cuts[1:]):
+        yield raw[start:end]
 
 
 def encode_pieces(
@@ -100,16 +142,15 @@ def encode_pieces(
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         tokenizer = load_tokenizer(tokenizer_path)
-        cache = ChunkCache(WordEncoder(tokenizer))
+        cache = ChunkCache(PartEncoder(tokenizer))
         task = TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         seen: dict[int, int] = defaultdict(int)
         step = 4 * capacity
         for part in parts:
             rows: list[tuple] = []
-            for row, text in enumerate(raw_texts(part, text_col)):
-                words = text.split()
-                ids = b"".join(map(cache.fill(words).__getitem__, words)) + end
+            for row, words in enumerate(encode_texts(part.column(1), cache)):
+                ids = bytes(words) + end
                 for piece, at in enumerate(range(0, len(ids), step)):
                     own = ids[at : at + step]
                     length = len(own) // 4
@@ -174,7 +215,7 @@ def place(pieces: DataFrame, matches: np.ndarray, id_col: str, with_ids: bool) -
     per_task = pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("many"))
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = per_task.select("task", "length", F.coalesce(F.sum("many").over(before), F.lit(0)).alias("base"))
-    ranked = pieces.join(bases, ["task", "length"])
+    ranked = pieces.join(broadcast_if_bounded(bases, MAX_BASES), ["task", "length"])
     keep = [id_col, "piece", "start", "length", "ids_crc32"]
     kind = pieces.schema[id_col].dataType.simpleString()
     schema = (

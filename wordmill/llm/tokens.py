@@ -70,6 +70,14 @@ class ChunkCache:
         self.letters += sum(map(len, new))
         return self.known
 
+    def values(self, distinct: list) -> list:
+        """What ``encode`` gives for each of ``distinct``, looked up once each."""
+        found = list(map(self.known.get, distinct))
+        if None in found:
+            known = self.fill([c for c, v in zip(distinct, found, strict=True) if v is None])
+            found = [known[c] if v is None else v for c, v in zip(distinct, found, strict=True)]
+        return found
+
 
 def splice(left: list[tuple[int, int]], right: list[tuple[int, int]], text: str, low: int, high: int) -> int | None:
     """The last place in ``[low, high)`` that is stable and a token boundary on both sides."""
