@@ -1,6 +1,7 @@
 import math
 import random
 
+import duckdb
 import numpy as np
 import pytest
 
@@ -18,11 +19,11 @@ def test_equals_sql(spark):
 
 
 def brute(rows, k, every):
-    good = {(i, tuple(math.floor(64 * x) for x in v)) for i, v in rows if i is not None and v and len(v) == 6 and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
     for i, v in good:
         if i % every == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in good if j != i)
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in good if j != i)  # no component: zero
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -40,6 +41,33 @@ def test_shards_and_trees_against_all_pairs(spark, limits):
     assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute(rows, 7, 20)
 
 
+@pytest.mark.parametrize("shard", [1_000, 7])
+def test_large_components_are_exact_or_an_error(spark, shard):
+    schema = "vec_id long, embedding array<double>"
+    longs = [(i, [1e7 + i * i % 7, float(i % 5), 1e6]) for i in range(30)]  # beyond doubles
+    whole = [(0, [0.5, 1e9, 0.0])] + [(i, [1e9 + i * i % 7, 0.0, float(-i)]) for i in range(1, 19)]  # bounds beyond longs
+    for rows in (longs, whole):
+        got = topk.top_k(spark.createDataFrame(rows, schema), k=5, shard_vectors=shard, leaf=4).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == brute(rows, 5, 20)
+    for rows in ([(0, [3e12]), (1, [3e12])], [(0, [3e12]), (1, [-3e12])], [(0, [1.0]), (1, [1e300])]):
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(spark.createDataFrame(rows, schema), k=5).collect()
+
+
+def test_repeated_candidates_against_sql(spark, tmp_path):
+    rnd = random.Random(2)
+    rows = [(i, [rnd.gauss(0, 1) for _ in range(4)]) for i in range(1, 90)]
+    rows += [rows[5]] * 30 + [rows[6]] * 3 + [(200, [0.5] * 3), (7, [9.0] * 2), (8, [0.1] * 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = topk.top_k(df, shard_vectors=40)
+    df.write.parquet(str(tmp_path / "embeddings.parquet"))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    result = db.execute(ORACLE["op9_top_k"])
+    columns = [c[0] for c in result.description]
+    assert rows_of(got.columns, got.collect()) == rows_of(columns, result.fetchall())
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk.top_k(df).collect()] == [(0, 1, 1, 64 * 64 * 3)]
