@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 from itertools import combinations
 
 import numpy as np
@@ -65,6 +66,11 @@ def field(spark):
 def test_spans_that_the_field_adds(field):
     added = lambda t: pii.added_spans(t, pii.base_spans(t), field)
     assert ("phone", 5, 19) in added("call (911) 555-1477 now")
+    for date in (
+        "2024-11-12 12", "12.05.1980 14", "01.05.1980 14", "2019-2020 2021", "100-200 300-400", "101 202 303 404",
+        "2024-11-12 12:30:15", "2024-11-12T12:30:15.123456", "1990 1991 1992", "10 20 30 40 50 60",
+    ):
+        assert added(f"so {date} it is") == [], date
     for clean in ("on 2016-01-02 at 12:30", "version 1.2.3", "pages 12 to 345", "4111 1111 1111 1112", "", "in 1999 and 2003", "300.400.1.2"):
         assert added(clean) == [], clean
     for text in ("a@b.example.com", "+1 (911) 555-1477", "4111 1111 1111 1111", "10.0.0.1"):
@@ -119,3 +125,21 @@ def test_dynamic_programming_against_all_segmentations():
         moved = f.after.copy()
         moved[kinds, 2] += step
         assert (pii.SpanField(f.span, moved).gradient(zone, truth)[0] - value) / step == pytest.approx(after[kinds, 2], abs=1e-3)
+
+
+def test_many_spans_in_a_text_take_time_in_proportion(field):
+    for blank in (" ", " and "):
+        text = blank.join(f"a{i}@example.com" for i in range(16_000))
+        start = time.process_time()
+        base = pii.base_spans(text)
+        assert len(base) == 16_000 and pii.added_spans(text, base, field) == []
+        assert time.process_time() - start < 8
+
+
+def test_the_sample_ranks_hashes_and_takes_equal_rows_once(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "fit_field", lambda texts: seen.append(texts))
+    rows = [(1, "a@b.c")] * 50 + [(i, f"number {i}") for i in range(2, 40)]
+    for sample in (5, 100):
+        pii.train(frame(rows), sample)
+    assert [len(t) for t in seen] == [5, 39] and set(seen[0]) <= set(seen[1])

@@ -7,8 +7,8 @@ of the kind of an entity after the one before. Dynamic programming chooses bound
 jointly. Only tokens near digits or an at sign can be in a span, so a text falls apart into zones
 that are decoded one by one; the score outside is constant.
 
-The field is fitted by likelihood on zones of at most ``sample`` texts, in the order of a hash of
-the id, with the base spans as truth; numbers that fail their check, dates and versions are its
+The field is fitted by likelihood on zones of fewer than ``FIT_TOKENS`` tokens in at most ``sample`` texts, in
+the order of a hash of id and text (equal rows count once), with the base spans as truth; numbers that fail their check, dates and versions are its
 counterexamples. It adds the spans that it decodes and no base span touches, such as a telephone
 number without a plus sign.
 
@@ -19,6 +19,7 @@ added; rows are neither joined nor grouped; other columns are left out. Spans co
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +32,7 @@ from wordmill.llm.common import Span, map_rows, ordered, sha256, span_list, text
 
 KINDS = ["email", "ip", "card", "phone"]
 SAMPLE = 1_500  # texts of a fit
+FIT_TOKENS = 200  # of a zone that the fit reads
 MAX_TOKENS = 24
 
 # The base patterns. The look-behinds only skip places where no match can begin.
@@ -121,7 +123,11 @@ FEATURES = (
 _GOES_ON = re.compile(r"[ .-]?[0-9]")
 _MAIL = re.compile(r"([A-Za-z0-9._%+-]+)@([A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)")
 _NUMBERS = re.compile(r"[0-9]+(?:\.[0-9]+){3}")
-_GROUPED = re.compile(r"(?:\+?[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)|[0-9]{2,4})(?:[ .-][0-9]{2,4}){1,4}")
+# Ways of writing a telephone number that no date, range or row of numbers has: area and exchange, or a trunk zero.
+_GROUPED = re.compile(
+    r"(?:\+[0-9]{1,3}[ .-]?|1[ .-])?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}"
+    r"|0[1-9]([ .-])[0-9]{2}(?:\1[0-9]{2}){3}|0[0-9]{1,4}([ .-])[0-9]{3,4}\2[0-9]{3,4}"
+)
 
 
 def span_features(text: str, start: int, end: int) -> np.ndarray | None:
@@ -276,14 +282,16 @@ def true_entities(zone: Zone, base: list[Span]) -> list[tuple[int, int, int]]:
     return out
 
 
-def fit_field(sample: list[str], epochs: int = 6, rate: float = 0.3, decay: float = 1e-3) -> SpanField | None:
-    """Maximum likelihood by AdaGrad on the zones of the texts; None without any candidate."""
+def fit_field(
+    sample: list[str], epochs: int = 6, rate: float = 0.3, decay: float = 1e-3, longest: int = FIT_TOKENS
+) -> SpanField | None:
+    """Maximum likelihood by AdaGrad on the texts' zones of fewer than ``longest`` tokens; None without any candidate."""
     data = []
     for text in sample:
         base = base_spans(text)
         for start, end in zones(text):
             zone = read_zone(text, start, end)
-            if zone.candidates and len(zone.edges) < 200:
+            if zone.candidates and len(zone.edges) < longest:
                 data.append((zone, true_entities(zone, base)))
     if not any(truth for _, truth in data):
         return None
@@ -302,9 +310,23 @@ def fit_field(sample: list[str], epochs: int = 6, rate: float = 0.3, decay: floa
 
 
 def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> SpanField | None:
-    """Fitted on the first ``sample`` texts, by a hash of the id, that have a digit or an at sign."""
+    """Fitted on the first ``sample`` texts, by a hash of id and text, that have a digit or an at sign.
+
+    Only hashes are ranked, the least ``sample`` of each task; texts are read again where theirs is chosen.
+    """
     marked = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").rlike("[0-9@]"))
-    chosen = marked.select(F.xxhash64("id", F.xxhash64("text")).alias("h"), "text").orderBy("h").limit(sample)
+    hashed = marked.select(F.xxhash64("id", F.xxhash64("text")).alias("h"), "text")
+
+    def least(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        kept = np.zeros(0, np.int64)
+        for part in parts:
+            kept = np.unique(np.concatenate([kept, part.column(0).to_numpy()]))[:sample]
+        yield {"h": kept}
+
+    last = map_rows(hashed.select("h"), least, "h long").distinct().orderBy("h").limit(sample).agg(F.max("h").alias("h"))
+    cut = last.first().h
+    if cut is None:
+        return None
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         for part in parts:
@@ -313,25 +335,47 @@ def train(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_co
                 # Zones with what stands around them are all the fit reads of a text.
                 around = [text[max(0, a - 1) : b + 1] for a, b in zones(text)]
                 out.append("\n".join(around))
-            yield {"text": out}
+            yield {"h": part.column(0), "text": out}
 
-    rows = map_rows(chosen.select("text"), run, "text string").collect()
+    chosen = map_rows(hashed.filter(F.col("h") <= cut), run, "h long, text string")
+    rows = chosen.groupBy("h").agg(F.min("text").alias("text")).collect()
     return fit_field(sorted(r.text for r in rows))
 
 
+class _Taken:
+    """Places of a text that spans cover."""
+
+    def __init__(self, spans: list[Span]) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+        for _, start, end in sorted(spans, key=lambda s: s[1]):
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def touched(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] < end
+
+    def covered(self, start: int, end: int) -> bool:
+        at = bisect_right(self.ends, start)
+        return at < len(self.starts) and self.starts[at] <= start and end <= self.ends[at]
+
+
 def added_spans(text: str, base: list[Span], field: SpanField | None) -> list[Span]:
     """Spans that the field decodes and no base span touches."""
     if field is None:
         return []
-    out = []
+    out, taken = [], _Taken(base)
     for start, end in zones(text):
-        inside = [(a, b) for _, a, b in base if a < end and start < b]
-        if any(a <= start and end <= b for a, b in inside):
+        if taken.covered(start, end):
             continue
         zone = read_zone(text, start, end)
         for i, j, kind in field.decode(zone):
             a, b = zone.edges[i], zone.edges[j]
-            if not any(x < b and a < y for x, y in inside):
+            if not taken.touched(a, b):
                 out.append((KINDS[kind], a, b))
     return out
 
