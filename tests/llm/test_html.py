@@ -1,5 +1,6 @@
 import html as entities
 import re
+import time
 
 import numpy as np
 import pytest
@@ -85,3 +86,25 @@ def test_a_title_in_an_entry_header_stays_and_replies_go():
     replies = "".join(f'<article class="comment-body"><p>Reader {LONG}</p></article>' for _ in range(5))
     for around in ("", f'<div id="comments">{replies}</div>'):
         assert html.main_text(f"<body>{page}{around}</body>").split("\n\n") == ["Title", LONG.strip(), LONG.strip()]
+
+
+@pytest.mark.parametrize("name", [
+    'class="comment-list"', 'id="comments-area"', 'class="ad-slot"', 'class="adSlot"', 'class="post-comments"', 'class="x sidebar-left"', 'class="newsletter-box"',
+])
+def test_compound_names_silence_what_is_no_article(name):
+    text = [LONG.strip()] * 3
+    body = "".join(f"<p>{t}</p>" for t in text)
+    other = f"<div {name}><ol><li><p>Other {LONG}</p></li></ol></div>"
+    for page in (f"<article>{body}{other}</article>", f"<div>{body}{other}</div>", f"<div><div>{body}</div>{other}</div>", f"<main>{other}{body}</main>"):
+        assert html.main_text(f"<body><nav>menu</nav>{page}</body>").split("\n\n") == text, page
+    assert html.main_text(f"<body><nav>menu</nav><div {name}><article>{body}</article></div></body>").split("\n\n") == text
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 20_000 + "deep", "<b>" * 30_000 + "deep", "<div>" * 3_000 + "</i>" * 30_000 + "deep", "<div>d " * 20_000,
+    "<div class=ad>" * 8_000 + "<p>deep", "<p><b>" * 15_000 + "deep", "<select><option>" * 8_000 + "</select>deep",
+])
+def test_time_follows_the_length_of_nested_markup(page):
+    start = time.process_time()
+    assert "de" in html.main_text(page + "<p>de") or "ad" in page
+    assert time.process_time() - start < 3

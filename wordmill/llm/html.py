@@ -6,8 +6,10 @@ lines, smoothed with a Gaussian, is high in articles and low in menus; a thresho
 smoothed ratios into two clusters marks the dense lines. The content region is the smallest element
 that holds most of the dense letters, widened to an ``article`` or ``main`` around it and to parents whose
 further lines are dense too; its lines are the text, without elements whose name, role or class
-says that they are no article. A class name says so only as a whole, and not of an element that holds
-an ``article``, a ``main`` or most of the dense letters.
+says that they are no article. A class name says so by its words, if all others in it are of layout (``ad-slot``,
+``comment-list``, but not ``has-sidebar``), and not of an element that holds an ``article``, a ``main`` or most of
+the dense letters. Elements know their parent, and sums go from children to parents, so the time follows the length
+of a page however deep it nests.
 
 Defined results: a null or empty page has no text; unclosed, misnested and cut-off markup is read
 as far as it goes; a page without any dense line gives the lines of its body. Rows are neither
@@ -17,6 +19,7 @@ joined nor grouped; other columns are left out.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -53,7 +56,14 @@ _SILENT_WORDS = frozenset(
     " breadcrumb breadcrumbs sidebar widget footer header masthead comment comments disqus respond reply share"
     " sharing social related recommended pagination pager copyright".split()
 )
-_WORDS = re.compile(r"[A-Za-z]+")
+# Words that say only where or how the others stand, and those that say whose replies they are.
+_LAYOUT_WORDS = frozenset(
+    "area bar block body bottom box button buttons center col column container content count feed group icon icons id"
+    " inner inline item items left link links list main module outer panel right row section site slot sticky text"
+    " thread title top unit wrap wrapper zone".split()
+)
+_OWNERS = frozenset("all article disqus entry facebook fb post reader readers single user users view wp".split())
+_WORDS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _CUT_TAG = re.compile(r"<[A-Za-z/!?]")
 _KEEP = frozenset(("article", "main", "body", "html"))
 # Of readers: often more than the article, and often articles themselves.
@@ -62,41 +72,57 @@ _REPLIES = frozenset("comment comments disqus respond reply".split())
 
 def _names(attrs: dict[str, str | None]) -> list[list[str]]:
     """The words of each name in class and id values."""
-    return [_WORDS.findall(n) for n in f"{attrs.get('class') or ''} {attrs.get('id') or ''}".lower().split()]
+    named = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+    return [[w.lower() for w in _WORDS.findall(n)] for n in named]
+
+
+def _says_no_article(words: list[str]) -> bool:
+    others = set(words) - _SILENT_WORDS
+    if len(others) == len(set(words)):
+        return False
+    return others <= (_LAYOUT_WORDS if _REPLIES.isdisjoint(words) else _LAYOUT_WORDS | _OWNERS)
 
 
 class _Line:
-    __slots__ = ("path", "silent", "tags", "text")
+    __slots__ = ("at", "silent", "tags", "text")
 
-    def __init__(self, path: tuple[int, ...], silent: bool) -> None:
-        self.path, self.silent, self.tags, self.text = path, silent, 0, []
+    def __init__(self, at: int, silent: bool) -> None:
+        self.at, self.silent, self.tags, self.text = at, silent, 0, []
 
 
 class LineParser(HTMLParser):
-    """Lines of a page, each with the elements around it (by number) and whether they are silent."""
+    """Lines of a page, each with the innermost element around it (by number) and whether that is silent."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
         self.open: list[tuple[str, int, bool]] = []  # name, number, silent
+        self.many: Counter[str] = Counter()  # open elements by name
+        self.stops: list[int] = []  # places in ``open`` of blocks, and of what another element may end
         self.names: list[str] = [""]  # of the elements, by number
+        self.parents: list[int] = [0]
         self.doubted: dict[int, bool] = {}  # elements that a class silences; whether they are readers' replies
         self.marks: set[int] = set()  # article and main elements that are no reply
         self._begin()
 
     def _begin(self) -> None:
-        silent = bool(self.open) and self.open[-1][2]
-        self.line = _Line(tuple(n for _, n, _ in self.open), silent)
+        _, number, silent = self.open[-1] if self.open else ("", 0, False)
+        self.line = _Line(number, silent)
         self.lines.append(self.line)
 
     def _close(self, name: str) -> None:
         """Ends the innermost open ``name`` and what is open inside of it."""
-        at = next((i for i in range(len(self.open) - 1, -1, -1) if self.open[i][0] == name), -1)
-        if at >= 0:
-            changed = any(n in BLOCKS or n in SILENT for n, _, _ in self.open[at:])
-            del self.open[at:]
-            if changed:
-                self._begin()
+        if not self.many[name]:
+            return
+        changed, ended = False, ""
+        while ended != name:
+            ended = self.open.pop()[0]
+            self.many[ended] -= 1
+            changed = changed or ended in BLOCKS or ended in SILENT
+        while self.stops and self.stops[-1] >= len(self.open):
+            self.stops.pop()
+        if changed:
+            self._begin()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.line.tags += 1
@@ -104,7 +130,7 @@ class LineParser(HTMLParser):
             if tag in ("br", "hr"):
                 self.line.text.append("\n")
             return
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in reversed(self.stops):
             name = self.open[i][0]
             if name in IMPLIED and tag in IMPLIED[name]:
                 self._close(name)
@@ -115,7 +141,11 @@ class LineParser(HTMLParser):
         silent = bool(self.open) and self.open[-1][2] or tag in SILENT or self._is_silent(tag, named)
         if not silent:
             self._doubt(tag, _names(named))
+        if tag in BLOCKS or tag in IMPLIED:
+            self.stops.append(len(self.open))
+        self.parents.append(self.open[-1][1] if self.open else 0)
         self.open.append((tag, len(self.names), silent))
+        self.many[tag] += 1
         self.names.append(tag)
         if tag in BLOCKS or tag in SILENT:
             self._begin()
@@ -126,7 +156,7 @@ class LineParser(HTMLParser):
             if not any(n and n[0] in _REPLIES for n in names):
                 self.marks.add(number)
         elif tag in BLOCKS and tag not in _KEEP:
-            said = [n for n in names if n and _SILENT_WORDS.issuperset(n)]
+            said = [n for n in names if _says_no_article(n)]
             if said:
                 self.doubted[number] = any(not _REPLIES.isdisjoint(n) for n in said)
 
@@ -136,7 +166,7 @@ class LineParser(HTMLParser):
         if (attrs.get("role") or "").lower() in _SILENT_ROLES or "hidden" in attrs or (attrs.get("aria-hidden") or "") == "true":
             return True
         if tag == "header":  # a header that is no part of an article
-            return not any(n == "article" for n, _, _ in self.open)
+            return not self.many["article"]
         return False
 
     def handle_endtag(self, tag: str) -> None:
@@ -182,52 +212,63 @@ def dense_lines(every: list[tuple[_Line, str]]) -> list[bool]:
     return [bool(r > limit) and not line.silent for (line, _), r in zip(every, ratio, strict=True)]
 
 
-def silence_by_class(every: list[tuple[_Line, str]], doubted: dict[int, bool], marks: set[int]) -> None:
+def _sums(values: list[int], parents: list[int]) -> list[int]:
+    """Sums over each element and all inside of it; children have higher numbers."""
+    for e in range(len(values) - 1, 0, -1):
+        values[parents[e]] += values[e]
+    return values
+
+
+def _inside(chosen: set[int], parents: list[int]) -> list[bool]:
+    """Whether each element is one of ``chosen`` or inside of one."""
+    found = [0 in chosen]
+    for e in range(1, len(parents)):
+        found.append(e in chosen or found[parents[e]])
+    return found
+
+
+def silence_by_class(every: list[tuple[_Line, str]], parser: LineParser) -> None:
     """Silences the lines of the doubted elements that hold no article, no main and not most of the
     dense letters; replies hold no article unless nothing outside of doubted elements is dense."""
-    inside: dict[int, int] = {}
-    marked: set[int] = set()
-    total = plain = 0
-    for (line, text), dense in zip(every, dense_lines(every), strict=True):
-        total += len(text) * dense
-        own = [] if line.silent else [e for e in line.path if e in doubted]
-        plain += 0 if own else len(text) * dense
-        last = max((e for e in line.path if e in marks), default=0) if own else 0
-        for e in own:
-            inside[e] = inside.get(e, 0) + len(text) * dense
-            if e < last:
-                marked.add(e)
+    doubted, parents = parser.doubted, parser.parents
+    within = _inside(set(doubted), parents)
+    dense, spoken = [0] * len(parents), [0] * len(parents)
+    plain = 0
+    for (line, text), is_dense in zip(every, dense_lines(every), strict=True):
+        dense[line.at] += len(text) * is_dense
+        spoken[line.at] += not line.silent
+        plain += 0 if within[line.at] else len(text) * is_dense
+    dense, spoken = _sums(dense, parents), _sums(spoken, parents)
+    marked = _sums([int(e in parser.marks and spoken[e] > 0) for e in range(len(parents))], parents)
     silent = {
-        e for e, n in inside.items() if e not in marked and (2 * n <= total or doubted[e] and plain > 0)
+        e for e, replies in doubted.items()
+        if marked[e] == (e in parser.marks and spoken[e] > 0) and (2 * dense[e] <= dense[0] or replies and plain > 0)
     }
+    muted = _inside(silent, parents)
     for line, _ in every:
-        line.silent = line.silent or not silent.isdisjoint(line.path)
+        line.silent = line.silent or muted[line.at]
 
 
-def content_region(lines: list[tuple[_Line, str, bool]], names: list[str]) -> int | None:
+def content_region(lines: list[tuple[_Line, str, bool]], parser: LineParser) -> int | None:
     """The element that holds the article, of lines ``(line, text, dense)`` that are not silent."""
-    dense: dict[int, int] = {}
-    letters: dict[int, int] = {}
-    blocks: dict[int, int] = {}
-    path_of: dict[int, tuple[int, ...]] = {}
-    total = 0
+    names, parents = parser.names, parser.parents
+    dense, letters, blocks = ([0] * len(names) for _ in range(3))
     for line, text, is_dense in lines:
-        total += len(text) * is_dense
-        for i, element in enumerate(line.path):
-            letters[element] = letters.get(element, 0) + len(text)
-            dense[element] = dense.get(element, 0) + len(text) * is_dense
-            blocks[element] = blocks.get(element, 0) + 1
-            path_of[element] = line.path[: i + 1]
+        dense[line.at] += len(text) * is_dense
+        letters[line.at] += len(text)
+        blocks[line.at] += 1
+    dense, letters, blocks = (_sums(v, parents) for v in (dense, letters, blocks))
     # Numbers grow inwards: the last one that holds enough is the smallest. One block is no region.
-    wide = [e for e in blocks if blocks[e] > 1 or names[e] in ("article", "main")]
-    region = max((e for e in wide if total and dense[e] >= SHARE * total), default=None)
+    wide = (e for e in range(len(names) - 1, 0, -1) if blocks[e] > 1 or blocks[e] and names[e] in ("article", "main"))
+    region = next((e for e in wide if dense[0] and dense[e] >= SHARE * dense[0]), None)
     if region is None:
         return None
-    outer = path_of[region][:-1]
-    marked = [e for e in path_of[region] if names[e] in ("article", "main")]
-    if marked:
-        return marked[-1]
-    for parent in reversed(outer):
+    around = region
+    while around:
+        if names[around] in ("article", "main"):
+            return around
+        around = parents[around]
+    while parent := parents[region]:
         more = letters[parent] - letters[region]
         if 2 * (dense[parent] - dense[region]) < more:
             break
@@ -242,12 +283,13 @@ def main_text(html: str) -> str:
     if all(line.silent for line, _ in every):
         return ""
     if parser.doubted:
-        silence_by_class(every, parser.doubted, parser.marks)
+        silence_by_class(every, parser)
         if all(line.silent for line, _ in every):
             return ""
     spoken = [(line, text, dense) for (line, text), dense in zip(every, dense_lines(every), strict=True) if not line.silent]
-    region = content_region(spoken, parser.names)
-    return "\n\n".join(text for line, text, _ in spoken if region is None or region in line.path)
+    region = content_region(spoken, parser)
+    held = _inside({region or 0}, parser.parents)
+    return "\n\n".join(text for line, text, _ in spoken if held[line.at])
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
