@@ -153,7 +153,7 @@ def deep_weights(many=2_300):
 
 def test_deep_words_have_probabilities_and_gradients():
     w, rng = deep_weights()
-    assert w.deep_word.shape == (16, gru.HIDDEN, 16)  # 252 deep words
+    assert w.deep_word.shape == (42, gru.HIDDEN, 7) and w.deep_class.shape == (6, gru.HIDDEN, 7)  # 252 deep words
     probe = np.arange(2_301)
     alone = [(int(i), np.array([i], np.int32)) for i in probe]
     assert sum(math.exp(v) for v in dict(gru.score(w, alone, 0)).values()) == pytest.approx(1, abs=1e-3)
@@ -167,7 +167,7 @@ def test_deep_words_have_probabilities_and_gradients():
     found, _ = gru.Model(w).log_probabilities(window, h)
     assert found.sum() == pytest.approx(total, rel=1e-9)
     for p, g in zip(w.parts(), gradient.parts(), strict=True):
-        for flat in np.argsort(-np.abs(g).ravel())[[0, 5, 11]]:
+        for flat in np.argsort(-np.abs(g).ravel())[[0, 5, min(11, g.size - 1)]]:
             at = np.unravel_index(flat, p.shape)
             old, step = p[at], 1e-2
             p[at] = old + step
@@ -194,3 +194,31 @@ def test_what_follows_is_learned_of_words_outside_of_the_head():
     before = sum(dict(gru.score(start, unseen, 0)).values())
     trained, _ = gru.train(start.like(start.flat()), [(None, chain()) for _ in range(3000)], 0, lanes=16)
     assert sum(dict(gru.score(trained, unseen, 0)).values()) > 0.45 * before
+
+
+def test_blocks_of_classes():
+    rng = np.random.default_rng(2)
+    for many, size in ((0, 4), (1, 4), (100, 1), (100, 7), (100, 128)):
+        classes = np.sort(rng.integers(0, 9, many) ** 2)
+        rows = rng.standard_normal((many, 3))
+        blocks = gru._Blocks(classes, size)
+        assert (blocks.rows(blocks.cut(rows)) == rows).all() and (blocks.rows(blocks.cut(rows, empty=True)) == rows).all()
+        sums = blocks.by_class(blocks.cut(rows, empty=True).sum(1))
+        assert sums.at.tolist() == sorted(set(classes.tolist()))
+        assert np.allclose(sums.values, [rows[classes == c].sum(0) for c in sums.at]) if many else len(sums.values) == 0
+
+
+def test_few_lanes_take_longer_windows():
+    w, rng = some_weights()
+    texts = [(0, rng.integers(0, 900, 3_000).astype(np.int32)), (1, np.array([5], np.int32))]
+    found = [x.inputs.shape for x in gru.windows(texts, 64, 0, longest=gru.LONGEST)]
+    assert found[0] == (gru.STEPS, 64) and found[-1] == (gru.LONGEST, 1)
+    assert {x.inputs.shape[0] for x in gru.windows(texts, 64, 0)} == {gru.STEPS}
+    got = dict(gru.score(w, texts, 0))
+    assert [got[i] for i, _ in texts] == pytest.approx([plain_score(w, t) for _, t in texts], rel=1e-4)
+
+
+def test_the_vocabulary_rule_is_an_argument():
+    assert lm.least_count(10**8, rare=3, root=4_000) == 3 and lm.least_count(10**8, root=100) == 100
+    words = [(lm.END, 20), *((b"w%05d" % i, 9) for i in range(3_000)), *((b"x%05d" % i, 2) for i in range(500))]
+    assert lm.Table(words, 28_020, 3_501, least=2).modelled == 3_501

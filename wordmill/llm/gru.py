@@ -4,15 +4,18 @@ The model reads *lanes*: many texts side by side, each from an empty state. A wi
 computed at once; the state is carried to the next window, and gradients end at its start. The
 probability of a word is that of its class times that of the word within the class. The classes of
 the head have a fixed size. The last class is the *tail*; if the vocabulary is larger than the head,
-it has classes of its own, as many as they have words, so that the model follows the vocabulary. The
-last of all is the *rest*: words outside of the model's vocabulary, whose split the caller knows.
+it has groups of classes of its own, as many groups as a group has classes and a class words, so that
+the model follows the vocabulary while a word costs but its cube root. The last of all is the *rest*:
+words outside of the model's vocabulary, whose split the caller knows.
+
+The words of a window are sorted by class and cut into blocks of one class each, so that all classes
+are multiplied at once (``_Blocks``).
 
 Targets: below ``VOCABULARY`` a word of the head, ``VOCABULARY`` the rest, above it a deep word.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -23,6 +26,7 @@ CLASS_WORDS = 64
 CLASSES = 32
 VOCABULARY = CLASSES * CLASS_WORDS  # words of the head; the rest is word VOCABULARY, the tail class CLASSES
 STEPS = 32
+LONGEST = 1024  # steps of a window that scores few texts
 START = 1e-4  # of the sums of squares that AdaGrad divides by
 START_DEEP = 1e-6  # of words outside of the head, which are seen seldom
 _NONE = -1e9  # the bias of a place in a class that no word has
@@ -39,9 +43,11 @@ class Weights:
     to_word: np.ndarray  # (CLASSES, HIDDEN, CLASS_WORDS)
     word_bias: np.ndarray  # (CLASSES, CLASS_WORDS)
     # None without deep words.
-    deep_class: np.ndarray | None = None  # (HIDDEN, deep classes + 1); the last one is the rest
+    deep_group: np.ndarray | None = None  # (HIDDEN, groups + 1); the last one is the rest
+    deep_group_bias: np.ndarray | None = None
+    deep_class: np.ndarray | None = None  # (groups, HIDDEN, classes of a group)
     deep_class_bias: np.ndarray | None = None
-    deep_word: np.ndarray | None = None  # (deep classes, HIDDEN, words of a deep class)
+    deep_word: np.ndarray | None = None  # (groups * classes of a group, HIDDEN, words of a class)
     deep_word_bias: np.ndarray | None = None
 
     def parts(self) -> list[np.ndarray]:
@@ -86,12 +92,18 @@ def fresh(counts: np.ndarray, tail: float, seed: int = 7) -> Weights:
     )
     if not len(deep):
         return head
-    own = math.ceil(math.sqrt(len(deep)))
-    many = -(-len(deep) // own)
-    words, in_class = _biases(deep, many, own)
+    own = 1
+    while own**3 < len(deep):
+        own += 1
+    groups = -(-len(deep) // own**2)
+    words, in_class = _biases(deep, groups * own, own)
+    by_group = in_class.reshape(groups, own)
+    with np.errstate(divide="ignore"):
+        inner = np.maximum(np.log(by_group) - np.log(by_group.sum(1, keepdims=True)), _NONE).astype(np.float32)
     return replace(
-        head, deep_class=np.zeros((HIDDEN, many + 1), np.float32), deep_class_bias=_shares(in_class, tail),
-        deep_word=np.zeros((many, HIDDEN, own), np.float32), deep_word_bias=words,
+        head, deep_group=np.zeros((HIDDEN, groups + 1), np.float32), deep_group_bias=_shares(by_group.sum(1), tail),
+        deep_class=np.zeros((groups, HIDDEN, own), np.float32), deep_class_bias=inner,
+        deep_word=np.zeros((groups * own, HIDDEN, own), np.float32), deep_word_bias=words,
     )
 
 
@@ -127,8 +139,14 @@ class Window:
     ended: list  # owners that end in this window
 
 
-def windows(texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input: int, steps: int = STEPS) -> Iterator[Window]:
-    """Texts ``(tag, targets)`` in lanes; a lane that ends a text goes on with the next one."""
+def windows(
+    texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input: int, steps: int = STEPS, longest: int = STEPS
+) -> Iterator[Window]:
+    """Texts ``(tag, targets)`` in lanes; a lane that ends a text goes on with the next one.
+
+    The fewer lanes go on, the more steps a window has, up to ``longest``.
+    """
+    full = lanes * steps
     source = iter(texts)
     lane: list[list] = [[None, None, 0] for _ in range(lanes)]  # tag, targets, place
     more = True
@@ -136,6 +154,7 @@ def windows(texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input:
         going = np.array([more or state[1] is not None for state in lane], bool)
         lane = [state for state, on in zip(lane, going, strict=True) if on]
         lanes = len(lane)
+        steps = max(steps, min(longest, full // max(1, lanes)))
         inputs = np.full((steps, lanes), first_input, np.int32)
         targets = np.full((steps, lanes), -1, np.int32)
         keep = np.ones((steps, lanes), np.float32)
@@ -182,7 +201,7 @@ class Model:
         into = (embedded @ w.into + w.bias).reshape(steps, lanes, 3 * HIDDEN)
         h = h[window.lanes]
         out = np.empty((steps, lanes, HIDDEN), np.float32)
-        kept = []
+        kept = tuple(np.empty_like(out) for _ in range(5)) if remember else ()
         for t in range(steps):
             before = h * window.keep[t][:, None]
             again = before @ w.again
@@ -195,58 +214,49 @@ class Model:
             candidate = np.tanh(into[t, :, 2 * HIDDEN :] + reset * again[:, 2 * HIDDEN :])
             h = candidate + update * (before - candidate)
             out[t] = h
-            if remember:
-                kept.append((before, update, reset, candidate, again[:, 2 * HIDDEN :]))
+            for all_steps, value in zip(kept, (before, update, reset, candidate, again[:, 2 * HIDDEN :])):
+                all_steps[t] = value
         return out, h, (embedded, kept)
 
-    @staticmethod
-    def _by_class(targets: np.ndarray) -> Iterator[tuple[int, slice]]:
-        """Classes of sorted targets, and where they are; the tail has no words to tell apart."""
-        cuts = np.searchsorted(targets, np.arange(0, VOCABULARY + 1, CLASS_WORDS)).tolist()
-        for c, (start, end) in enumerate(zip(cuts, cuts[1:])):
-            if end > start:
-                yield c, slice(start, end)
-
-    def _deep(self, targets: np.ndarray) -> tuple[slice, np.ndarray, np.ndarray]:
-        """Where sorted targets are of the tail, and their deep classes and places in them."""
-        start = int(np.searchsorted(targets, VOCABULARY))
-        deep = targets[start:] - (VOCABULARY + 1)
-        many, _, own = self.w.deep_word.shape
-        return slice(start, len(targets)), np.where(deep < 0, many, deep // own), deep % own
-
-    @staticmethod
-    def _by_deep_class(classes: np.ndarray, many: int) -> Iterator[tuple[int, slice]]:
-        """Deep classes that occur, and where they are; the rest comes first and has no words."""
-        after = int(np.searchsorted(-(classes == many).astype(np.int8), 0))
-        found, starts = np.unique(classes[after:], return_index=True)
-        ends = [*(starts[1:] + after).tolist(), len(classes)]
-        for c, start, end in zip(found.tolist(), (starts + after).tolist(), ends):
-            yield c, slice(start, end)
+    def _levels(self, targets: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, tuple[str, str], int]]:
+        """Of sorted targets, by level: which ones, their class and place in it, the matrix and its bias, the size of blocks.
+
+        Levels with one matrix for all have the class 0.
+        """
+        tail = int(np.searchsorted(targets, VOCABULARY))
+        all_of_them = np.minimum(targets // CLASS_WORDS, CLASSES)
+        yield slice(0, len(targets)), np.zeros(len(targets), np.int64), all_of_them, ("to_class", "class_bias"), 0
+        head = targets[:tail]
+        yield slice(0, tail), head // CLASS_WORDS, head % CLASS_WORDS, ("to_word", "word_bias"), 128
+        if self.w.deep_word is None:
+            return
+        deep, own = targets[tail:] - (VOCABULARY + 1), self.w.deep_word.shape[2]
+        groups = np.where(deep < 0, len(self.w.deep_class), deep // own**2)
+        yield slice(tail, len(targets)), np.zeros(len(deep), np.int64), groups, ("deep_group", "deep_group_bias"), 0
+        known = int(np.searchsorted(deep, 0))
+        deep, inside = deep[known:], slice(tail + known, len(targets))
+        yield inside, deep // own**2, deep // own % own, ("deep_class", "deep_class_bias"), 64
+        yield inside, deep // own, deep % own, ("deep_word", "deep_word_bias"), 4
+
+    def _logits(self, hidden: np.ndarray, names: tuple[str, str], blocks: _Blocks | None) -> tuple[np.ndarray, np.ndarray]:
+        """Also the matrix, or that of each block."""
+        matrix, bias = (getattr(self.w, name) for name in names)
+        if blocks is None:
+            return hidden @ matrix + bias, matrix
+        matrix = matrix.take(blocks.own, axis=0)
+        return blocks.rows(blocks.cut(hidden) @ matrix + bias[blocks.own][:, None]), matrix
 
     def log_probabilities(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithm per step and lane (zero where there is no target), and the last state."""
         states, h, _ = self.states(window, h, remember=False)
-        w, flat = self.w, window.targets.ravel()
+        flat = window.targets.ravel()
         at = _sorted_targets(flat)
         hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
-        logits = hidden @ w.to_class + w.class_bias
-        found = logits[np.arange(len(at)), np.minimum(targets // CLASS_WORDS, CLASSES)]
-        found -= _log_sum(logits)
-        for c, own in self._by_class(targets):
-            logits = hidden[own] @ w.to_word[c] + w.word_bias[c]
-            wanted = logits[np.arange(len(logits)), targets[own] % CLASS_WORDS]
-            found[own] += wanted - _log_sum(logits)
-        if w.deep_class is not None:
-            tail, classes, places = self._deep(targets)
-            hidden = hidden[tail]
-            logits = hidden @ w.deep_class + w.deep_class_bias
-            inner = logits[np.arange(len(logits)), classes]
-            inner -= _log_sum(logits)
-            for c, own in self._by_deep_class(classes, len(w.deep_word)):
-                logits = hidden[own] @ w.deep_word[c] + w.deep_word_bias[c]
-                wanted = logits[np.arange(len(logits)), places[own]]
-                inner[own] += wanted - _log_sum(logits)
-            found[tail] += inner
+        found = np.zeros(len(at))
+        for which, classes, places, names, size in self._levels(targets):
+            logits, _ = self._logits(hidden[which], names, _Blocks(classes, size) if size else None)
+            wanted = logits[np.arange(len(logits)), places]
+            found[which] += wanted - _log_sum(logits)
         out = np.zeros(len(flat))
         out[at] = found
         return out.reshape(window.targets.shape), h
@@ -271,76 +281,52 @@ class Model:
         total = 0.0
         d_hidden = np.zeros((steps * lanes, HIDDEN), np.float32)
 
-        logits = hidden @ w.to_class + w.class_bias
-        rows, classes = np.arange(len(at)), np.minimum(targets // CLASS_WORDS, CLASSES)
-        own_logits = logits[rows, classes]
-        lead, d = _soft_max(logits)
-        total += float((own_logits - lead).sum())
-        d[rows, classes] += 1
-        to_class, class_bias = hidden.T @ d, d.sum(0)
-        d_own = d @ w.to_class.T
-        to_word, word_bias = np.zeros_like(w.to_word), np.zeros_like(w.word_bias)
-        for c, own in self._by_class(targets):
-            logits = hidden[own] @ w.to_word[c] + w.word_bias[c]
-            rows, words = np.arange(len(logits)), targets[own] % CLASS_WORDS
-            own_logits = logits[rows, words]
-            lead, d = _soft_max(logits)
-            total += float((own_logits - lead).sum())
-            d[rows, words] += 1
-            to_word[c], word_bias[c] = hidden[own].T @ d, d.sum(0)
-            d_own[own] += d @ w.to_word[c].T
-        deep: list = []
-        if w.deep_class is not None:
-            tail, classes, places = self._deep(targets)
-            inside = hidden[tail]
-            logits = inside @ w.deep_class + w.deep_class_bias
+        d_own = np.zeros_like(hidden)
+        found: dict[str, np.ndarray | Touched] = {}
+        for which, classes, places, names, size in self._levels(targets):
+            blocks = _Blocks(classes, size) if size else None
+            own = hidden[which]
+            logits, matrix = self._logits(own, names, blocks)
             rows = np.arange(len(logits))
-            own_logits = logits[rows, classes]
+            own_logits = logits[rows, places]
             lead, d = _soft_max(logits)
             total += float((own_logits - lead).sum())
-            d[rows, classes] += 1
-            deep = [inside.T @ d, d.sum(0)]
-            d_tail = d @ w.deep_class.T
-            slices = list(self._by_deep_class(classes, len(w.deep_word)))
-            deep_word = np.empty((len(slices), *w.deep_word.shape[1:]), w.deep_word.dtype)
-            deep_bias = np.empty((len(slices), w.deep_word.shape[2]), w.deep_word.dtype)
-            for i, (c, own) in enumerate(slices):
-                logits = inside[own] @ w.deep_word[c] + w.deep_word_bias[c]
-                rows = np.arange(len(logits))
-                own_logits = logits[rows, places[own]]
-                lead, d = _soft_max(logits)
-                total += float((own_logits - lead).sum())
-                d[rows, places[own]] += 1
-                np.matmul(inside[own].T, d, out=deep_word[i])
-                deep_bias[i] = d.sum(0)
-                d_tail[own] += d @ w.deep_word[c].T
-            d_own[tail] += d_tail
-            touched = np.array([c for c, _ in slices], np.int64)
-            deep += [Touched(touched, deep_word), Touched(touched, deep_bias)]
+            d[rows, places] += 1
+            if blocks is None:
+                found |= dict(zip(names, (own.T @ d, d.sum(0)), strict=True))
+                d_own[which] += d @ matrix.T
+            else:
+                d = blocks.cut(d, empty=True)
+                of_matrix = blocks.by_class(blocks.cut(own).transpose(0, 2, 1) @ d)
+                found |= dict(zip(names, (of_matrix, blocks.by_class(d.sum(1))), strict=True))
+                d_own[which] += blocks.rows(d @ matrix.transpose(0, 2, 1))
         d_hidden[at] = d_own
         d_hidden = d_hidden.reshape(steps, lanes, HIDDEN)
 
         d_into = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
         d_again = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
         carried = np.zeros((lanes, HIDDEN), np.float32)
+        before, update, reset, candidate, again = kept
+        by_candidate = (1 - update) * (1 - candidate * candidate)
+        by_update = (before - candidate) * update * (1 - update)
+        by_reset = again * reset * (1 - reset)
+        back = np.ascontiguousarray(w.again.T)
         for t in range(steps - 1, -1, -1):
-            before, update, reset, candidate, again = kept[t]
             dh = d_hidden[t] + carried
-            d_candidate = dh * (1 - update) * (1 - candidate * candidate)
-            d_update = dh * (before - candidate) * update * (1 - update)
-            d_reset = d_candidate * again * reset * (1 - reset)
-            d_into[t, :, :HIDDEN], d_into[t, :, HIDDEN : 2 * HIDDEN], d_into[t, :, 2 * HIDDEN :] = d_update, d_reset, d_candidate
+            d_candidate = dh * by_candidate[t]
+            np.multiply(dh, by_update[t], out=d_into[t, :, :HIDDEN])
+            np.multiply(d_candidate, by_reset[t], out=d_into[t, :, HIDDEN : 2 * HIDDEN])
+            d_into[t, :, 2 * HIDDEN :] = d_candidate
             d_again[t, :, : 2 * HIDDEN] = d_into[t, :, : 2 * HIDDEN]
-            d_again[t, :, 2 * HIDDEN :] = d_candidate * reset
-            carried = (dh * update + d_again[t] @ w.again.T) * window.keep[t][:, None]
+            np.multiply(d_candidate, reset[t], out=d_again[t, :, 2 * HIDDEN :])
+            carried = (dh * update[t] + d_again[t] @ back) * window.keep[t][:, None]
         d_into = d_into.reshape(-1, 3 * HIDDEN)
-        before = np.concatenate([k[0] for k in kept])
         order = np.argsort(window.inputs.ravel(), kind="stable")
         words, starts = np.unique(window.inputs.ravel()[order], return_index=True)
         embedding = Touched(words, np.add.reduceat((d_into @ w.into.T)[order], starts))
         return total, last, Weights(
-            embedding, embedded.T @ d_into, d_into.sum(0), before.T @ d_again.reshape(-1, 3 * HIDDEN),
-            to_class, class_bias, to_word, word_bias, *deep,
+            embedding, embedded.T @ d_into, d_into.sum(0), before.reshape(-1, HIDDEN).T @ d_again.reshape(-1, 3 * HIDDEN),
+            **found,
         )
 
 
@@ -357,6 +343,41 @@ class Touched:
         return out
 
 
+class _Blocks:
+    """Rows that are sorted by class, cut into blocks of ``size`` places of one class; a class's last one may have empty places."""
+
+    def __init__(self, classes: np.ndarray, size: int) -> None:
+        self.found, starts, counts = np.unique(classes, return_index=True, return_counts=True)
+        self.many = many = -(-counts // size)
+        self.first = np.cumsum(many) - many
+        of = np.repeat(np.arange(len(many)), many)
+        self.own = self.found[of]  # the class of each block
+        place = (starts[of] + (np.arange(len(of)) - self.first[of]) * size)[:, None] + np.arange(size)
+        self.used = (place < (starts + counts)[of][:, None]).ravel()
+        self.place, self.shape = np.where(self.used, place.ravel(), 0), (len(of), size)
+
+    def cut(self, rows: np.ndarray, empty: bool = False) -> np.ndarray:
+        """Rows by block; empty places are zero if they have to be, else they hold any row."""
+        if empty:
+            out = np.zeros((len(self.place), rows.shape[1]), rows.dtype)
+            out[self.used] = rows
+        else:
+            out = rows[self.place]
+        return out.reshape(*self.shape, rows.shape[1])
+
+    def rows(self, cut: np.ndarray) -> np.ndarray:
+        """The rows again, without the empty places."""
+        return cut.reshape(-1, cut.shape[2])[self.used]
+
+    def by_class(self, values: np.ndarray) -> Touched:
+        """Sums of the blocks of each class."""
+        out = values[self.first]
+        for i in range(1, int(self.many.max(initial=1))):
+            more = np.flatnonzero(self.many > i)
+            out[more] += values[self.first[more] + i]
+        return Touched(self.found, out)
+
+
 def _sorted_targets(flat: np.ndarray) -> np.ndarray:
     """Places that have a target, in the order of the targets: those of a class are a slice."""
     order = np.argsort(flat, kind="stable")
@@ -381,20 +402,29 @@ def _soft_max(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return top + np.log(sums), logits
 
 
-def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 128, rate: float = 0.1) -> tuple[Weights, int]:
+def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 256, rate: float = 0.3) -> tuple[Weights, int]:
     """One pass of AdaGrad ascent over the texts, window by window; also the number of tokens."""
     model, h = Model(weights), np.zeros((lanes, HIDDEN), np.float32)
-    deep = [p for p in (weights.deep_class, weights.deep_class_bias, weights.deep_word, weights.deep_word_bias) if p is not None]
+    deep = [p for n, p in weights.__dict__.items() if n.startswith("deep_") and p is not None]
     seen = [np.full_like(p, START_DEEP if any(p is d for d in deep) else START) for p in weights.parts()]
+    # Words of deep classes are many: one sum for all weights of a word.
+    by_word = np.full_like(weights.deep_word_bias, START_DEEP) if deep else None
     tokens = 0
     for window in windows(texts, lanes, first_input):
         tokens += int((window.targets >= 0).sum())
         _, h, gradient = model.sparse_gradient(window, h)
         # By the size of a full window: the last ones, with few lanes, weigh what they hold.
+        scale = 1 / (lanes * STEPS)
         for p, g, s in zip(model.w.parts(), gradient.parts(), seen, strict=True):
+            if p is weights.deep_word:
+                square = by_word[g.at] + np.einsum("chw,chw->cw", g.values, g.values) * (scale * scale / HIDDEN)
+                by_word[g.at] = square
+                g.values *= (rate * scale / np.sqrt(square))[:, None]
+                p[g.at] += g.values
+                continue
             if isinstance(g, Touched):
                 p, g, s = _Rows(p, g.at), g.values, _Rows(s, g.at)
-            g *= 1 / (lanes * STEPS)
+            g *= scale
             square = s[...] + g * g
             s[...] = square
             p[...] = p[...] + rate * g / np.sqrt(square)
@@ -414,11 +444,11 @@ class _Rows:
         self.matrix[self.at] = value
 
 
-def score(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 256) -> Iterator[tuple[object, float]]:
+def score(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 512) -> Iterator[tuple[object, float]]:
     """Each tag with the natural logarithm of its whole text; tags must be hashable and distinct."""
     model, h = Model(weights), np.zeros((lanes, HIDDEN), np.float32)
     sums: dict[object, float] = {}
-    for window in windows(texts, lanes, first_input):
+    for window in windows(texts, lanes, first_input, longest=LONGEST):
         found, h = model.log_probabilities(window, h)
         by_owner = np.bincount(window.owner.ravel(), weights=found.ravel(), minlength=len(window.texts))
         for tag, value in zip(window.texts, by_owner.tolist(), strict=True):

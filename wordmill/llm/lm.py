@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -72,25 +73,26 @@ def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def least_count(total: int) -> int:
+def least_count(total: int, rare: int = RARE, root: int = ROOT) -> int:
     """Occurrences from which on a word is the model's. Weights are held by each task, so they may
     grow with the corpus, but more slowly."""
-    return max(RARE, math.ceil(math.sqrt(total) / ROOT))
+    return max(rare, math.ceil(math.sqrt(total) / root))
 
 
 class Table:
     """The most frequent words with their counts, most frequent first; the end token is always one.
 
-    ``words`` holds all those that occur ``least_count`` times; the first ``modelled`` are the model's.
+    ``words`` holds all those that occur ``least`` times (``least_count`` if not given); the first
+    ``modelled`` are the model's.
     """
 
-    def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int) -> None:
+    def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int, least: int | None = None) -> None:
         ends = [w for w in words if w[0] == END] or [(END, 0)]
         # The end token takes the first place: it is in the model however small the vocabulary is.
         self.words = ends + [w for w in words if w[0] != END]
         self.total, self.distinct = total, distinct
         self.counts = np.array([n for _, n in self.words], dtype=np.float64)
-        common = int((self.counts[1:] >= least_count(total)).sum()) + 1
+        common = int((self.counts[1:] >= (least or least_count(total))).sum()) + 1
         self.modelled = max(min(gru.VOCABULARY, len(self.words)), common)
         inside = self.counts[: self.modelled]
         self.tail_total = total - float(inside.sum())
@@ -141,15 +143,16 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
             own, tokens = gru.train(own, texts, 0)
             if tokens:
                 flat = own.flat()
+                pieces = -(-size // _PIECE)
                 yield {
-                    "piece": list(range(-(-size // _PIECE))), "tokens": [tokens] * -(-size // _PIECE),
+                    "task": [TaskContext.get().partitionId()] * pieces, "piece": list(range(pieces)), "tokens": [tokens] * pieces,
                     "values": [flat[i : i + _PIECE].tobytes() for i in range(0, size, _PIECE)],
                 }
 
         def average(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             sums: dict[int, list] = {}
             for p in parts:
-                for piece, tokens, values in zip(*(c.to_pylist() for c in p.columns), strict=True):
+                for _, piece, tokens, values in zip(*(c.to_pylist() for c in p.columns), strict=True):
                     own = np.frombuffer(values, np.float32).astype(np.float64) * tokens
                     if piece in sums:
                         sums[piece][0] += own
@@ -164,8 +167,10 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
 
         schema = "piece int, tokens long, values binary"
         own_texts = docs.filter(learning & (part_of == part)).select(text_col).coalesce(tasks)
-        trained = map_rows(own_texts, run, schema)
-        averaged = map_rows(trained.repartition("piece"), average, schema).collect()
+        trained = map_rows(own_texts, run, f"task int, {schema}")
+        # In the order of the tasks, so that sums do not depend on which comes first.
+        in_order = trained.repartition("piece").sortWithinPartitions("piece", "task")
+        averaged = map_rows(in_order, average, schema).collect()
         if averaged:
             pieces = {r.piece: np.frombuffer(bytes(r["values"]), np.float32) for r in averaged}
             weights = weights.like(np.concatenate([pieces[i] for i in sorted(pieces)]))
@@ -231,15 +236,22 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
     return map_rows(docs.select(id_col, text_col), run, schema)
 
 
-def score_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_words: int = TABLE_WORDS) -> DataFrame:
-    """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row; logs to base 10."""
+def score_corpus(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table_words: int = TABLE_WORDS, rare: int = RARE,
+    root: int = ROOT,
+) -> DataFrame:
+    """``(id, held_out, n_tokens, n_known, train_tokens, base_score, score)`` per row; logs to base 10.
+
+    ``rare`` and ``root`` set the vocabulary of the model (``least_count``).
+    """
     counts = stage(count_words(docs, id_col, text_col))
     sums = counts.agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct")).first()
     most = counts.orderBy(F.desc("n"), "word").limit(table_words)
-    rest = counts.filter((F.col("word") == END) | (F.col("n") >= least_count(int(sums.total or 0))))
+    least = least_count(int(sums.total or 0), rare, root)
+    rest = counts.filter((F.col("word") == END) | (F.col("n") >= least))
     found = {bytes(r.word): r.n for r in most.union(rest).collect()}
     ranked = sorted(found.items(), key=lambda w: (-w[1], w[0]))
-    table = Table(ranked, int(sums.total or 0), int(sums.distinct))
+    table = Table(ranked, int(sums.total or 0), int(sums.distinct), least)
     shared = docs.sparkSession.sparkContext.broadcast(table)
     weights = train_model(docs, table, shared, id_col, text_col)
     scored = stage(
