@@ -86,3 +86,11 @@ def test_kept_rows_and_no_labels(spark, frame):
     assert q.train(docs, labels) is None and q.keep_good(docs.limit(0), None).count() == 0
     labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
     assert q.train(docs, labels) is not None
+
+
+def test_a_repeated_id_takes_one_place_of_the_sample(spark, frame):
+    docs = frame([(1, f"line {i}\nmore of it") for i in range(50)] + [(k, "a b\nc") for k in range(2, 8)] + [(9, None)])
+    labels = spark.createDataFrame([(1, 1), (1, 0), *((k, k % 2) for k in range(2, 10)), (None, 1), (3, None)], "doc_id long, quality int")
+    found = q.labelled_sequences(docs, labels, 100, "doc_id", "text", "quality")
+    assert len(found) == 8 and len(found[0][0]) == 2 and found[0][1] == q.BOILERPLATE  # ids 1 to 7, and 9
+    assert len(q.labelled_sequences(docs, labels, 3, "doc_id", "text", "quality")) <= 3

@@ -196,11 +196,15 @@ def fit_field(sequences: list[tuple[np.ndarray, int]], epochs: int = 12, rate: f
 
 
 def labelled_sequences(docs: DataFrame, labels: DataFrame, sample: int, id_col: str, text_col: str, label_col: str) -> list:
-    """Line features of at most ``sample`` labelled documents; 1 is a good document."""
+    """Line features of at most ``sample`` labelled documents; 1 is a good document.
+
+    Of rows with equal ids, and of labels with equal ids, one counts: that with the least label, then the least
+    features, so that a repeated id takes one place and what comes to the driver stays within ``sample``.
+    """
     chosen = labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(label_col).alias("_good")
     )
-    chosen = chosen.orderBy(F.xxhash64("_id"), "_id", "_good").limit(sample)
+    chosen = chosen.groupBy("_id").agg(F.min("_good").alias("_good")).orderBy(F.xxhash64("_id"), "_id").limit(sample)
     rows = docs.select(id_col, text_col).join(F.broadcast(chosen), F.col(id_col) == F.col("_id"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -210,10 +214,9 @@ def labelled_sequences(docs: DataFrame, labels: DataFrame, sample: int, id_col:
 
     kind = docs.schema[id_col].dataType.simpleString()
     lines = map_rows(rows.select(id_col, text_col, F.col("_good").cast("int")), run, f"id {kind}, good int, features array<double>")
-    found = sorted(lines.collect(), key=lambda r: (r.id, r.features))
-    return [
-        (np.array(r.features).reshape(-1, len(FEATURES)), CONTENT if r.good == 1 else BOILERPLATE) for r in found[: 2 * sample]
-    ]
+    one = lines.groupBy("id").agg(F.min(F.struct("good", "features")).alias("least")).select("id", "least.*")
+    found = sorted(one.collect(), key=lambda r: (r.id, r.features))
+    return [(np.array(r.features).reshape(-1, len(FEATURES)), CONTENT if r.good == 1 else BOILERPLATE) for r in found]
 
 
 def train(
