@@ -142,3 +142,26 @@ def test_escaped_and_wrapped_keys():
     assert kinds("\n".join(lines(PUBLIC))) == []
     assert kinds("MIIEvQIBADANBgkqhkiG" * 20_000) == []
     assert kinds("b3BlbnNzaC1rZXktdjE\n" * 300) == []
+
+
+def test_encrypted_pem_bodies():
+    def block(cipher="AES-128-CBC", start="0F" * 16, body=filler(96), end="\n"):
+        head = ["-----BEGIN RSA PRIVATE KEY-----", "Proc-Type: 4,ENCRYPTED", f"DEK-Info: {cipher},{start}", ""]
+        return end.join([*head, *lines(body), "-----END RSA PRIVATE KEY-----"])
+
+    for end in ("\n", "\r\n", "\\n"):
+        for cipher, start in (("AES-128-CBC", "0F" * 16), ("DES-EDE3-CBC", "a1" * 8)):
+            found = block(cipher, start, end=end)
+            assert s.confirmed_spans(f"x {found} y") == [("key", 2, 2 + len(found))]
+    assert kinds(block(body=filler(97))) == [] and kinds(block(start="0F" * 8)) == [] and kinds(block("ROT13")) == []
+    assert s.redacted(block()) == "[SECRET]"
+
+
+def test_many_keys_in_a_file_and_further_algorithms():
+    head = b"openssh-key-v1\0" + ssh_string(b"none") * 2 + ssh_string(b"")
+    many = head + (40).to_bytes(4, "big") + ssh_string(filler(20)) * 40 + ssh_string(filler(90))
+    assert s.is_openssh_key(many) and kinds(base64.b64encode(many).decode()) == ["key"]
+    assert not s.is_openssh_key(many[:-1]) and not s.is_openssh_key(head + b"\xff" * 4 + ssh_string(filler(20)) * 40)
+    assert not s.is_openssh_key(head + b"\0\0\0\0" + ssh_string(filler(90)))
+    assert kinds(jwt("ES256K", 64)) == kinds(jwt("EdDSA", 114)) == kinds(jwt("EdDSA", 64)) == kinds(jwt("Ed448", 114)) == ["jwt"]
+    assert kinds(jwt("ES256K", 63)) == kinds(jwt("EdDSA", 100)) == []

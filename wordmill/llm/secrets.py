@@ -6,7 +6,8 @@ Base kinds are patterns. Two more are reported only if the decoded candidate pro
     base64 (a run, also over several lines, or the body of a PEM block; line ends may be escaped)
     or hexadecimal digits that decode to a private key; base64 may begin inside of a run but has to
     end with it: DER whose nested lengths fill the candidate exactly (PKCS#1, SEC 1, PKCS#8, encrypted
-    PKCS#8), or the OpenSSH format, whose strings carry their lengths.
+    PKCS#8), or the OpenSSH format, whose strings carry their lengths. A PEM body that is encrypted as
+    a whole has whole blocks of the cipher that its headers name, and a start value of one block.
 ``jwt``
     three dotted base64url parts of which the first decodes to a header with an ``alg``, the second
     to a JSON object, and the third has the length that the algorithm's signature has.
@@ -47,12 +48,19 @@ _BREAK = re.compile(r"[ \t]*(?:\r?\n|(?:\\+r)?\\+n)[ \t]*")
 _PADDING = re.compile(r"={0,2}")
 _LEAST_DIGITS = 40
 _ANY_HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{2}){24,}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:[0-9A-F]{2}){24,}(?![0-9A-Za-z])")
-_PEM = re.compile(r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\+[nrt/])*)-----END \1-----")
+_PEM = re.compile(
+    r"-----BEGIN ((?:[A-Z0-9]+ ){0,3}PRIVATE KEY)-----"
+    r"(?:(?:\s|\\+[nrt])*Proc-Type: 4,ENCRYPTED(?:\s|\\+[nrt])+DEK-Info: (?P<cipher>[A-Z0-9-]+),(?P<start>[0-9A-Fa-f]+)(?=\s|\\))?"
+    r"(?P<body>(?:[A-Za-z0-9+/=\s]|\\+[nrt/])*)-----END \1-----"
+)
+# Bytes of a block by the cipher that encrypts a PEM body as a whole.
+CIPHER_BLOCKS = {"DES-CBC": 8, "DES-EDE3-CBC": 8, "AES-128-CBC": 16, "AES-192-CBC": 16, "AES-256-CBC": 16}
 _ESCAPED = re.compile(r"\s+|\\+[nrt]|\\+(?=/)")  # no digits of a PEM body
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_.-])(ey[A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)(?!\.?[A-Za-z0-9_-])")
-# Bytes of a signature by algorithm; None: any, but some. RSA signatures follow the key's length.
+# Bytes that a signature may have by algorithm; None: any, but some. RSA signatures follow the key's length.
 SIGNATURE_BYTES = {
-    "none": 0, "HS256": 32, "HS384": 48, "HS512": 64, "ES256": 64, "ES384": 96, "ES512": 132, "EdDSA": 64,
+    "none": (0,), "HS256": (32,), "HS384": (48,), "HS512": (64,), "ES256": (64,), "ES256K": (64,), "ES384": (96,), "ES512": (132,),
+    "EdDSA": (64, 114), "Ed25519": (64,), "Ed448": (114,),
     "RS256": None, "RS384": None, "RS512": None, "PS256": None, "PS384": None, "PS512": None,
 }
 _INTEGER, _OCTETS, _OID, _SEQUENCE = 0x02, 0x04, 0x06, 0x30
@@ -131,11 +139,17 @@ def openssh_length(data: bytes) -> int:
             found.append(value)
         keys = int.from_bytes(data[at : at + 4], "big")
         at += 4
-        for _ in range(min(keys, 16) + 1):
+        for _ in range(keys + 1):  # ends with the data at the latest
             value, at = string(at)
     except ValueError:
         return 0
-    return at if 1 <= keys <= 16 and found[0].isascii() and found[0] and value else 0
+    return at if keys >= 1 and found[0].isascii() and found[0] and value else 0
+
+
+def is_encrypted_body(body: bytes, cipher: str, start: str) -> bool:
+    """Whether an encrypted PEM body is whole blocks of its cipher, and its start value one block."""
+    block = CIPHER_BLOCKS.get(cipher)
+    return bool(block) and len(start) == 2 * block and len(body) >= 48 and len(body) % block == 0
 
 
 def der_length(head: bytes) -> int:
@@ -174,7 +188,7 @@ def is_signed_token(header: str, payload: str, signature: str) -> bool:
     if head["alg"] not in SIGNATURE_BYTES:
         return False
     wanted, found = SIGNATURE_BYTES[head["alg"]], len(unbase64(signature))
-    return found == wanted if wanted is not None else found >= 128
+    return found in wanted if wanted is not None else found >= 128
 
 
 class Runs:
@@ -245,7 +259,8 @@ def confirmed_spans(text: str) -> list[Span]:
     found, taken = [], []
     if "PRIVATE KEY-----" in text:
         for m in _PEM.finditer(text):
-            if is_key(unbase64(_ESCAPED.sub("", m[2]))):
+            body = unbase64(_ESCAPED.sub("", m["body"]))
+            if is_encrypted_body(body, m["cipher"], m["start"]) if m["cipher"] else is_key(body):
                 found.append(("key", m.start(), m.end()))
                 taken.append((m.start(), m.end()))
     inside = lambda m: any(a <= m.start() and m.end() <= b for a, b in taken)
