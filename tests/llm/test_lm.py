@@ -1,9 +1,12 @@
 import math
+import os
+import pickle
 import zlib
 from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 
 from wordmill.llm import gru, lm
 
@@ -222,3 +225,33 @@ def test_the_vocabulary_rule_is_an_argument():
     assert lm.least_count(10**8, rare=3, root=4_000) == 3 and lm.least_count(10**8, root=100) == 100
     words = [(lm.END, 20), *((b"w%05d" % i, 9) for i in range(3_000)), *((b"x%05d" % i, 2) for i in range(500))]
     assert lm.Table(words, 28_020, 3_501, least=2).modelled == 3_501
+
+
+def test_the_driver_holds_no_rows_and_no_broadcast(documents, monkeypatch):
+    """Words and weights reach the driver as buffers; what was sent to the tasks is gone once texts are scored."""
+    rows, sent = [], []
+    classic = type(documents)
+    collect, broadcast = classic.collect, SparkContext.broadcast
+    monkeypatch.setattr(classic, "collect", lambda df: rows.append(found := collect(df)) or found)
+    monkeypatch.setattr(SparkContext, "broadcast", lambda context, value: sent.append(b := broadcast(context, value)) or b)
+    lm.score_corpus(documents)
+    assert max(map(len, rows)) == 1
+    assert len(sent) == lm.ROUNDS + 2 and not any(os.path.exists(b._path) for b in sent)
+
+
+def test_table_keeps_its_words_as_one_string():
+    words = [(b"b", 9), (lm.END, 7), (b"a\xc3\xa9", 3), (b"\x1c", 1)]
+    table = lm.Table(words, 20, 4)
+    assert table.index() == {lm.END: 0, b"b": 1, b"a\xc3\xa9": 2, b"\x1c": 3} and table.counts.tolist() == [7, 9, 3, 1]
+    assert lm.Table([], 0, 0).index() == {lm.END: 0}
+    many = lm.Table([(b"w%06d" % i, 3) for i in range(10_000)], 30_000, 10_000)
+    assert len(pickle.dumps(many)) < 10_000 * 17  # a word, a blank, a count
+
+
+def test_fresh_weights_do_not_depend_on_how_many_are_drawn_at_a_time(monkeypatch):
+    counts = np.full(5_000, 9.0)
+    whole = gru.fresh(counts, 3.0).flat()
+    monkeypatch.setattr(gru, "_DRAWN", 7)
+    assert (gru.fresh(counts, 3.0).flat() == whole).all()
+    first = np.random.default_rng(7).standard_normal((5_001, gru.EMBEDDED)) * 0.1
+    assert (gru.fresh(counts, 3.0).embedding == first.astype(np.float32)).all()

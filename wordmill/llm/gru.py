@@ -29,6 +29,7 @@ STEPS = 32
 LONGEST = 1024  # steps of a window that scores few texts
 START = 1e-4  # of the sums of squares that AdaGrad divides by
 START_DEEP = 1e-6  # of words outside of the head, which are seen seldom
+_DRAWN = 1 << 14  # rows of random weights that are drawn at a time
 _NONE = -1e9  # the bias of a place in a class that no word has
 
 
@@ -80,7 +81,14 @@ def fresh(counts: np.ndarray, tail: float, seed: int = 7) -> Weights:
     count of all other words.
     """
     rng = np.random.default_rng(seed)
-    normal = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
+
+    def normal(*shape: int) -> np.ndarray:
+        out = np.empty(shape, np.float32)
+        for at in range(0, len(out), _DRAWN):
+            some = out[at : at + _DRAWN]
+            some[:] = rng.standard_normal(some.shape) * 0.1
+        return out
+
     deep = counts[VOCABULARY:]
     words, in_class = _biases(counts[:VOCABULARY], CLASSES, CLASS_WORDS)
     below = tail + float((deep + 0.5).sum())
@@ -406,8 +414,11 @@ def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_in
     """One pass of AdaGrad ascent over the texts, window by window; also the number of tokens."""
     model, h = Model(weights), np.zeros((lanes, HIDDEN), np.float32)
     deep = [p for n, p in weights.__dict__.items() if n.startswith("deep_") and p is not None]
-    seen = [np.full_like(p, START_DEEP if any(p is d for d in deep) else START) for p in weights.parts()]
     # Words of deep classes are many: one sum for all weights of a word.
+    seen = [
+        None if p is weights.deep_word else np.full_like(p, START_DEEP if any(p is d for d in deep) else START)
+        for p in weights.parts()
+    ]
     by_word = np.full_like(weights.deep_word_bias, START_DEEP) if deep else None
     tokens = 0
     for window in windows(texts, lanes, first_input):

@@ -8,7 +8,8 @@ are lowered (A-Z) and end at ASCII white space; each text ends with an end token
    ``least_count`` times, so its vocabulary grows with the corpus, about as its square root; only
    rarer words are its rest, split by counts. It is trained on every training text once, in ``ROUNDS`` parts of the corpus: in a
    round each task trains on its own texts from the common weights, and the weights are averaged
-   by tokens. What moves is a weight vector per task, summed by pieces of it.
+   by tokens. What moves is a weight vector per task, summed by pieces of it. The driver holds words
+   and weights as buffers, not as Python objects, and drops each broadcast when its job has ended.
 3. Every text is scored whole, with the state carried across windows. Words outside of the table
    that the tasks hold (``TABLE_WORDS`` most frequent) are counted per text and joined with the
    word counts by shuffle.
@@ -23,7 +24,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ ROUNDS = 3
 END = b"\n"  # no word holds white space
 _FLUSH_WORDS = 200_000
 _PIECE = 1 << 13  # weights that move as one row
+_PIECES = 32  # rows that a task sends at a time
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -83,23 +85,29 @@ class Table:
     """The most frequent words with their counts, most frequent first; the end token is always one.
 
     ``words`` holds all those that occur ``least`` times (``least_count`` if not given); the first
-    ``modelled`` are the model's.
+    ``modelled`` are the model's. They are kept as one string, for the driver and each worker hold them.
     """
 
-    def __init__(self, words: list[tuple[bytes, int]], total: int, distinct: int, least: int | None = None) -> None:
-        ends = [w for w in words if w[0] == END] or [(END, 0)]
+    def __init__(self, words: Iterable[tuple[bytes, int]], total: int, distinct: int, least: int | None = None) -> None:
         # The end token takes the first place: it is in the model however small the vocabulary is.
-        self.words = ends + [w for w in words if w[0] != END]
+        names, counts = [], [0]
+        for word, n in words:
+            if word == END:
+                counts[0] = n
+            else:
+                names.append(word)
+                counts.append(n)
+        self.joined = b" ".join(names)  # no word holds white space
         self.total, self.distinct = total, distinct
-        self.counts = np.array([n for _, n in self.words], dtype=np.float64)
+        self.counts = np.array(counts, dtype=np.float64)
         common = int((self.counts[1:] >= (least or least_count(total))).sum()) + 1
-        self.modelled = max(min(gru.VOCABULARY, len(self.words)), common)
+        self.modelled = max(min(gru.VOCABULARY, len(counts)), common)
         inside = self.counts[: self.modelled]
         self.tail_total = total - float(inside.sum())
         self.tail_distinct = max(0, distinct - int((inside > 0).sum()))
 
     def index(self) -> dict[bytes, int]:
-        return {w: i for i, (w, _) in enumerate(self.words)}
+        return {END: 0} | {w: i for i, w in enumerate(self.joined.split(), 1)}
 
     def base_divisor(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
@@ -120,19 +128,22 @@ def _in_model(places: np.ndarray, modelled: int) -> np.ndarray:
     return np.where((places < 0) | (places >= modelled), gru.VOCABULARY, inner).astype(np.int32)
 
 
-def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: str, rounds: int = ROUNDS) -> gru.Weights:
-    """Weights after one pass over the training texts."""
+def train_model(
+    docs: DataFrame, table: Table, shared, id_col: str, text_col: str, rounds: int = ROUNDS
+) -> tuple[np.ndarray, list[tuple[int, ...]]]:
+    """Weights after one pass over the training texts, flat, and their shapes."""
     context = docs.sparkSession.sparkContext
-    weights = gru.fresh(table.counts[: table.modelled], table.tail_divisor())
-    shapes = weights.shapes()
-    size = len(weights.flat())
+    fresh = gru.fresh(table.counts[: table.modelled], table.tail_divisor())
+    weights, shapes = fresh.flat(), fresh.shapes()
+    size = len(weights)
+    del fresh
     # What moves is at most in proportion to what is read.
     tasks = max(1, int(table.total / rounds / (size * TASK_TOKENS)))
     code = F.crc32(F.col(id_col).cast("string"))
     learning = F.coalesce(F.pmod(code, F.lit(FOLDS)) != HELD_OUT, F.lit(True))
     part_of = F.coalesce(F.pmod(F.floor(code / FOLDS), F.lit(rounds)), F.lit(0))
     for part in range(rounds):
-        start = context.broadcast(weights.flat())
+        start = context.broadcast(weights)
 
         def run(parts: Iterator[pa.RecordBatch], start=start) -> Iterator[dict]:
             index, modelled = shared.value.index(), shared.value.modelled
@@ -143,11 +154,12 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
             own, tokens = gru.train(own, texts, 0)
             if tokens:
                 flat = own.flat()
-                pieces = -(-size // _PIECE)
-                yield {
-                    "task": [TaskContext.get().partitionId()] * pieces, "piece": list(range(pieces)), "tokens": [tokens] * pieces,
-                    "values": [flat[i : i + _PIECE].tobytes() for i in range(0, size, _PIECE)],
-                }
+                pieces = range(-(-size // _PIECE))
+                for some in (pieces[i : i + _PIECES] for i in range(0, len(pieces), _PIECES)):
+                    yield {
+                        "task": [TaskContext.get().partitionId()] * len(some), "piece": list(some), "tokens": [tokens] * len(some),
+                        "values": [flat[i * _PIECE : (i + 1) * _PIECE].tobytes() for i in some],
+                    }
 
         def average(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             sums: dict[int, list] = {}
@@ -170,18 +182,28 @@ def train_model(docs: DataFrame, table: Table, shared, id_col: str, text_col: st
         trained = map_rows(own_texts, run, f"task int, {schema}")
         # In the order of the tasks, so that sums do not depend on which comes first.
         in_order = trained.repartition("piece").sortWithinPartitions("piece", "task")
-        averaged = map_rows(in_order, average, schema).collect()
-        if averaged:
-            pieces = {r.piece: np.frombuffer(bytes(r["values"]), np.float32) for r in averaged}
-            weights = weights.like(np.concatenate([pieces[i] for i in sorted(pieces)]))
-        start.unpersist()
-    return weights
+        averaged = map_rows(in_order, average, schema).toArrow()
+        start.destroy()
+        if averaged.num_rows:
+            weights = _assembled(averaged, size)
+    return weights, shapes
+
+
+def _assembled(pieces: pa.Table, size: int) -> np.ndarray:
+    """All weights of the pieces, read from their buffers."""
+    out = np.empty(size, np.float32)
+    for part in pieces.select(["piece", "values"]).to_batches():
+        for piece, values in zip(part.column(0).to_pylist(), part.column(1), strict=True):
+            out[piece * _PIECE : (piece + 1) * _PIECE] = np.frombuffer(values.as_buffer(), np.float32)
+    return out
 
 
-def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text_col: str) -> DataFrame:
-    """Per row what its table words give, and its other words with their counts."""
+def score_texts(docs: DataFrame, shared, weights, shapes: list[tuple[int, ...]], id_col: str, text_col: str) -> DataFrame:
+    """Per row what its table words give, and its other words with their counts.
+
+    ``shared`` and ``weights`` are broadcasts of the table and the flat weights.
+    """
     kind = docs.schema[id_col].dataType.simpleString()
-    flat, shapes = docs.sparkSession.sparkContext.broadcast(weights.flat()), weights.shapes()
     schema = (
         f"{id_col} {kind}, held_out boolean, n_tokens long, n_known long, base double, score double,"
         " other array<binary>, many array<int>"
@@ -224,7 +246,7 @@ def score_texts(docs: DataFrame, shared, weights: gru.Weights, id_col: str, text
                 "other": pa.ListArray.from_arrays(ends, flat), "many": pa.ListArray.from_arrays(ends, many),
             }
 
-        own = gru.shaped(flat.value, shapes)
+        own = gru.shaped(weights.value, shapes)
         for at, value in gru.score(own, rows(), 0):
             key, held_out, n, known, base, extra, other = facts.pop(at)
             held.append((key, held_out, n, known, base, value / math.log(10) + extra, other))
@@ -249,14 +271,20 @@ def score_corpus(
     most = counts.orderBy(F.desc("n"), "word").limit(table_words)
     least = least_count(int(sums.total or 0), rare, root)
     rest = counts.filter((F.col("word") == END) | (F.col("n") >= least))
-    found = {bytes(r.word): r.n for r in most.union(rest).collect()}
-    ranked = sorted(found.items(), key=lambda w: (-w[1], w[0]))
+    found = most.union(rest).dropDuplicates(["word"]).toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    ranked = zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True)
     table = Table(ranked, int(sums.total or 0), int(sums.distinct), least)
-    shared = docs.sparkSession.sparkContext.broadcast(table)
-    weights = train_model(docs, table, shared, id_col, text_col)
+    del found, ranked
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(table)
+    flat, shapes = train_model(docs, table, shared, id_col, text_col)
+    weights = context.broadcast(flat)
     scored = stage(
-        score_texts(docs, shared, weights, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
+        score_texts(docs, shared, weights, shapes, id_col, text_col).withColumn("row", F.monotonically_increasing_id())
     )
+    # What is staged reads neither.
+    weights.destroy()
+    shared.destroy()
     others = scored.select("row", F.explode(F.arrays_zip("other", "many")).alias("o"))
     others = others.select("row", F.col("o.other").alias("word"), F.col("o.many").alias("many"))
     c = F.coalesce(F.col("n"), F.lit(0))
