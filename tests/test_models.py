@@ -3,6 +3,7 @@ import time
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
@@ -331,3 +332,23 @@ def test_training_from_split_files(spark, tmp_path):
     bayes = training.train_complement_nb(train, {"test": test}, tokeniser="whitespace")
     words = training.train_top_words(train, {"test": test}, training.STEMS)
     assert [score(o, "test") for o in (logistic, forest, bayes, words)] == [1.0] * 4
+
+
+def test_tasks_of_a_forest_are_bounded_by_what_they_read(spark, monkeypatch):
+    """However few partitions the sparse rows have: those of a fit, of the folds' fits, and of the refit."""
+    wide, trees = 10_000, 2
+    rows = [(i, float(i % 2), Vectors.sparse(wide, [i % 7], [1.0])) for i in range(9_000)]
+    df = spark.createDataFrame(rows[:6_000], ["id", "label", "features"]).coalesce(1).cache()
+    more = spark.createDataFrame(rows[6_000:], ["id", "label", "features"]).coalesce(1)
+    seen, plain = [], RandomForestClassifier.fit
+
+    def fit(forest, data):
+        each = [r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect()]
+        seen.append((sum(each), max(each)))
+        return plain(forest.setMaxDepth(1), data.limit(200))
+
+    monkeypatch.setattr(RandomForestClassifier, "fit", fit)
+    models.fit_forest(df, trees=trees)
+    models.tune_forest(df, ["id"], [trees], [1], [2], [1], ["sqrt"], k=2, valid=more)
+    assert sorted(n for n, _ in seen) == [3_000, 3_000, 6_000, 9_000]
+    assert max(most for _, most in seen) * 8 * wide <= 1.01 * models.TASK_BYTES
