@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark import SparkContext
 
@@ -255,3 +256,74 @@ def test_fresh_weights_do_not_depend_on_how_many_are_drawn_at_a_time(monkeypatch
     assert (gru.fresh(counts, 3.0).flat() == whole).all()
     first = np.random.default_rng(7).standard_normal((5_001, gru.EMBEDDED)) * 0.1
     assert (gru.fresh(counts, 3.0).embedding == first.astype(np.float32)).all()
+
+
+def test_many_slices_of_a_small_vocabulary(spark):
+    """A task looks words up slice after slice, with the same table each time."""
+    rows = [(i, f"a b {'c ' * (i % 7)} own{i}") for i in range(1_700)]
+    check(lm.score_corpus(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), table_words=4, rare=50), rows)
+
+
+def test_words_of_slices():
+    rng = np.random.default_rng(4)
+    letters = np.frombuffer(b"aAbZ \t\n\x0b\x0c\r\x1c\x85\xa0\xc3\xa9", np.uint8)
+    for _ in range(200):
+        texts = [None if rng.random() < 0.1 else rng.choice(letters, rng.integers(0, 12)).tobytes() for _ in range(rng.integers(0, 6))]
+        part = pa.record_batch({"t": pa.array([b"cut off", *texts], pa.binary()).view(pa.string())}).slice(1)
+        words, sizes = lm.split_words(part, "t")
+        words = words.view(pa.binary()).to_pylist()
+        got = lm._with_ends(np.arange(len(words)), sizes, -1)
+        assert [[words[i] for i in own[:-1]] for own in got] == [(t or b"").lower().split() for t in texts]
+        assert all(own[-1] == -1 for own in got)
+    table = lm.Table([(b"b", 9), (lm.END, 7), (b"a\xc3\xa9", 3), (b"\x1c", 1)], 20, 4)
+    assert lm._places(pa.array(["\x1c", "x", "aé", "b"]), table.words()).tolist() == [3, -1, 2, 1]
+    assert len(lm.Table([], 0, 0).words()) == 0
+
+
+def test_many_deep_words_are_chosen_in_four_steps():
+    # What a word costs are the classes it is chosen among: 4 * 9 instead of 3 * 17.
+    w, rng = deep_weights(gru.VOCABULARY + 4_500)
+    assert w.deep_part.shape == (63, gru.HIDDEN, 9) and w.deep_class.shape == (7, gru.HIDDEN, 9)
+    assert w.deep_word.shape == (567, gru.HIDDEN, 9)
+    probe = np.arange(gru.VOCABULARY + 4_501)
+    found = dict(gru.score(w, [(int(i), np.array([i], np.int32)) for i in probe], 0))
+    assert sum(math.exp(v) for v in found.values()) == pytest.approx(1, abs=1e-3)
+    plain = gru.fresh(np.full(gru.VOCABULARY + 4_500, 9.0), 300.0)
+    even = dict(gru.score(plain, [(0, np.array([gru.VOCABULARY + 1], np.int32)), (1, probe[-1:].astype(np.int32))], 0))
+    assert even[0] == pytest.approx(even[1], rel=1e-4)  # equal counts, equal chances
+    texts = [(i, rng.choice(probe[1_900:], rng.integers(1, 90)).astype(np.int32)) for i in range(30)]
+    window = next(gru.windows(texts[:6], 3, 0))
+    w = gru.Weights(*(p.astype(np.float64) for p in w.parts()))
+    h = rng.standard_normal((3, gru.HIDDEN))
+    _, _, gradient = gru.Model(w).gradient(window, h)
+    at = np.unravel_index(np.argmax(np.abs(gradient.deep_part)), w.deep_part.shape)
+    old, step = w.deep_part[at], 1e-2
+    w.deep_part[at] = old + step
+    up = gru.Model(w).gradient(window, h)[0]
+    w.deep_part[at] = old - step
+    down = gru.Model(w).gradient(window, h)[0]
+    assert (up - down) / (2 * step) == pytest.approx(gradient.deep_part[at], rel=2e-2)
+
+
+def test_lanes_end_together():
+    """The last texts begin longest first, so that few windows have few lanes; texts and results are the same."""
+    rng = np.random.default_rng(6)
+    texts = [(i, rng.integers(0, 900, 20).astype(np.int32)) for i in range(400)] + [(400, rng.integers(0, 900, 1_500).astype(np.int32))]
+    plain = list(gru.windows(texts, 8, 0))
+    ahead = list(gru.windows(texts, 8, 0, ahead=gru.AHEAD, together=gru.TOGETHER))
+    assert sum(w.inputs.shape[1] < 8 for w in plain) > 40 > sum(w.inputs.shape[1] < 8 for w in ahead)
+    for found in (plain, ahead):
+        assert sorted(t for w in found for t in w.ended) == list(range(401))
+        assert sum(int((w.targets >= 0).sum()) for w in found) == sum(len(t) for _, t in texts)
+    w, _ = some_weights()
+    got = dict(gru.score(w, texts, 0, 8))
+    assert [got[i] for i in (0, 399, 400)] == pytest.approx([plain_score(w, texts[i][1]) for i in (0, 399, 400)], rel=1e-4)
+
+
+def test_large_logits_are_no_infinities():
+    logits = np.array([[0, 100], [-1000, -1001], [90, 89]], np.float32)
+    want = [100, -1000 + math.log(1 + math.exp(-1)), 90 + math.log(1 + math.exp(-1))]
+    assert gru._log_sum(logits).tolist() == pytest.approx(want)
+    lead, d = gru._soft_max(logits)
+    assert lead.tolist() == pytest.approx(want) and d.sum(1).tolist() == pytest.approx([-1, -1, -1])
+    assert gru._log_sum(logits[1:2]).tolist() == pytest.approx(want[1:2])

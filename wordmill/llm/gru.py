@@ -5,17 +5,19 @@ computed at once; the state is carried to the next window, and gradients end at
 probability of a word is that of its class times that of the word within the class. The classes of
 the head have a fixed size. The last class is the *tail*; if the vocabulary is larger than the head,
 it has groups of classes of its own, as many groups as a group has classes and a class words, so that
-the model follows the vocabulary while a word costs but its cube root. The last of all is the *rest*:
-words outside of the model's vocabulary, whose split the caller knows.
+the model follows the vocabulary while a word costs but its cube root. Above ``THREE_STEPS`` deep words
+a class has parts, and a word costs its fourth root. The last of all is the *rest*: words outside of
+the model's vocabulary, whose split the caller knows.
 
 The words of a window are sorted by class and cut into blocks of one class each, so that all classes
-are multiplied at once (``_Blocks``).
+are multiplied at once (``_Blocks``). Inside of the recurrent loops lanes are columns.
 
 Targets: below ``VOCABULARY`` a word of the head, ``VOCABULARY`` the rest, above it a deep word.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, replace
 
@@ -27,10 +29,15 @@ CLASSES = 32
 VOCABULARY = CLASSES * CLASS_WORDS  # words of the head; the rest is word VOCABULARY, the tail class CLASSES
 STEPS = 32
 LONGEST = 1024  # steps of a window that scores few texts
+IN_CACHE = 128  # classes of deep words whose weights are changed at a time
+TOGETHER = 8  # windows that are filled at once
+AHEAD = 1 << 20  # tokens of the last texts of a task, which begin longest first
+THREE_STEPS = 4096  # deep words up to which they are chosen by group, class and word alone
 START = 1e-4  # of the sums of squares that AdaGrad divides by
 START_DEEP = 1e-6  # of words outside of the head, which are seen seldom
 _DRAWN = 1 << 14  # rows of random weights that are drawn at a time
 _NONE = -1e9  # the bias of a place in a class that no word has
+_LARGE, _LEAST = 40.0, 1e-15  # largest logit and least sum with which exponentials are taken as they are
 
 
 @dataclass
@@ -50,6 +57,9 @@ class Weights:
     deep_class_bias: np.ndarray | None = None
     deep_word: np.ndarray | None = None  # (groups * classes of a group, HIDDEN, words of a class)
     deep_word_bias: np.ndarray | None = None
+    # Between class and word, if there are more than THREE_STEPS deep words; the classes above are then those of parts.
+    deep_part: np.ndarray | None = None  # (groups * classes of a group, HIDDEN, parts of a class)
+    deep_part_bias: np.ndarray | None = None
 
     def parts(self) -> list[np.ndarray]:
         return [p for p in self.__dict__.values() if p is not None]
@@ -100,21 +110,31 @@ def fresh(counts: np.ndarray, tail: float, seed: int = 7) -> Weights:
     )
     if not len(deep):
         return head
-    own = 1
-    while own**3 < len(deep):
+    steps, own = 3 if len(deep) <= THREE_STEPS else 4, 1
+    while own**steps < len(deep):
         own += 1
-    groups = -(-len(deep) // own**2)
-    words, in_class = _biases(deep, groups * own, own)
-    by_group = in_class.reshape(groups, own)
-    with np.errstate(divide="ignore"):
-        inner = np.maximum(np.log(by_group) - np.log(by_group.sum(1, keepdims=True)), _NONE).astype(np.float32)
+    groups = -(-len(deep) // own ** (steps - 1))
+    words, sums = _biases(deep, groups * own ** (steps - 2), own)
+    part = {}
+    if steps == 4:
+        inner, sums = _inner(sums, own)
+        part = {"deep_part": np.zeros((groups * own, HIDDEN, own), np.float32), "deep_part_bias": inner}
+    inner, sums = _inner(sums, own)
     return replace(
-        head, deep_group=np.zeros((HIDDEN, groups + 1), np.float32), deep_group_bias=_shares(by_group.sum(1), tail),
+        head, deep_group=np.zeros((HIDDEN, groups + 1), np.float32), deep_group_bias=_shares(sums, tail),
         deep_class=np.zeros((groups, HIDDEN, own), np.float32), deep_class_bias=inner,
-        deep_word=np.zeros((groups * own, HIDDEN, own), np.float32), deep_word_bias=words,
+        deep_word=np.zeros((len(words), HIDDEN, own), np.float32), deep_word_bias=words, **part,
     )
 
 
+def _inner(sums: np.ndarray, own: int) -> tuple[np.ndarray, np.ndarray]:
+    """Logarithms of the shares of each ``own`` neighbours, and the sums of these."""
+    above = sums.reshape(-1, own)
+    with np.errstate(divide="ignore"):
+        inner = np.log(above) - np.log(np.maximum(above.sum(1, keepdims=True), 1e-9))
+    return np.maximum(inner, _NONE).astype(np.float32), above.sum(1)
+
+
 def _biases(counts: np.ndarray, classes: int, own: int) -> tuple[np.ndarray, np.ndarray]:
     """Logarithms of the words' shares in their class, and the smoothed counts of the classes."""
     padded = np.zeros(classes * own)
@@ -145,24 +165,30 @@ class Window:
     owner: np.ndarray
     texts: list  # by owner
     ended: list  # owners that end in this window
+    last: bool = True  # of the windows that have the same texts
 
 
 def windows(
-    texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input: int, steps: int = STEPS, longest: int = STEPS
+    texts: Iterable[tuple[object, np.ndarray]], lanes: int, first_input: int, steps: int = STEPS, longest: int = STEPS,
+    ahead: int = 0, together: int = 1,
 ) -> Iterator[Window]:
     """Texts ``(tag, targets)`` in lanes; a lane that ends a text goes on with the next one.
 
-    The fewer lanes go on, the more steps a window has, up to ``longest``.
+    The fewer lanes go on, the more steps a window has, up to ``longest``. With ``ahead`` the last
+    texts, of that many tokens, begin longest first, so that lanes end at about the same time. As long
+    as there are texts to begin, ``together`` windows are filled at once.
     """
     full = lanes * steps
-    source = iter(texts)
+    source = _longest_last(texts, ahead) if ahead else iter(texts)
     lane: list[list] = [[None, None, 0] for _ in range(lanes)]  # tag, targets, place
     more = True
+    step = steps
     while True:
         going = np.array([more or state[1] is not None for state in lane], bool)
         lane = [state for state, on in zip(lane, going, strict=True) if on]
         lanes = len(lane)
-        steps = max(steps, min(longest, full // max(1, lanes)))
+        step = max(step, min(longest, full // max(1, lanes)))
+        steps = step * together if more else step
         inputs = np.full((steps, lanes), first_input, np.int32)
         targets = np.full((steps, lanes), -1, np.int32)
         keep = np.ones((steps, lanes), np.float32)
@@ -195,7 +221,24 @@ def windows(
                     state[1] = None
         if not found:
             return
-        yield Window(np.flatnonzero(going), inputs, targets, keep, owner, found, ended)
+        on = np.flatnonzero(going)
+        for at in range(0, steps, step):
+            own, last = slice(at, at + step), at + step == steps
+            yield Window(on, inputs[own], targets[own], keep[own], owner[own], found, ended if last else [], last)
+            on = np.arange(lanes)
+
+
+def _longest_last(texts: Iterable[tuple[object, np.ndarray]], tokens: int) -> Iterator[tuple[object, np.ndarray]]:
+    """The texts as they come; the last ones, of at least ``tokens`` tokens or all, longest first."""
+    waiting: deque = deque()
+    held = 0
+    for text in texts:
+        waiting.append(text)
+        held += len(text[1])
+        while held - len(waiting[0][1]) >= tokens:
+            held -= len(waiting[0][1])
+            yield waiting.popleft()
+    yield from sorted(waiting, key=lambda text: -len(text[1]))
 
 
 class Model:
@@ -203,33 +246,46 @@ class Model:
         self.w = weights
 
     def states(self, window: Window, h: np.ndarray, remember: bool) -> tuple[np.ndarray, np.ndarray, tuple]:
-        """Hidden states of all steps, the last one, and what backpropagation needs."""
+        """Hidden states of all steps, the last one, and what backpropagation needs.
+
+        Inside of the loop lanes are columns, so that the parts of the gates are contiguous.
+        """
         w, (steps, lanes) = self.w, window.inputs.shape
-        embedded = w.embedding[window.inputs.ravel()]
-        into = (embedded @ w.into + w.bias).reshape(steps, lanes, 3 * HIDDEN)
-        h = h[window.lanes]
-        out = np.empty((steps, lanes, HIDDEN), np.float32)
-        kept = tuple(np.empty_like(out) for _ in range(5)) if remember else ()
+        embedded = w.embedding.take(window.inputs.ravel(), axis=0).reshape(steps, lanes, EMBEDDED)
+        # The logistic function of x is that of tanh at half of x.
+        half = np.repeat(np.array([0.5, 0.5, 1], w.again.dtype), HIDDEN)
+        into = (w.into * half).T @ embedded.transpose(0, 2, 1)
+        into += (w.bias * half)[:, None]
+        recurrent = np.ascontiguousarray((w.again * half).T)
+        keep = [None if k.all() else k for k in window.keep]
+        many = steps if remember else 1
+        befores, gates, agains, candidates = (np.empty((many, n * HIDDEN, lanes), w.again.dtype) for n in (1, 2, 3, 1))
+        out = np.empty((steps, HIDDEN, lanes), w.again.dtype)
+        h = np.ascontiguousarray(h[window.lanes].T)
         for t in range(steps):
-            before = h * window.keep[t][:, None]
-            again = before @ w.again
-            gates = into[t, :, : 2 * HIDDEN] + again[:, : 2 * HIDDEN]
-            gates *= 0.5
-            np.tanh(gates, out=gates)
-            gates += 1
-            gates *= 0.5  # the logistic function
-            update, reset = gates[:, :HIDDEN], gates[:, HIDDEN:]
-            candidate = np.tanh(into[t, :, 2 * HIDDEN :] + reset * again[:, 2 * HIDDEN :])
-            h = candidate + update * (before - candidate)
-            out[t] = h
-            for all_steps, value in zip(kept, (before, update, reset, candidate, again[:, 2 * HIDDEN :])):
-                all_steps[t] = value
-        return out, h, (embedded, kept)
+            at = t if remember else 0
+            before, gate, again, candidate, state = befores[at], gates[at], agains[at], candidates[at], out[t]
+            np.multiply(h, 1 if keep[t] is None else keep[t], out=before)
+            np.matmul(recurrent, before, out=again)
+            np.add(into[t, : 2 * HIDDEN], again[: 2 * HIDDEN], out=gate)
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
+            np.multiply(gate[HIDDEN:], again[2 * HIDDEN :], out=candidate)
+            candidate += into[t, 2 * HIDDEN :]
+            np.tanh(candidate, out=candidate)
+            np.subtract(before, candidate, out=state)
+            state *= gate[:HIDDEN]
+            state += candidate
+            h = state
+        kept = (befores, gates[:, :HIDDEN], gates[:, HIDDEN:], candidates, agains[:, 2 * HIDDEN :])
+        return out.transpose(0, 2, 1).reshape(-1, HIDDEN), np.ascontiguousarray(h.T), (embedded, kept)
 
     def _levels(self, targets: np.ndarray) -> Iterator[tuple[slice, np.ndarray, np.ndarray, tuple[str, str], int]]:
         """Of sorted targets, by level: which ones, their class and place in it, the matrix and its bias, the size of blocks.
 
-        Levels with one matrix for all have the class 0.
+        Levels with one matrix for all have the class 0 and no blocks. Most classes of deep words are
+        seen once in a window: each row is multiplied by itself.
         """
         tail = int(np.searchsorted(targets, VOCABULARY))
         all_of_them = np.minimum(targets // CLASS_WORDS, CLASSES)
@@ -239,30 +295,44 @@ class Model:
         if self.w.deep_word is None:
             return
         deep, own = targets[tail:] - (VOCABULARY + 1), self.w.deep_word.shape[2]
-        groups = np.where(deep < 0, len(self.w.deep_class), deep // own**2)
+        of_class = own if self.w.deep_part is None else own**2
+        groups = np.where(deep < 0, len(self.w.deep_class), deep // (of_class * own))
         yield slice(tail, len(targets)), np.zeros(len(deep), np.int64), groups, ("deep_group", "deep_group_bias"), 0
         known = int(np.searchsorted(deep, 0))
         deep, inside = deep[known:], slice(tail + known, len(targets))
-        yield inside, deep // own**2, deep // own % own, ("deep_class", "deep_class_bias"), 64
-        yield inside, deep // own, deep % own, ("deep_word", "deep_word_bias"), 4
-
-    def _logits(self, hidden: np.ndarray, names: tuple[str, str], blocks: _Blocks | None) -> tuple[np.ndarray, np.ndarray]:
-        """Also the matrix, or that of each block."""
+        yield inside, deep // (of_class * own), deep // of_class % own, ("deep_class", "deep_class_bias"), 64
+        if self.w.deep_part is not None:
+            yield inside, deep // of_class, deep // own % own, ("deep_part", "deep_part_bias"), 16
+        yield inside, deep // own, deep % own, ("deep_word", "deep_word_bias"), 1
+
+    def _logits(
+        self, hidden: np.ndarray, names: tuple[str, str], classes: np.ndarray, blocks: _Blocks | None, size: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Also the matrix, or that of each block or row."""
         matrix, bias = (getattr(self.w, name) for name in names)
-        if blocks is None:
-            return hidden @ matrix + bias, matrix
+        if not size:
+            logits = hidden @ matrix
+            logits += bias
+            return logits, matrix
+        if size == 1:
+            matrix = matrix.take(classes, axis=0)
+            logits = (hidden[:, None] @ matrix)[:, 0]
+            logits += bias.take(classes, axis=0)
+            return logits, matrix
         matrix = matrix.take(blocks.own, axis=0)
-        return blocks.rows(blocks.cut(hidden) @ matrix + bias[blocks.own][:, None]), matrix
+        logits = blocks.cut(hidden) @ matrix
+        logits += bias.take(blocks.own, axis=0)[:, None]
+        return blocks.rows(logits), matrix
 
     def log_probabilities(self, window: Window, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Natural logarithm per step and lane (zero where there is no target), and the last state."""
         states, h, _ = self.states(window, h, remember=False)
         flat = window.targets.ravel()
         at = _sorted_targets(flat)
-        hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
+        hidden, targets = states.take(at, axis=0), flat[at]
         found = np.zeros(len(at))
         for which, classes, places, names, size in self._levels(targets):
-            logits, _ = self._logits(hidden[which], names, _Blocks(classes, size) if size else None)
+            logits, _ = self._logits(hidden[which], names, classes, _Blocks(classes, size) if size > 1 else None, size)
             wanted = logits[np.arange(len(logits)), places]
             found[which] += wanted - _log_sum(logits)
         out = np.zeros(len(flat))
@@ -285,56 +355,72 @@ class Model:
         states, last, (embedded, kept) = self.states(window, h, remember=True)
         flat = window.targets.ravel()
         at = _sorted_targets(flat)
-        hidden, targets = states.reshape(-1, HIDDEN)[at], flat[at]
+        hidden, targets = states.take(at, axis=0), flat[at]
         total = 0.0
-        d_hidden = np.zeros((steps * lanes, HIDDEN), np.float32)
-
+        d_hidden = np.zeros_like(states)
         d_own = np.zeros_like(hidden)
         found: dict[str, np.ndarray | Touched] = {}
         for which, classes, places, names, size in self._levels(targets):
-            blocks = _Blocks(classes, size) if size else None
+            # Rows that are multiplied by themselves are summed by class in blocks all the same.
+            blocks = _Blocks(classes, size if size > 1 else 8) if size else None
             own = hidden[which]
-            logits, matrix = self._logits(own, names, blocks)
+            logits, matrix = self._logits(own, names, classes, blocks, size)
             rows = np.arange(len(logits))
             own_logits = logits[rows, places]
             lead, d = _soft_max(logits)
             total += float((own_logits - lead).sum())
             d[rows, places] += 1
             if blocks is None:
-                found |= dict(zip(names, (own.T @ d, d.sum(0)), strict=True))
+                found |= dict(zip(names, (own.T @ d, _sums(d)), strict=True))
                 d_own[which] += d @ matrix.T
+                continue
+            cut = blocks.cut(d, empty=True)
+            of_matrix = blocks.by_class(blocks.cut(own).transpose(0, 2, 1) @ cut)
+            found |= dict(zip(names, (of_matrix, blocks.by_class(_sums(cut))), strict=True))
+            if size == 1:
+                d_own[which] += (d[:, None] @ matrix.transpose(0, 2, 1))[:, 0]
             else:
-                d = blocks.cut(d, empty=True)
-                of_matrix = blocks.by_class(blocks.cut(own).transpose(0, 2, 1) @ d)
-                found |= dict(zip(names, (of_matrix, blocks.by_class(d.sum(1))), strict=True))
-                d_own[which] += blocks.rows(d @ matrix.transpose(0, 2, 1))
+                d_own[which] += blocks.rows(cut @ matrix.transpose(0, 2, 1))
         d_hidden[at] = d_own
-        d_hidden = d_hidden.reshape(steps, lanes, HIDDEN)
+        d_hidden = np.ascontiguousarray(d_hidden.reshape(steps, lanes, HIDDEN).transpose(0, 2, 1))
 
-        d_into = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-        d_again = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
-        carried = np.zeros((lanes, HIDDEN), np.float32)
         before, update, reset, candidate, again = kept
-        by_candidate = (1 - update) * (1 - candidate * candidate)
-        by_update = (before - candidate) * update * (1 - update)
-        by_reset = again * reset * (1 - reset)
-        back = np.ascontiguousarray(w.again.T)
+        by_candidate = candidate * candidate
+        np.subtract(1, by_candidate, out=by_candidate)
+        rest = 1 - update
+        by_candidate *= rest
+        by_update = before - candidate
+        by_update *= update
+        by_update *= rest
+        by_reset = np.subtract(1, reset, out=rest)
+        by_reset *= reset
+        by_reset *= again
+        # By step: candidate, update, reset, and the candidate's recurrent part. The first three are what
+        # the input adds to, the last three what the state before adds to.
+        d = np.empty((steps, 4 * HIDDEN, lanes), before.dtype)
+        carried = np.zeros((HIDDEN, lanes), before.dtype)
+        more = np.empty_like(carried)
         for t in range(steps - 1, -1, -1):
-            dh = d_hidden[t] + carried
-            d_candidate = dh * by_candidate[t]
-            np.multiply(dh, by_update[t], out=d_into[t, :, :HIDDEN])
-            np.multiply(d_candidate, by_reset[t], out=d_into[t, :, HIDDEN : 2 * HIDDEN])
-            d_into[t, :, 2 * HIDDEN :] = d_candidate
-            d_again[t, :, : 2 * HIDDEN] = d_into[t, :, : 2 * HIDDEN]
-            np.multiply(d_candidate, reset[t], out=d_again[t, :, 2 * HIDDEN :])
-            carried = (dh * update[t] + d_again[t] @ back) * window.keep[t][:, None]
-        d_into = d_into.reshape(-1, 3 * HIDDEN)
-        order = np.argsort(window.inputs.ravel(), kind="stable")
-        words, starts = np.unique(window.inputs.ravel()[order], return_index=True)
-        embedding = Touched(words, np.add.reduceat((d_into @ w.into.T)[order], starts))
+            dh, own = d_hidden[t], d[t]
+            dh += carried
+            d_candidate = np.multiply(dh, by_candidate[t], out=own[:HIDDEN])
+            np.multiply(dh, by_update[t], out=own[HIDDEN : 2 * HIDDEN])
+            np.multiply(d_candidate, by_reset[t], out=own[2 * HIDDEN : 3 * HIDDEN])
+            np.multiply(d_candidate, reset[t], out=own[3 * HIDDEN :])
+            np.matmul(w.again, own[HIDDEN:], out=carried)
+            carried += np.multiply(dh, update[t], out=more)
+            if not window.keep[t].all():
+                carried *= window.keep[t]
+        d_into, d_again = d[:, : 3 * HIDDEN], d[:, HIDDEN:]
+        first = np.roll(w.into, HIDDEN, axis=1)  # the candidate comes first
+        d_embedded = (d_into.transpose(0, 2, 1) @ first.T).reshape(-1, EMBEDDED)
+        words, which = _distinct(window.inputs.ravel())
+        by_word = [np.bincount(which, weights=column, minlength=len(words)) for column in d_embedded.T]
+        embedding = Touched(words, np.stack(by_word, axis=1).astype(d_embedded.dtype))
+        of_into = (d_into @ embedded).sum(0).T
+        of_again = (d_again @ before.transpose(0, 2, 1)).sum(0).T
         return total, last, Weights(
-            embedding, embedded.T @ d_into, d_into.sum(0), before.reshape(-1, HIDDEN).T @ d_again.reshape(-1, 3 * HIDDEN),
-            **found,
+            embedding, np.roll(of_into, -HIDDEN, axis=1), np.roll(d_into.sum((0, 2)), -HIDDEN), of_again, **found
         )
 
 
@@ -355,59 +441,102 @@ class _Blocks:
     """Rows that are sorted by class, cut into blocks of ``size`` places of one class; a class's last one may have empty places."""
 
     def __init__(self, classes: np.ndarray, size: int) -> None:
-        self.found, starts, counts = np.unique(classes, return_index=True, return_counts=True)
+        starts = np.flatnonzero(np.diff(classes, prepend=-1))
+        counts = np.diff(starts, append=len(classes))
+        self.found = classes[starts]
         self.many = many = -(-counts // size)
         self.first = np.cumsum(many) - many
+        self._further: list[tuple[np.ndarray, np.ndarray]] | None = None
         of = np.repeat(np.arange(len(many)), many)
         self.own = self.found[of]  # the class of each block
         place = (starts[of] + (np.arange(len(of)) - self.first[of]) * size)[:, None] + np.arange(size)
-        self.used = (place < (starts + counts)[of][:, None]).ravel()
-        self.place, self.shape = np.where(self.used, place.ravel(), 0), (len(of), size)
+        used = (place < (starts + counts)[of][:, None]).ravel()
+        self.used, self.unused = np.flatnonzero(used), np.flatnonzero(~used)
+        self.place, self.shape = np.where(used, place.ravel(), 0), (len(of), size)
 
     def cut(self, rows: np.ndarray, empty: bool = False) -> np.ndarray:
         """Rows by block; empty places are zero if they have to be, else they hold any row."""
+        out = rows.take(self.place, axis=0)
         if empty:
-            out = np.zeros((len(self.place), rows.shape[1]), rows.dtype)
-            out[self.used] = rows
-        else:
-            out = rows[self.place]
+            out[self.unused] = 0
         return out.reshape(*self.shape, rows.shape[1])
 
     def rows(self, cut: np.ndarray) -> np.ndarray:
         """The rows again, without the empty places."""
-        return cut.reshape(-1, cut.shape[2])[self.used]
+        return cut.reshape(-1, cut.shape[2]).take(self.used, axis=0)
 
     def by_class(self, values: np.ndarray) -> Touched:
-        """Sums of the blocks of each class."""
-        out = values[self.first]
-        for i in range(1, int(self.many.max(initial=1))):
-            more = np.flatnonzero(self.many > i)
-            out[more] += values[self.first[more] + i]
-        return Touched(self.found, out)
+        """Sums of the blocks of each class; changes ``values``.
+
+        The later half of a class's blocks is added to the first, until one is left.
+        """
+        if self._further is None:
+            self._further, left = [], self.many
+            while (left > 1).any():
+                half = left // 2
+                of = np.repeat(np.arange(len(left)), half)
+                to = self.first[of] + np.arange(len(of)) - (np.cumsum(half) - half)[of]
+                self._further.append((to, to + (left - half)[of]))
+                left = left - half
+        for to, more in self._further:
+            values[to] += values.take(more, axis=0)
+        return Touched(self.found, values if len(values) == len(self.found) else values.take(self.first, axis=0))
+
+
+def _sums(rows: np.ndarray) -> np.ndarray:
+    """Sums over the last axis but one, as a product, which is faster."""
+    return np.ones(rows.shape[-2], rows.dtype) @ rows
+
+
+def _order(flat: np.ndarray) -> np.ndarray:
+    """Places in the order of the values, equal ones by place."""
+    return np.sort((flat.astype(np.int64) << 32) + np.arange(len(flat))) & 0xFFFFFFFF
+
+
+def _distinct(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and which of them each one is."""
+    order = _order(flat)
+    ordered = flat.take(order)
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    which = np.empty(len(flat), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[new], which
 
 
 def _sorted_targets(flat: np.ndarray) -> np.ndarray:
     """Places that have a target, in the order of the targets: those of a class are a slice."""
-    order = np.argsort(flat, kind="stable")
+    order = _order(flat)
     return order[np.searchsorted(flat[order], 0) :]
 
 
-def _log_sum(logits: np.ndarray) -> np.ndarray:
-    """Logarithm of the sum of exponentials by row; changes ``logits``."""
+def _exponentials(logits: np.ndarray) -> tuple[np.ndarray | float, np.ndarray, np.ndarray]:
+    """What was subtracted by row, the exponentials and their sums.
+
+    Most logits are small; only where exponentials leave the range of floats is each row's largest
+    logit subtracted.
+    """
+    ones = np.ones(logits.shape[1], logits.dtype)
+    if logits.size and logits.max() < _LARGE:
+        found = np.exp(logits)
+        sums = found @ ones
+        if sums.min() > _LEAST:
+            return 0.0, found, sums
     top = logits.max(axis=1)
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    return top + np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+    found = np.exp(logits - top[:, None])
+    return top, found, found @ ones
+
+
+def _log_sum(logits: np.ndarray) -> np.ndarray:
+    """Logarithm of the sum of exponentials by row."""
+    top, _, sums = _exponentials(logits)
+    return top + np.log(sums)
 
 
 def _soft_max(logits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """``_log_sum``, and the negative probabilities in place of ``logits``."""
-    top = logits.max(axis=1)
-    logits -= top[:, None]
-    np.exp(logits, out=logits)
-    sums = logits @ np.ones(logits.shape[1], logits.dtype)
-    logits *= -(1 / sums)[:, None]
-    return top + np.log(sums), logits
+    """``_log_sum``, and the negative probabilities."""
+    top, found, sums = _exponentials(logits)
+    found *= -(1 / sums)[:, None]
+    return top + np.log(sums), found
 
 
 def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 256, rate: float = 0.3) -> tuple[Weights, int]:
@@ -421,48 +550,57 @@ def train(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_in
     ]
     by_word = np.full_like(weights.deep_word_bias, START_DEEP) if deep else None
     tokens = 0
-    for window in windows(texts, lanes, first_input):
-        tokens += int((window.targets >= 0).sum())
+    for window in windows(texts, lanes, first_input, ahead=AHEAD, together=TOGETHER):
+        many = int((window.targets >= 0).sum())
+        if not many:
+            continue
+        tokens += many
         _, h, gradient = model.sparse_gradient(window, h)
         # By the size of a full window: the last ones, with few lanes, weigh what they hold.
         scale = 1 / (lanes * STEPS)
         for p, g, s in zip(model.w.parts(), gradient.parts(), seen, strict=True):
             if p is weights.deep_word:
-                square = by_word[g.at] + np.einsum("chw,chw->cw", g.values, g.values) * (scale * scale / HIDDEN)
-                by_word[g.at] = square
-                g.values *= (rate * scale / np.sqrt(square))[:, None]
-                p[g.at] += g.values
+                for start in range(0, len(g.at), IN_CACHE):
+                    at, values = g.at[start : start + IN_CACHE], g.values[start : start + IN_CACHE]
+                    square = by_word[at] + np.einsum("chw,chw->cw", values, values) * (scale * scale / HIDDEN)
+                    by_word[at] = square
+                    values *= (rate * scale / np.sqrt(square))[:, None]
+                    values += p.take(at, axis=0)
+                    p[at] = values
                 continue
+            at = slice(None)
             if isinstance(g, Touched):
-                p, g, s = _Rows(p, g.at), g.values, _Rows(s, g.at)
+                # If all rows are touched, they are changed in place.
+                at, g = g.at if len(g.at) < len(p) else at, g.values
             g *= scale
-            square = s[...] + g * g
-            s[...] = square
-            p[...] = p[...] + rate * g / np.sqrt(square)
+            if isinstance(at, slice):
+                s += g * g
+                g *= rate
+                g /= np.sqrt(s)
+                p += g
+                continue
+            square = s.take(at, axis=0)
+            square += g * g
+            s[at] = square
+            g *= rate
+            g /= np.sqrt(square)
+            g += p.take(at, axis=0)
+            p[at] = g
     return model.w, tokens
 
 
-class _Rows:
-    """Some rows of a matrix, to read and to write."""
-
-    def __init__(self, matrix: np.ndarray, at: np.ndarray) -> None:
-        self.matrix, self.at = matrix, at
-
-    def __getitem__(self, _: object) -> np.ndarray:
-        return self.matrix[self.at]
-
-    def __setitem__(self, _: object, value: np.ndarray) -> None:
-        self.matrix[self.at] = value
-
-
 def score(weights: Weights, texts: Iterable[tuple[object, np.ndarray]], first_input: int, lanes: int = 512) -> Iterator[tuple[object, float]]:
     """Each tag with the natural logarithm of its whole text; tags must be hashable and distinct."""
     model, h = Model(weights), np.zeros((lanes, HIDDEN), np.float32)
     sums: dict[object, float] = {}
-    for window in windows(texts, lanes, first_input, longest=LONGEST):
+    by_owner: np.ndarray | float = 0.0
+    for window in windows(texts, lanes, first_input, longest=LONGEST, ahead=AHEAD, together=TOGETHER):
         found, h = model.log_probabilities(window, h)
-        by_owner = np.bincount(window.owner.ravel(), weights=found.ravel(), minlength=len(window.texts))
+        by_owner = by_owner + np.bincount(window.owner.ravel(), weights=found.ravel(), minlength=len(window.texts))
+        if not window.last:
+            continue
         for tag, value in zip(window.texts, by_owner.tolist(), strict=True):
             sums[tag] = sums.get(tag, 0.0) + value
+        by_owner = 0.0
         for tag in window.ended:
             yield tag, sums.pop(tag)

@@ -23,17 +23,17 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordmill.llm import gru
-from wordmill.llm.common import map_rows, raw_texts
+from wordmill.llm.common import map_rows
 from wordmill.session import stage
 
 FOLDS, HELD_OUT = 5, 1
@@ -43,13 +43,38 @@ ROOT = 400  # nor those with fewer than this part of the square root of all toke
 TASK_TOKENS = 1 / 3  # that a training task reads at least, per weight that it sends
 ROUNDS = 3
 END = b"\n"  # no word holds white space
-_FLUSH_WORDS = 200_000
+_FLUSH_WORDS = 2_000_000  # words that are held before they are counted
+_LOOKED_UP, _MOST_LOOKED_UP = 32, 32 << 20  # bytes of text per word of the table that are looked up at once, and the most
 _PIECE = 1 << 13  # weights that move as one row
 _PIECES = 32  # rows that a task sends at a time
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return [*text.lower().split(), END]
+def split_words(part: pa.RecordBatch, text_col: str) -> tuple[pa.StringArray, np.ndarray]:
+    """The words of all texts of a slice, one after the other, and how many each text has.
+
+    Without the end tokens. Null is empty.
+    """
+    column = part.column(part.schema.get_field_index(text_col)).cast(pa.binary()).view(pa.string())
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(column, "")))
+    flat, offsets = split.flatten(), split.offsets.to_numpy()
+    # Texts that are empty, or begin or end with white space, give empty words.
+    some = pc.greater(pc.binary_length(flat), 0)
+    sizes = np.diff(np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))[offsets - offsets[0]])
+    return flat.filter(some), sizes
+
+
+def _gathered(parts: Iterable[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Slices put together until they have ``least`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for part in parts:
+        held.append(part)
+        size += part.nbytes
+        if size >= least:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held)
 
 
 def fold(key: object) -> int:
@@ -59,17 +84,25 @@ def fold(key: object) -> int:
 def count_words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(word, n)`` of the training texts, the end token included."""
 
+    def counts(held: list[pa.Array]) -> dict:
+        found = pc.value_counts(pa.concat_arrays(held))
+        return {"word": found.field("values").view(pa.binary()), "n": found.field("counts")}
+
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        seen: Counter[bytes] = Counter()
+        held: list[pa.Array] = []
+        texts = many = 0
         for part in parts:
-            for key, text in zip(part.column(0).to_pylist(), raw_texts(part, text_col), strict=True):
-                if fold(key) != HELD_OUT:
-                    seen.update(words_of(text))
-            if len(seen) >= _FLUSH_WORDS:
-                yield {"word": list(seen), "n": list(seen.values())}
-                seen.clear()
-        if seen:
-            yield {"word": list(seen), "n": list(seen.values())}
+            part = part.filter(pa.array([fold(key) != HELD_OUT for key in part.column(0).to_pylist()], pa.bool_()))
+            texts += part.num_rows
+            held.append(split_words(part, text_col)[0])
+            many += len(held[-1])
+            if many >= _FLUSH_WORDS:
+                yield counts(held)
+                held, many = [], 0
+        if many:
+            yield counts(held)
+        if texts:
+            yield {"word": [END], "n": [texts]}
 
     counted = map_rows(docs.select(id_col, text_col), run, "word binary, n long")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
@@ -109,6 +142,11 @@ class Table:
     def index(self) -> dict[bytes, int]:
         return {END: 0} | {w: i for i, w in enumerate(self.joined.split(), 1)}
 
+    def words(self) -> pa.StringArray:
+        """All but the end token; the first one's place is 1."""
+        found = pc.ascii_split_whitespace(pa.array([self.joined], pa.binary()).view(pa.string())).flatten()
+        return found.filter(pc.greater(pc.binary_length(found), 0))
+
     def base_divisor(self) -> float:
         return self.total + 0.5 * (self.distinct + 1)
 
@@ -116,10 +154,20 @@ class Table:
         return self.tail_total + 0.5 * (self.tail_distinct + 1)
 
 
-def _targets(words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
+def _places(words: pa.StringArray, names: pa.StringArray) -> np.ndarray:
     """Places in the table, -1 outside of it."""
-    get = index.get
-    return np.array([get(w, -1) for w in words], dtype=np.int64)
+    return pc.index_in(words, value_set=names).fill_null(-2).to_numpy().astype(np.int64) + 1
+
+
+def _looked_up(names: pa.StringArray) -> int:
+    """Bytes of text that are looked up at once, for that begins with a pass over the table."""
+    return min(_MOST_LOOKED_UP, _LOOKED_UP * len(names))
+
+
+def _with_ends(codes: np.ndarray, sizes: np.ndarray, end: int) -> list[np.ndarray]:
+    """Text by text, each with the end token."""
+    ends = np.cumsum(sizes)
+    return np.split(np.insert(codes, ends, end), ends + np.arange(1, len(ends) + 1))[:-1]
 
 
 def _in_model(places: np.ndarray, modelled: int) -> np.ndarray:
@@ -146,12 +194,16 @@ def train_model(
         start = context.broadcast(weights)
 
         def run(parts: Iterator[pa.RecordBatch], start=start) -> Iterator[dict]:
-            index, modelled = shared.value.index(), shared.value.modelled
+            names, modelled = shared.value.words(), shared.value.modelled
             own = gru.shaped(start.value, shapes)
-            texts = (
-                (None, _in_model(_targets(words_of(t), index), modelled)) for p in parts for t in raw_texts(p, text_col)
-            )
-            own, tokens = gru.train(own, texts, 0)
+
+            def texts() -> Iterator[tuple[None, np.ndarray]]:
+                for p in _gathered(parts, _looked_up(names)):
+                    words, sizes = split_words(p, text_col)
+                    targets = _in_model(_places(words, names), modelled)
+                    yield from ((None, t) for t in _with_ends(targets, sizes, 0))
+
+            own, tokens = gru.train(own, texts(), 0)
             if tokens:
                 flat = own.flat()
                 pieces = range(-(-size // _PIECE))
@@ -211,7 +263,7 @@ def score_texts(docs: DataFrame, shared, weights, shapes: list[tuple[int, ...]],
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         table: Table = shared.value
-        index = table.index()
+        names = table.words()
         logs = np.log10((table.counts + 0.5) / table.base_divisor())
         # Words of the table outside of the model: their share of the tail.
         tail = np.log10((table.counts + 0.5) / table.tail_divisor())
@@ -220,27 +272,39 @@ def score_texts(docs: DataFrame, shared, weights, shapes: list[tuple[int, ...]],
 
         def rows() -> Iterator[tuple[int, np.ndarray]]:
             at = 0
-            for p in parts:
-                for key, text in zip(p.column(0).to_pylist(), raw_texts(p, text_col), strict=True):
-                    words = words_of(text)
-                    places = _targets(words, index)
-                    inside = places[places >= 0]
-                    other = Counter([words[i] for i in np.flatnonzero(places < 0).tolist()])
+            for p in _gathered(parts, _looked_up(names)):
+                words, sizes = split_words(p, text_col)
+                n, of = len(sizes), np.repeat(np.arange(len(sizes)), sizes)
+                places = _places(words, names)
+                inside = places >= 0
+                own_places, own_of = places[inside], of[inside]
+
+                def sums(values: np.ndarray) -> list:
+                    """By text, of the values of its table words and of the end token."""
+                    return (np.bincount(own_of, weights=values[own_places], minlength=n) + values[0]).tolist()
+
+                n_known, base, extra = sums((table.counts > 0).astype(float)), sums(logs), sums(tail)
+                outside = words.filter(pa.array(~inside)).dictionary_encode()
+                distinct = max(1, len(outside.dictionary))
+                pairs, many = np.unique(of[~inside] * distinct + outside.indices.to_numpy(), return_counts=True)
+                bounds = np.searchsorted(pairs, np.arange(n + 1) * distinct)
+                other = outside.dictionary.view(pa.binary()).take(pa.array(pairs % distinct))
+                targets = _with_ends(_in_model(places, table.modelled), sizes, 0)
+                for i, key in enumerate(p.column(0).to_pylist()):
+                    own = slice(bounds[i], bounds[i + 1])
                     facts[at] = (
-                        key, fold(key) == HELD_OUT, len(words), int((table.counts[inside] > 0).sum()),
-                        float(logs[inside].sum()), float(tail[inside].sum()), other,
+                        key, fold(key) == HELD_OUT, int(sizes[i]) + 1, int(n_known[i]), base[i], extra[i], other[own], many[own],
                     )
-                    yield at, _in_model(places, table.modelled)
+                    yield at, targets[i]
                     at += 1
 
         held: list[tuple] = []
 
         def out() -> dict:
-            key, held_out, n, known, base, score, other = zip(*held, strict=True)
+            key, held_out, n, known, base, score, other, many = zip(*held, strict=True)
             held.clear()
             ends = pa.array(np.cumsum([0, *map(len, other)], dtype=np.int32))
-            flat = pa.array([w for o in other for w in o], pa.binary())
-            many = pa.array([c for o in other for c in o.values()], pa.int32())
+            flat, many = pa.concat_arrays(other), pa.array(np.concatenate(many), pa.int32())
             return {
                 id_col: list(key), "held_out": held_out, "n_tokens": n, "n_known": known, "base": base, "score": score,
                 "other": pa.ListArray.from_arrays(ends, flat), "many": pa.ListArray.from_arrays(ends, many),
@@ -248,8 +312,8 @@ def score_texts(docs: DataFrame, shared, weights, shapes: list[tuple[int, ...]],
 
         own = gru.shaped(weights.value, shapes)
         for at, value in gru.score(own, rows(), 0):
-            key, held_out, n, known, base, extra, other = facts.pop(at)
-            held.append((key, held_out, n, known, base, value / math.log(10) + extra, other))
+            key, held_out, n, known, base, extra, other, many = facts.pop(at)
+            held.append((key, held_out, n, known, base, value / math.log(10) + extra, other, many))
             if len(held) == 256:
                 yield out()
         if held:
