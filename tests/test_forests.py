@@ -134,8 +134,7 @@ def test_features_of_a_node_are_a_uniform_choice():
 
 
 def test_counts_from_lists_and_from_bits_are_those_of_the_rows(monkeypatch):
-    for name in ("NODES", "LISTED", "BLOCK"):
-        monkeypatch.setattr(forests, name, 50)
+    monkeypatch.setattr(forests, "ENTRIES", 1000)
     draw, shape = np.random.default_rng(2), forests.Shape(300, 2, 4, 20, 1)
     dense = draw.random((90, 300)) < 0.1
     times = draw.poisson(1.0, (4, 90))
@@ -170,11 +169,10 @@ def test_counts_of_many_nodes_go_to_their_buckets(monkeypatch):
         for part in np.split(key, 5):
             counts.add(part, np.full(len(part), 3, np.uint8))
             batches += counts.batches(last=False)
-        for b in [*batches, *counts.batches(last=True)]:
-            (bucket, k, n) = (b.column(c)[0].as_py() for c in ("bucket", "key", "sums"))
-            at = np.frombuffer(k, np.uint32)
+        for r in (r for b in [*batches, *counts.batches(last=True)] for r in b.to_pylist()):
+            at = np.frombuffer(r["key"], np.uint32)
             assert at.max() < shape.bucket * shape.per_node
-            np.add.at(sums, bucket * shape.bucket * shape.per_node + at.astype(np.int64), np.frombuffer(n, np.uint32))
+            np.add.at(sums, r["bucket"] * shape.bucket * shape.per_node + at.astype(np.int64), np.frombuffer(r["sums"], np.uint32))
         read[most] = sums
     want = np.bincount(key, minlength=30_000 * shape.per_node) * 3
     assert all((s == want).all() for s in read.values())
